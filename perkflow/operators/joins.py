@@ -1,0 +1,23 @@
+"""Join of rows with repeated keys to a table with one row per key."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_SALT = "_salt"
+
+
+def salted_join(
+    rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", salts: int = 8
+) -> DataFrame:
+    """Join on `key` where one key may hold a large part of `rows`.
+
+    `lookup` has one row per key. It is repeated once per salt, and each row takes the salt of the
+    map task that read it, so a hot key spreads over `salts` tasks even if its rows are copies. Both
+    inputs of the join are then plain shuffles, which lets adaptive execution split partitions that
+    are still too large or broadcast a lookup that turns out small.
+    """
+    spread = rows.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
+    repeated = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(repeated, [key, _SALT], how).drop(_SALT)
