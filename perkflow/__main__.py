@@ -66,8 +66,8 @@ def _export(spark: SparkSession, args: argparse.Namespace) -> None:
         _employees(spark, args.employees),
         args.single_file_rows,
     )
-    for path, written in done.items():
-        print(path, "written" if written else "nothing to write")
+    for path, rows in done.items():
+        print(path, f"{rows} rows" if rows else "nothing to write")
 
 
 def _clean(spark: SparkSession, args: argparse.Namespace) -> None:

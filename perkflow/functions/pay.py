@@ -10,22 +10,18 @@ from pyspark.sql import functions as F
 from perkflow.functions.text import mode_key
 from perkflow.model import BONUS_RATE, DEFAULT_SALARY, ECO_MODE_KEYS, MONEY
 
-# try_cast alone would also take '1d' or 'Infinity'.
-_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
-
-
-def _parsed(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), text.try_cast(MONEY))
-
-
 def salary_amount(text: Column, default: Decimal = DEFAULT_SALARY) -> Column:
-    """Salary text as money; anything that is no number becomes `default`."""
-    return F.coalesce(_parsed(text), F.lit(default)).cast(MONEY)
+    """Salary text as money; anything that is no number becomes `default`.
+
+    Reading text as a decimal takes blanks around it, signs and exponents, but not the suffixes and
+    names (`1d`, `nan`, `inf`) that reading it as a double would take.
+    """
+    return F.coalesce(text.try_cast(MONEY), F.lit(default)).cast(MONEY)
 
 
 def salary_defaulted(text: Column) -> Column:
     """True where `salary_amount` had to use its default."""
-    return _parsed(text).isNull()
+    return text.try_cast(MONEY).isNull()
 
 
 def is_eco(mode: Column) -> Column:

@@ -10,14 +10,9 @@ from perkflow.model import ACCENTED, UNACCENTED
 _MARK = "\u0001 "
 
 
-def deaccent(text: Column) -> Column:
-    """Replace the accented letters that occur in French headers and modes."""
-    return F.translate(text, ACCENTED, UNACCENTED)
-
-
 def mode_key(mode: Column) -> Column:
     """Spelling-independent key of a travel mode: lower case, no accents, `/` and blanks as `_`."""
-    return F.regexp_replace(deaccent(F.lower(F.trim(mode))), r"[/ ]", "_")
+    return F.translate(F.lower(F.trim(mode)), ACCENTED + "/ ", UNACCENTED + "__")
 
 
 def title_case(text: Column) -> Column:

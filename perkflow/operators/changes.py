@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,18 +16,37 @@ from perkflow.operators.columns import ensure_column
 CORRUPT = "_corrupt_record"
 
 
-def envelope(image: T.StructType) -> T.StructType:
+def envelope(image: T.StructType, before: bool = False) -> T.StructType:
+    """Schema of a message. The old image is parsed only on request."""
+    old = [T.StructField("before", image)] if before else []
     payload = T.StructType(
         [
             T.StructField("op", T.StringType()),
             T.StructField("ts_ms", T.LongType()),
-            T.StructField("before", image),
+            *old,
             T.StructField("after", image),
         ]
     )
     return T.StructType([T.StructField("payload", payload)])
 
 
+def payloads(
+    messages: DataFrame,
+    schema: T.StructType,
+    wanted: Callable[[Column], Column],
+    keep_raw: bool = False,
+) -> DataFrame:
+    """Payload fields of the messages whose payload is `wanted`.
+
+    A filter on the parsed value would be pushed below the projection and parse each message a
+    second time. Unpacking a filtered array of at most one payload parses once.
+    """
+    text = F.col("value").cast("string")
+    parsed = messages.select(text.alias("raw_value"), F.from_json(text, schema).alias("d"))
+    unpacked = F.inline(F.filter(F.array("d.payload"), wanted))
+    return parsed.select("raw_value", unpacked) if keep_raw else parsed.select(unpacked)
+
+
 def raw_text(messages: DataFrame) -> DataFrame:
     """Key and value of a message as text."""
     return messages.select(F.col("key").cast("string"), F.col("value").cast("string"))
@@ -37,34 +58,24 @@ def parse_images(messages: DataFrame, image: T.StructType, keep_raw: bool = Fals
     Messages without a new image (deletes, tombstones, broken JSON) are left out; `change_rows` and
     `rejects` cover them.
     """
-    text = F.col("value").cast("string")
-    parsed = messages.select(
-        text.alias("raw_value"), F.from_json(text, envelope(image)).alias("d")
-    ).filter(F.col("d.payload.after").isNotNull())
-    rows = parsed.select(
-        "d.payload.after.*",
-        F.col("d.payload.op").alias("op"),
-        F.col("d.payload.ts_ms").alias("cdc_ts_ms"),
-        "raw_value",
-    )
-    return rows if keep_raw else rows.drop("raw_value")
+    found = payloads(messages, envelope(image), lambda p: p["after"].isNotNull(), keep_raw)
+    raw = ["raw_value"] if keep_raw else []
+    return found.select("after.*", "op", F.col("ts_ms").alias("cdc_ts_ms"), *raw)
 
 
 def change_rows(messages: DataFrame, image: T.StructType, key: str = "id_salarie") -> DataFrame:
     """Like `parse_images`, with deletes as rows that carry the key of the old image only."""
-    payload = F.col("d.payload")
-    gone = payload["after"].isNull() & (payload["op"] == "d")
-    parsed = messages.select(
-        F.from_json(F.col("value").cast("string"), envelope(image)).alias("d")
-    ).filter(payload["after"].isNotNull() | gone)
-    fields = [
-        F.coalesce(payload["after"][name], payload["before"][name]).alias(name)
-        if name == key
-        else payload["after"][name].alias(name)
-        for name in image.names
-    ]
-    return parsed.select(
-        *fields, payload["op"].alias("op"), payload["ts_ms"].alias("cdc_ts_ms")
+    found = payloads(
+        messages,
+        envelope(image, before=True),
+        lambda p: p["after"].isNotNull() | F.coalesce(p["op"] == "d", F.lit(False)),
+    )
+    fields = {name: F.col(f"after.{name}") for name in image.names}
+    fields[key] = F.coalesce(fields[key], F.col(f"before.{key}"))
+    return found.select(
+        *[field.alias(name) for name, field in fields.items()],
+        "op",
+        F.col("ts_ms").alias("cdc_ts_ms"),
     )
 
 
@@ -77,14 +88,17 @@ def rejects(messages: DataFrame, image: T.StructType) -> DataFrame:
         F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("d"),
     )
     payload = F.col("d.payload")
+    usable = payload["after"].isNotNull() | F.coalesce(payload["op"] == "d", F.lit(False))
     reason = (
-        F.when(F.col("raw_value").isNull(), "empty message")
+        F.when(usable, None)
+        .when(F.col("raw_value").isNull(), "empty message")
         .when(payload.isNull() & F.col(f"d.{CORRUPT}").isNotNull(), "broken json")
         .when(payload.isNull(), "no payload")
         .otherwise("no new image")
     )
-    usable = payload["after"].isNotNull() | F.coalesce(payload["op"] == "d", F.lit(False))
-    return parsed.filter(~usable).select("raw_value", reason.alias("reason"))
+    # As in `payloads`: rows without a reason go by unpacking, not by a filter.
+    reasons = F.filter(F.array(reason), lambda r: r.isNotNull())
+    return parsed.select("raw_value", F.explode(reasons).alias("reason"))
 
 
 def decode_activities(messages: DataFrame) -> DataFrame:

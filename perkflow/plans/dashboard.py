@@ -41,8 +41,8 @@ def export_dashboard(
     activities: DataFrame | None,
     employees: DataFrame | None,
     single_file_rows: int | None = None,
-) -> dict[str, bool]:
-    """Write the three exports; each is independent of the others. Tells which were written.
+) -> dict[str, int]:
+    """Write the three exports; each is independent of the others. Returns the rows of each.
 
     `employees` holds one row per employee. The statistics have one row per travel mode.
     """

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,32 +59,57 @@ def read_tabular(
 
 def write_csv(
     df: DataFrame, path: str, sep: str = ";", single_file_rows: int | None = None
-) -> bool:
-    """Write delimited text with a header, replacing what is there; tell whether there were rows.
+) -> int:
+    """Write delimited text with a header; return the number of rows.
 
-    The result is a folder of part files. With `single_file_rows` it is one file under `path`
-    itself, but only if the rows fit that number; more rows raise an error before anything is
-    written, because one task would have to write them all.
+    The rows are computed once, into a folder beside `path` that replaces `path` when complete.
+    Without rows nothing is replaced. The result is a folder of part files; with `single_file_rows`
+    it is one file, but only if the rows fit that number, because one task has to write them. More
+    rows are an error, and `path` stays as it was.
     """
-    if df.isEmpty():
-        return False
-    if single_file_rows is None:
-        df.write.mode("overwrite").options(**_FORMAT, sep=sep).csv(path)
-        return True
-    if df.limit(single_file_rows + 1).count() > single_file_rows:
-        raise ValueError(f"more than {single_file_rows} rows: export a folder of part files")
-    parts = f"{path}.parts"
-    df.repartition(1).write.mode("overwrite").options(**_FORMAT, sep=sep).csv(parts)
-    _publish(df.sparkSession, parts, path)
-    return True
-
-
-def _publish(spark: SparkSession, parts: str, path: str) -> None:
-    """Rename the only part file to its final name."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    source, target = hadoop.Path(parts), hadoop.Path(path)
-    files = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    part = files.globStatus(hadoop.Path(source, "part-*"))[0].getPath()
-    files.delete(target, True)
-    files.rename(part, target)
-    files.delete(source, True)
+    staged = f"{path}.{uuid4().hex}"
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    spark = df.sparkSession
+    try:
+        if single_file_rows is None:
+            counted.write.options(**_FORMAT, sep=sep).csv(staged)
+        else:
+            counted.write.parquet(staged)
+        rows = seen.get["rows"]
+        if rows and single_file_rows is None:
+            _replace(spark, staged, path)
+        elif rows:
+            _publish_single(spark, staged, path, sep, rows, single_file_rows)
+    finally:
+        _files(spark, staged).delete(_path(spark, staged), True)
+    return rows
+
+
+def _publish_single(
+    spark: SparkSession, staged: str, path: str, sep: str, rows: int, limit: int
+) -> None:
+    if rows > limit:
+        raise ValueError(f"{rows} rows are too many for a single file of {limit}")
+    single = f"{staged}.single"
+    spark.read.parquet(staged).coalesce(1).write.options(**_FORMAT, sep=sep).csv(single)
+    files = _files(spark, single)
+    part = files.globStatus(_path(spark, f"{single}/part-*"))[0].getPath().toString()
+    _replace(spark, part, path)
+    files.delete(_path(spark, single), True)
+
+
+def _path(spark: SparkSession, name: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+
+
+def _files(spark: SparkSession, name: str):
+    """File system that holds a path."""
+    return _path(spark, name).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _replace(spark: SparkSession, source: str, target: str) -> None:
+    files = _files(spark, target)
+    files.delete(_path(spark, target), True)
+    if not files.rename(_path(spark, source), _path(spark, target)):
+        raise OSError(f"cannot rename {source} to {target}")

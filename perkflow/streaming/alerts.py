@@ -4,23 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from perkflow.functions.alerts import alert_text
 from perkflow.model import ALERT_IMAGE
-from perkflow.operators.changes import envelope
+from perkflow.operators.changes import envelope, payloads
 from perkflow.streaming.ingest import append_stream
 
 
 def alerts(messages: DataFrame) -> DataFrame:
     """One alert text per activity message; messages without a new row image give none."""
-    value: Column = F.col("value").cast("string")
-    parsed = messages.select(F.from_json(value, envelope(ALERT_IMAGE)).alias("d"))
-    after = F.col("d.payload.after")
-    return parsed.filter(after.isNotNull()).select(
-        after["id_salarie"].alias("id_salarie"), alert_text(after).alias("message")
+    found = payloads(messages, envelope(ALERT_IMAGE), lambda p: p["after"].isNotNull())
+    return found.select(
+        F.col("after.id_salarie").alias("id_salarie"), alert_text(F.col("after")).alias("message")
     )
 
 
