@@ -27,7 +27,8 @@ def read_csv(
 
     With a schema the file is read once; without one an extra pass infers the types.
     """
-    reader = spark.read.options(**_FORMAT, sep=sep)
+    # A null value that no file holds keeps a quoted empty text apart from a missing one.
+    reader = spark.read.options(**_FORMAT, sep=sep, nullValue="\u0000")
     if schema is not None:
         return reader.schema(schema).csv(path)
     return widen_integers(reader.option("inferSchema", "true").csv(path))

@@ -1,0 +1,218 @@
+"""Streams that end by themselves, restarted and replayed."""
+
+from __future__ import annotations
+
+import json
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from perkflow.plans.live import current_employees, start_live
+from perkflow.sources.messages import file_messages, kafka_options
+from perkflow.streaming import alerts, ingest, reports
+
+
+def put(spark, folder, texts):
+    """One more file of messages."""
+    frame = spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1)
+    frame.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary")).write.mode(
+        "append"
+    ).parquet(str(folder))
+
+
+def person(number, op="c", ts=1, **fields):
+    row = {"id_salarie": str(number), **fields}
+    sides = {"before": row, "after": None} if op == "d" else {"after": row}
+    return json.dumps({"payload": {"op": op, "ts_ms": ts, **sides}})
+
+
+def move(number, **fields):
+    return json.dumps({"payload": {"after": {"id_salarie": str(number), **fields}}})
+
+
+def run_employees(spark, tmp_path, figures=None):
+    on_metrics = figures.append if figures is not None else None
+    query = ingest.stream_employees(
+        file_messages(spark, str(tmp_path / "in"), 1),
+        str(tmp_path / "table"),
+        str(tmp_path / "checkpoint"),
+        on_metrics=(lambda batch_id, f: on_metrics((batch_id, f))) if on_metrics else None,
+    )
+    query.awaitTermination()
+    return query
+
+
+def test_employees(spark, tmp_path):
+    put(spark, tmp_path / "in", [
+        person(1, salaire_brut="33130", moyen_deplacement="Marche/running"),
+        person(2, salaire_brut="abc", moyen_deplacement="Vélo/Trottinette/Autres"),
+        person(3),
+        '{"payload":{"op":"c","after":{"nom":"without id"}}}',
+        "{broken",
+    ])
+    figures = []
+    run_employees(spark, tmp_path, figures)
+    table = spark.read.parquet(str(tmp_path / "table"))
+    found = {r.id_salarie: r for r in table.collect()}
+    assert set(found) == {"1", "2", "3"}
+    assert [found[i].prime_annuelle for i in "123"] == [Decimal("1656.50"), Decimal("1500.00"), Decimal("0.00")]
+    assert [found[i].salary_defaulted for i in "123"] == [False, True, True]
+    assert found["3"].moyen_deplacement == "Non spécifié" and found["3"].salaire_brut == "30000"
+    [(batch_id, seen)] = figures
+    assert batch_id == 0
+    assert (seen["messages"], seen["rows"], seen["with_bonus"]) == (4, 3, 2)
+    assert (seen["null_id_salarie"], seen["null_salaire_brut"], seen["null_nom"]) == (1, 2, 3)
+
+
+def test_versions_and_deletes(spark, tmp_path):
+    put(spark, tmp_path / "in", [person(7, nom="a"), person(8, nom="x")])
+    run_employees(spark, tmp_path)
+    put(spark, tmp_path / "in", [person(7, "u", 2, nom="b"), person(8, "d", 2)])
+    run_employees(spark, tmp_path)
+    put(spark, tmp_path / "in", [person(7, "u", 3, nom="c")])
+    run_employees(spark, tmp_path)
+    table = spark.read.parquet(str(tmp_path / "table"))
+    assert table.count() == 5
+    assert sorted(r.batch_id for r in table.select("batch_id").distinct().collect()) == [0, 1, 2]
+    assert [(r.id_salarie, r.nom) for r in current_employees(table).collect()] == [("7", "c")]
+
+
+def test_replayed_batch_replaces_itself(spark, tmp_path):
+    put(spark, tmp_path / "in", [person(1), person(2)])
+    run_employees(spark, tmp_path)
+    put(spark, tmp_path / "in", [person(3)])
+    run_employees(spark, tmp_path)
+    # As if the driver had died after the write and before the commit of the last batch.
+    commits = tmp_path / "checkpoint" / "commits"
+    for name in ("1", ".1.crc"):
+        (commits / name).unlink()
+    run_employees(spark, tmp_path)
+    table = spark.read.parquet(str(tmp_path / "table"))
+    assert sorted(r.id_salarie for r in table.collect()) == ["1", "2", "3"]
+
+
+def test_new_checkpoint_keeps_the_old_rows(spark, tmp_path):
+    put(spark, tmp_path / "in", [person(1, nom="old")])
+    run_employees(spark, tmp_path)
+    query = ingest.stream_employees(
+        file_messages(spark, str(tmp_path / "in")), str(tmp_path / "table"), str(tmp_path / "second")
+    )
+    query.awaitTermination()
+    table = spark.read.parquet(str(tmp_path / "table"))
+    assert table.count() == 2 and table.select("stream_id").distinct().count() == 2
+    assert current_employees(table).count() == 1
+
+
+def test_errors_stop_the_stream(spark, tmp_path):
+    put(spark, tmp_path / "in", [person(1)])
+
+    def fail(batch_id, figures):
+        raise RuntimeError("no room")
+
+    query = ingest.stream_employees(
+        file_messages(spark, str(tmp_path / "in")), str(tmp_path / "table"),
+        str(tmp_path / "checkpoint"), on_metrics=fail,
+    )
+    with pytest.raises(Exception, match="no room"):
+        query.awaitTermination()
+    run_employees(spark, tmp_path)
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 1
+
+
+def test_activities_restart(spark, tmp_path):
+    def run():
+        messages = file_messages(spark, str(tmp_path / "in"))
+        ingest.stream_activities(
+            messages, str(tmp_path / "table"), str(tmp_path / "checkpoint")
+        ).awaitTermination()
+        return sorted(r.id_salarie for r in spark.read.parquet(str(tmp_path / "table")).collect())
+
+    put(spark, tmp_path / "in", [move(1, start_date=1758807237827000), "{broken"])
+    put(spark, tmp_path / "in", [move(2)])
+    assert run() == ["1", "2"]
+    put(spark, tmp_path / "in", [move(3)])
+    assert run() == ["1", "2", "3"]
+    assert run() == ["1", "2", "3"]
+    dates = spark.read.parquet(str(tmp_path / "table")).filter("id_salarie = '1'")
+    assert str(dates.first().start_date) == "2025-09-25 13:33:57.827000"
+
+
+def test_alerts_and_delivery(spark, tmp_path):
+    put(spark, tmp_path / "in", [move(1, distance_m=5000, comment="ok"), person(2, "d"), "{broken", "{}"])
+    messages = file_messages(spark, str(tmp_path / "in"))
+    alerts.stream_alerts(messages, str(tmp_path / "outbox"), str(tmp_path / "c1")).awaitTermination()
+    outbox = spark.read.parquet(str(tmp_path / "outbox"))
+    assert [r.id_salarie for r in outbox.collect()] == ["1"]
+    assert "📏 Distance: 5000m" in outbox.first().message
+    sent = str(tmp_path / "sent.txt")
+
+    def send(row):
+        with open(sent, "a", encoding="utf-8") as file:
+            file.write(row.id_salarie)
+
+    rows = spark.readStream.schema(outbox.schema).parquet(str(tmp_path / "outbox"))
+    alerts.deliver(rows, send, str(tmp_path / "c2")).awaitTermination()
+    assert Path(sent).read_text() == "1"
+
+
+def test_running_report(spark, tmp_path):
+    def run():
+        reports.stream_mode_report(
+            file_messages(spark, str(tmp_path / "in")), str(tmp_path / "report"), str(tmp_path / "c")
+        ).awaitTermination()
+        return {
+            r.moyen_deplacement: (r.nombre_employes, r.budget_total)
+            for r in spark.read.parquet(str(tmp_path / "report")).collect()
+        }
+
+    put(spark, tmp_path / "in", [person(1, salaire_brut="1000", moyen_deplacement="Marche/running")])
+    assert run() == {"Marche/running": (1, Decimal("50.00"))}
+    put(spark, tmp_path / "in", [person(2, salaire_brut="2000", moyen_deplacement="Marche/running"), person(3)])
+    assert run() == {"Marche/running": (2, Decimal("150.00")), "Non spécifié": (1, Decimal("0.00"))}
+
+
+def test_job_on_new_data(spark, tmp_path):
+    put(spark, tmp_path / "in", [person(1)])
+    done = []
+    query = reports.on_new_data(
+        file_messages(spark, str(tmp_path / "in")), done.append, str(tmp_path / "c"), "1 second"
+    )
+    query.processAllAvailable()
+    put(spark, tmp_path / "in", [person(2)])
+    query.processAllAvailable()
+    query.stop()
+    assert done == [0, 1]
+
+
+def test_console(spark, tmp_path):
+    put(spark, tmp_path / "in", [move(1)])
+    query = ingest.show_stream(file_messages(spark, str(tmp_path / "in")), str(tmp_path / "c"))
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def test_all_streams_together(spark, tmp_path):
+    put(spark, tmp_path / "moves", [move(1), move(2)])
+    put(spark, tmp_path / "people", [person(1)])
+    queries = start_live(
+        file_messages(spark, str(tmp_path / "moves")),
+        file_messages(spark, str(tmp_path / "people")),
+        str(tmp_path / "root"),
+        interval=None,
+    )
+    for query in queries:
+        query.awaitTermination()
+    sizes = {
+        name: spark.read.parquet(str(tmp_path / "root" / name)).count()
+        for name in ("sport_activities", "employee_prime", "alert_outbox")
+    }
+    assert sizes == {"sport_activities": 2, "employee_prime": 1, "alert_outbox": 2}
+
+
+def test_kafka_options():
+    assert kafka_options("a:1", "t", max_per_trigger=5) == {
+        "kafka.bootstrap.servers": "a:1", "subscribe": "t", "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "5",
+    }
