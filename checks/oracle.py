@@ -279,6 +279,16 @@ FROM latest""",
 SELECT id_salarie, activity_type,
        CAST(CAST(distance_m AS DECIMAL(18,2)) AS VARCHAR) AS distance_m, activity_no
 FROM activities""",
+    "external_table": f"""
+SELECT o_orderstatus, {big('count(*)')} AS nombre FROM orders GROUP BY 1""",
+    "clean_sport": f"""WITH {ACTIVITIES}
+SELECT id_salarie, activity_type, activity_no FROM activities
+QUALIFY row_number() OVER (PARTITION BY id_salarie ORDER BY activity_no) = 1""",
+    "employee_rows": """
+SELECT CAST(s_suppkey AS VARCHAR) AS id_salarie, '30000' AS salaire_brut,
+       'Non spécifié' AS moyen_deplacement, s_name AS nom, 'Inconnu' AS prenom,
+       CAST(NULL AS VARCHAR) AS date_embauche, 'CDI' AS type_contrat, 'Non spécifié' AS bu
+FROM supplier""",
     "discover_id": f"""
 SELECT CAST(user_id AS VARCHAR) AS id_salarie, {big('count(*)')} AS nb_activites_delta
 FROM events GROUP BY 1""",

@@ -14,7 +14,7 @@ from perkflow.functions.commute import city_distance, default_distance, postcode
 from perkflow.functions.dates import from_days, from_micros, minute_text
 from perkflow.functions.pay import eco_bonus, salary_amount, salary_defaulted
 from perkflow.functions.text import mode_key, title_case
-from perkflow.model import ACTIVITY_IMAGE, HR_FILE
+from perkflow.model import ACTIVITY_IMAGE, HR_HEADERS
 from perkflow.operators import (
     activity,
     changes,
@@ -25,10 +25,12 @@ from perkflow.operators import (
     reports,
     versions,
 )
+from perkflow.plans import loading
 from perkflow.plans.commuting import validated_commutes
 from perkflow.plans.dashboard import activity_export, bonus_export
+from perkflow.sources.catalog import register_table
 from perkflow.sources.scratch import scratch_path
-from perkflow.sources.tables import append_rows, point_lookup, read_table
+from perkflow.sources.tables import append_rows, point_lookup, read_table, write_load
 from perkflow.sources.tabular import read_csv, read_tabular, write_csv
 from perkflow.streaming import alerts, ingest
 from perkflow.streaming import reports as stream_reports
@@ -90,9 +92,9 @@ def ingest_tabular(spark, sf_dir):
     sheet = rows.select(
         "id_salarie", "nom", "prenom", none, none, none, "salaire_brut", none, none,
         "adresse", "moyen_deplacement",
-    ).toDF(*HR_FILE.names)
+    ).toDF(*HR_HEADERS)
     write_csv(sheet, path, ",")
-    return read_tabular(spark, path, ",", HR_FILE).select(
+    return read_tabular(spark, path, ",", infer=False).select(
         "id_salarie", "nom", "prenom", "salaire_brut", "adresse", "moyen_deplacement"
     )
 
@@ -140,6 +142,16 @@ def export_activities(spark, sf_dir):
     return read_csv(spark, path, ";", rows.schema)
 
 
+@query
+def external_table(spark, sf_dir):
+    """Orders by status from a table registered over a folder."""
+    path = scratch_path(spark, "external_table")
+    name = f"orders_{path.rsplit('-', 1)[1]}"
+    write_load(roles.table(spark, sf_dir, "orders"), path, "orders", 0)
+    register_table(spark, name, path)
+    return spark.sql(f"SELECT o_orderstatus, count(*) AS nombre FROM {name} GROUP BY o_orderstatus")
+
+
 # --- projections and schema --------------------------------------------------------------------
 
 
@@ -224,6 +236,21 @@ def clean_hr(spark, sf_dir):
     return cleaning.clean_hr(rows, "ligne")
 
 
+@query
+def clean_sport(spark, sf_dir):
+    rows = roles.activities(spark, sf_dir).select("id_salarie", "activity_type", "activity_no")
+    return cleaning.clean_sport(rows, "activity_no")
+
+
+@query
+def employee_rows(spark, sf_dir):
+    """Suppliers as employees that lack most columns."""
+    rows = roles.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("matricule"), F.col("s_name").alias("nom")
+    )
+    return loading.employee_rows(rows)
+
+
 # --- joins and activity ------------------------------------------------------------------------
 
 

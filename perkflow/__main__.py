@@ -5,13 +5,16 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from perkflow.plans import analysis, commuting, dashboard, live, loading
 from perkflow.session import build_session
 from perkflow.sources.messages import file_messages, kafka_messages
 from perkflow.sources.relational import EMPLOYEE_TYPES, append_relational
+from perkflow.sources.scratch import scratch_path
 from perkflow.sources.tables import read_if_filled
 from perkflow.sources.tabular import read_tabular, write_csv
+from perkflow.streaming.reports import on_new_data
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace, place: str):
@@ -60,18 +63,36 @@ def _commute(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _export(spark: SparkSession, args: argparse.Namespace) -> None:
+    _export_once(spark, args)
+    if not args.interval:
+        return
+    tables = [
+        spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select(F.lit(1))
+        for path in (args.activities, args.employees)
+    ]
+    on_new_data(
+        tables[0].union(tables[1]),
+        lambda batch_id: _export_once(spark, args),
+        args.checkpoint or scratch_path(spark, "export"),
+        args.interval,
+    ).awaitTermination()
+
+
+def _export_once(spark: SparkSession, args: argparse.Namespace) -> None:
     done = dashboard.export_dashboard(
         args.out,
         read_if_filled(spark, args.activities),
         _employees(spark, args.employees),
         args.single_file_rows,
+        {kind: getattr(args, f"{kind}_name") for kind in dashboard.NAMES},
     )
-    for path, rows in done.items():
-        print(path, f"{rows} rows" if rows else "nothing to write")
+    for kind, rows in done.items():
+        print(kind, f"{rows} rows" if rows else "nothing to write")
 
 
 def _clean(spark: SparkSession, args: argparse.Namespace) -> None:
-    write_csv(loading.clean_hr_file(spark, args.hr), f"{args.out}/hr", args.sep)
+    hr = loading.numbers_as_text(loading.clean_hr_file(spark, args.hr))
+    write_csv(hr, f"{args.out}/hr", args.sep)
     write_csv(loading.clean_sport_file(spark, args.sport), f"{args.out}/sport", args.sep)
 
 
@@ -99,7 +120,8 @@ def parser() -> argparse.ArgumentParser:
     job("commute", _commute, hr=need, company=need, out=need, distances=may)
     job(
         "export", _export, activities=need, employees=need, out=need,
-        single_file_rows={"type": int, "default": None},
+        single_file_rows={"type": int, "default": None}, interval=may, checkpoint=may,
+        **{f"{kind}_name": {"default": name} for kind, name in dashboard.NAMES.items()},
     )
     job("clean", _clean, hr=need, sport=need, out=need, sep={"default": ","})
     job("load", _load, hr=need, url=need, sep={"default": ","})

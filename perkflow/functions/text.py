@@ -36,6 +36,11 @@ def number_text(number: Column) -> Column:
     return F.when(wide, F.regexp_replace(digits, r"\.$", ".0")).otherwise(plain)
 
 
+def short_number_text(number: Column) -> Column:
+    """Like `number_text`, with whole numbers as such."""
+    return F.regexp_replace(number_text(number), r"\.0$", "")
+
+
 def decimal_comma(amount: Column) -> Column:
     """Amount as text with a decimal comma."""
     return F.translate(amount.cast("string"), ".", ",")

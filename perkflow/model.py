@@ -45,27 +45,19 @@ ALERT_IMAGE = T.StructType(
     ]
 )
 
-HR_FILE = T.StructType(
-    [
-        T.StructField("ID salarié", T.StringType()),
-        T.StructField("Nom", T.StringType()),
-        T.StructField("Prénom", T.StringType()),
-        T.StructField("Date de naissance", T.StringType()),
-        T.StructField("BU", T.StringType()),
-        T.StructField("Date d'embauche", T.StringType()),
-        T.StructField("Salaire brut", T.StringType()),
-        T.StructField("Type de contrat", T.StringType()),
-        T.StructField("Nombre de jours de CP", T.StringType()),
-        T.StructField("Adresse du domicile", T.StringType()),
-        T.StructField("Moyen de déplacement", T.StringType()),
-    ]
-)
-
-SPORT_FILE = T.StructType(
-    [
-        T.StructField("ID salarié", T.StringType()),
-        T.StructField("Pratique d'un sport", T.StringType()),
-    ]
+# Headers of the HR file.
+HR_HEADERS = (
+    "ID salarié",
+    "Nom",
+    "Prénom",
+    "Date de naissance",
+    "BU",
+    "Date d'embauche",
+    "Salaire brut",
+    "Type de contrat",
+    "Nombre de jours de CP",
+    "Adresse du domicile",
+    "Moyen de déplacement",
 )
 
 # ---------------------------------------------------------------------------

@@ -139,7 +139,7 @@ def activity_trend(activities: DataFrame, time: str = "start_date") -> DataFrame
         F.date_trunc("month", time).cast("date").alias("mois"), "activity_type"
     ).agg(
         F.count(F.lit(1)).alias("nb_activites"),
-        F.sum(F.col("distance_m").cast("decimal(18,2)")).cast(MONEY_SUM).alias("distance_totale_m"),
+        F.sum(F.col("distance_m").try_cast("decimal(18,2)")).cast(MONEY_SUM).alias("distance_totale_m"),
     )
 
 

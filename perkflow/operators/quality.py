@@ -57,8 +57,10 @@ def check_activity_distance(
     activities: DataFrame, kind: str = "activity_type", metres: str = "distance_m"
 ) -> DataFrame:
     """Distance in km and whether it is plausible for the type; types without limit always are."""
-    limit = activity_limit_km(F.lower(kind))
+    limit = activity_limit_km(F.col("_kind"))
     km = F.col(metres).cast("double") / 1000
-    return activities.withColumns(
-        {"distance_km": km, "distance_valide": F.coalesce(km <= limit, F.lit(True))}
+    return (
+        activities.withColumn("_kind", F.lower(kind))
+        .withColumns({"distance_km": km, "distance_valide": F.coalesce(km <= limit, F.lit(True))})
+        .drop("_kind")
     )

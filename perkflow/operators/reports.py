@@ -162,7 +162,7 @@ def kpi_overview(
     )
     per_person = activities.groupBy("id_salarie").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("distance_m").cast("decimal(18,2)")).alias("distance"),
+        F.sum(F.col("distance_m").try_cast("decimal(18,2)")).alias("distance"),
     )
     sport = per_person.agg(
         F.sum("n").cast(MONEY_SUM).alias("nombre_activites"),

@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 from perkflow.model import ACTIVE_THRESHOLD
 from perkflow.operators import activity, columns, reports
+from perkflow.sources.scratch import materialise
 
 
 def activity_analysis(
     hr: DataFrame, declared: DataFrame, activities: DataFrame, threshold: int = ACTIVE_THRESHOLD
 ) -> dict[str, DataFrame]:
-    """Active employees, their details, the eco employees among them and the bonus budget."""
-    totals = activity.activity_totals(declared, activities, columns.discover_id(activities))
+    """Active employees, their details, the eco employees among them and the bonus budget.
+
+    Three results build on the activity totals, which are therefore computed once and stored.
+    """
+    totals = materialise(
+        activity.activity_totals(declared, activities, columns.discover_id(activities)), "totals"
+    )
     eco = activity.eco_employees(hr)
     unordered = activity.active_details(totals, hr, threshold, ordered=False)
     return {

@@ -24,6 +24,6 @@ def validated_commutes(
 
 def export_commutes(validated: DataFrame, folder: str) -> DataFrame:
     """Write all verdicts and the wrong ones as CSV folders; return the statistics."""
-    write_csv(validated, f"{folder}/validations_transport.csv", ",")
-    write_csv(commute_errors(validated), f"{folder}/erreurs_deplacement_api.csv", ",")
+    write_csv(validated, f"{folder}/verdicts.csv", ",")
+    write_csv(commute_errors(validated), f"{folder}/errors.csv", ",")
     return commute_stats(validated)

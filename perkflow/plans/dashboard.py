@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,27 +34,32 @@ def bonus_export(employees: DataFrame) -> DataFrame:
 def activity_export(activities: DataFrame) -> DataFrame:
     """Activities with the distance to two decimals."""
     return activities.withColumn(
-        "distance_m", F.col("distance_m").cast("string").cast("decimal(18,2)")
+        "distance_m", F.col("distance_m").cast("string").try_cast("decimal(18,2)")
     )
 
 
+NAMES = {"activities": "activities.csv", "bonuses": "bonuses.csv", "statistics": "statistics.csv"}
+
+
 def export_dashboard(
     folder: str,
     activities: DataFrame | None,
     employees: DataFrame | None,
     single_file_rows: int | None = None,
+    names: Mapping[str, str] = NAMES,
 ) -> dict[str, int]:
     """Write the three exports; each is independent of the others. Returns the rows of each.
 
-    `employees` holds one row per employee. The statistics have one row per travel mode.
+    `employees` holds one row per employee. The statistics have one row per travel mode. `names`
+    gives the file names a dashboard already reads.
     """
-    done = {}
+    exports = {}
     if activities is not None:
-        path = f"{folder}/activites_sportives.csv"
-        done[path] = write_csv(activity_export(activities), path, ";", single_file_rows)
+        exports["activities"] = activity_export(activities)
     if employees is not None:
-        path = f"{folder}/primes_employes.csv"
-        done[path] = write_csv(bonus_export(employees), path, ";", single_file_rows)
-        path = f"{folder}/statistiques_primes.csv"
-        done[path] = write_csv(bonus_stats(bonus_rows(employees)), path, ";", single_file_rows)
-    return done
+        exports["bonuses"] = bonus_export(employees)
+        exports["statistics"] = bonus_stats(bonus_rows(employees))
+    return {
+        kind: write_csv(rows, f"{folder}/{names[kind]}", ";", single_file_rows)
+        for kind, rows in exports.items()
+    }

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from perkflow.operators.versions import current_rows
 from perkflow.streaming.alerts import stream_alerts
 from perkflow.streaming.ingest import stream_activities, stream_employees
+from perkflow.streaming.reports import stream_mode_report
 
 # Newest version of an employee: event time first, so that a stream that starts over from a new
 # checkpoint does not bring old versions back; then the load.
@@ -24,7 +25,7 @@ def start_live(
     interval: str | None = "10 seconds",
     on_metrics: Callable[[int, dict[str, Any]], None] | None = None,
 ) -> list[StreamingQuery]:
-    """Start activity, employee and alert streams below one folder.
+    """Start the activity, employee, alert and report streams below one folder.
 
     Tables and their checkpoints lie side by side: they belong together.
     """
@@ -41,6 +42,7 @@ def start_live(
             on_metrics,
         ),
         stream_alerts(activities, f"{root}/alert_outbox", f"{checkpoints}/alert_outbox", interval),
+        stream_mode_report(employees, f"{root}/mode_report", f"{checkpoints}/mode_report", interval),
     ]
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkflow.model import EMPLOYEE_DEFAULTS, HR_FILE, SPORT_FILE
+from perkflow.functions.text import short_number_text
+from perkflow.model import EMPLOYEE_DEFAULTS
 from perkflow.operators.cleaning import clean_hr, clean_sport, fill_defaults
 from perkflow.operators.columns import ensure_column, ensure_employee_id
 from perkflow.sources.relational import EMPLOYEE_TYPES
@@ -14,22 +15,29 @@ from perkflow.sources.tabular import LINE, read_tabular
 
 def clean_hr_file(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Tidy HR rows, the first line of each employee."""
-    rows = read_tabular(spark, path, sep, HR_FILE, keep_order=True)
+    rows = read_tabular(spark, path, sep, infer=False, keep_order=True)
     return clean_hr(rows, LINE).drop(LINE)
 
 
 def clean_sport_file(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Declared sports, the first line of each employee."""
-    rows = read_tabular(spark, path, sep, SPORT_FILE, keep_order=True)
+    rows = read_tabular(spark, path, sep, infer=False, keep_order=True)
     return clean_sport(rows, LINE).drop(LINE)
 
 
+def numbers_as_text(df: DataFrame) -> DataFrame:
+    """Doubles as text for files, whole numbers without decimals."""
+    doubles = [name for name, kind in df.dtypes if kind == "double"]
+    return df.withColumns({name: short_number_text(F.col(name)) for name in doubles})
+
+
 def employee_rows(hr: DataFrame) -> DataFrame:
     """HR rows in the shape of the relational employee table, missing columns and values defaulted."""
     named = ensure_employee_id(hr)
     for name, value in EMPLOYEE_DEFAULTS.items():
         named = ensure_column(named, name, F.lit(value))
     named = ensure_column(named, "date_embauche", F.lit(None).cast("date"))
+    named = numbers_as_text(named)
     texts = {
         name: F.col(name).cast("string") for name in EMPLOYEE_TYPES if name != "date_embauche"
     }

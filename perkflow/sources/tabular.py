@@ -21,16 +21,23 @@ _FORMAT = {
 
 
 def read_csv(
-    spark: SparkSession, path: str, sep: str = ",", schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    schema: T.StructType | None = None,
+    infer: bool = True,
 ) -> DataFrame:
     """Rows of a delimited file as they are.
 
-    With a schema the file is read once; without one an extra pass infers the types.
+    With a schema the file is read once and must have its headers. Without one an extra pass infers
+    the types, unless `infer` is off and all columns are text.
     """
     # A null value that no file holds keeps a quoted empty text apart from a missing one.
     reader = spark.read.options(**_FORMAT, sep=sep, nullValue="\u0000")
     if schema is not None:
-        return reader.schema(schema).csv(path)
+        return reader.option("enforceSchema", "false").schema(schema).csv(path)
+    if not infer:
+        return reader.csv(path)
     return widen_integers(reader.option("inferSchema", "true").csv(path))
 
 
@@ -51,10 +58,11 @@ def read_tabular(
     path: str,
     sep: str = ",",
     schema: T.StructType | None = None,
+    infer: bool = True,
     keep_order: bool = False,
 ) -> DataFrame:
     """Rows of a delimited file under normalised column names, optionally with `_line`."""
-    rows = read_csv(spark, path, sep, schema)
+    rows = read_csv(spark, path, sep, schema, infer)
     return normalise_headers(with_line_order(rows) if keep_order else rows)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation
@@ -30,18 +30,36 @@ def _paced(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
 
 
 def append_stream(
-    rows: DataFrame, path: str, checkpoint: str, interval: str | None = None
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append a stream to a Parquet folder, exactly once per checkpoint."""
-    writer = rows.writeStream.format("parquet").outputMode("append")
+    writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
     return _paced(writer.option("checkpointLocation", checkpoint), interval).start(path)
 
 
 def stream_activities(
-    messages: DataFrame, path: str, checkpoint: str, interval: str | None = None
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = None,
+    by_month: bool = False,
 ) -> StreamingQuery:
-    """Activity messages to the activity table."""
-    return append_stream(decode_activities(messages), path, checkpoint, interval)
+    """Activity messages to the activity table.
+
+    `by_month` adds the partition column `start_month`, so that reports on a period read only its
+    months; use it with intervals long enough to fill files for each month.
+    """
+    rows = decode_activities(messages)
+    if not by_month:
+        return append_stream(rows, path, checkpoint, interval)
+    month = F.date_format("start_date", "yyyy-MM")
+    return append_stream(
+        rows.withColumn("start_month", month), path, checkpoint, interval, ["start_month"]
+    )
 
 
 def stream_raw(

@@ -10,10 +10,10 @@ from perkflow.plans import analysis, commuting, dashboard, loading
 from perkflow.sources.relational import EMPLOYEE_TYPES
 
 HR = """ID salarié,Nom,Prénom,Date de naissance,BU,Date d'embauche,Salaire brut,Type de contrat,Nombre de jours de CP,Adresse du domicile,Moyen de déplacement
-1,Colin,Audrey,1990-07-06,Marketing,2020-12-14,30940,CDI,29,"128 Rue du Port, 34000 Frontignan",Transports en commun
-2,Toussaint,Judith,1962-09-10,Support,2021-12-12,70320,CDI,29,"53 Av. de la Gare, 34970 Lattes",Marche/running
-2,Doublon,Judith,1962-09-10,Support,2021-12-12,1,CDI,29,"53 Av. de la Gare, 34970 Lattes",Marche/running
-3,Vallet,Andre,1980-01-01,Ventes,2022-03-29,33130,CDD,25,"68 Rue du N, 30900 Nîmes",Vélo/Trottinette/Autres
+1,Alpha,Ada,1990-07-06,Marketing,2020-12-14,30940,CDI,29,"1 Rue Haute, 34110 Frontignan",Transports en commun
+2,Beta,Bea,1962-09-10,Support,2021-12-12,70320,CDI,29,"2 Rue Basse, 34970 Lattes",Marche/running
+2,Doublon,Bea,1962-09-10,Support,2021-12-12,1,CDI,29,"2 Rue Basse, 34970 Lattes",Marche/running
+3,Gamma,Guy,1980-01-01,Ventes,2022-03-29,33130,CDD,25,"3 Rue Neuve, 30900 Nîmes",Vélo/Trottinette/Autres
 """
 SPORT = "ID salarié,Pratique d'un sport\n1,\n2,Tennis\n3,Yoga\n"
 
@@ -40,7 +40,7 @@ def clean(spark, place):
 
 def test_cleaned_files(spark, place):
     hr = {r.id_salarie: r for r in clean(spark, place).collect()}
-    assert {i: r.nom for i, r in hr.items()} == {"1": "Colin", "2": "Toussaint", "3": "Vallet"}
+    assert {i: r.nom for i, r in hr.items()} == {"1": "Alpha", "2": "Beta", "3": "Gamma"}
     assert hr["1"].moyen_deplacement == "Transports En Commun" and hr["1"].type_contrat == "Cdi"
     assert hr["3"].salaire_brut == 33130.0 and hr["3"].jours_cp == 25.0
     sport = loading.clean_sport_file(spark, str(place / "sport.csv"))
@@ -61,7 +61,7 @@ def test_analysis(spark, place):
     sport = loading.clean_sport_file(spark, str(place / "sport.csv"))
     tables = analysis.activity_analysis(hr, sport, spark.read.parquet(str(place / "activities")))
     assert [(r.id_salarie, r.nb_activites_total) for r in tables["active_employees"].collect()] == [("2", 17)]
-    assert [r.nom for r in tables["active_details"].collect()] == ["Toussaint"]
+    assert [r.nom for r in tables["active_details"].collect()] == ["Beta"]
     assert [r.id_salarie for r in tables["active_and_eco"].collect()] == ["2"]
     assert [(r.id_salarie, str(r.prime_annuelle)) for r in tables["eco_bonuses"].collect()] == [
         ("2", "3516.00"), ("3", "1656.50")]
@@ -77,15 +77,16 @@ def test_employee_analysis_needs_its_columns(spark):
 def test_dashboard(spark, place):
     out = str(place / "out")
     done = dashboard.export_dashboard(
-        out, spark.read.parquet(str(place / "activities")), clean(spark, place), single_file_rows=100
+        out, spark.read.parquet(str(place / "activities")), clean(spark, place), single_file_rows=100,
+        names={**dashboard.NAMES, "bonuses": "primes.csv"},
     )
     assert list(done.values()) == [20, 3, 3]
-    lines = (place / "out" / "primes_employes.csv").read_text().splitlines()
+    lines = (place / "out" / "primes.csv").read_text().splitlines()
     assert lines[0] == "ID_employee;moyen_deplacement;prime_annuelle;salaire_brut"
     assert "3;Vélo/Trottinette/Autres;1656,50;33130,00" in lines
-    moves = (place / "out" / "activites_sportives.csv").read_text().splitlines()
+    moves = (place / "out" / "activities.csv").read_text().splitlines()
     assert moves[1].split(";")[2:] == ["Tennis", "6034.94", "807", "ok"]
-    stats = (place / "out" / "statistiques_primes.csv").read_text().splitlines()
+    stats = (place / "out" / "statistics.csv").read_text().splitlines()
     assert stats[1] == "Marche/Running;1;3516.00;3516.00"
 
 
@@ -105,7 +106,7 @@ def test_commutes(spark, place):
     }
     stats = commuting.export_commutes(checked, str(place / "out"))
     assert stats.count() == 3
-    errors = spark.read.option("header", True).csv(str(place / "out" / "erreurs_deplacement_api.csv"))
+    errors = spark.read.option("header", True).csv(str(place / "out" / "errors.csv"))
     assert [r.id_salarie for r in errors.collect()] == ["3"]
 
 
@@ -120,10 +121,35 @@ def test_command_line(spark, place, capsys):
     main(["commute", "--hr", f"{place}/hr.csv", "--company", "x", "--out", f"{place}/out"])
     main(["analyse", "--hr", f"{place}/clean/hr", "--sport", f"{place}/sport.csv", *tables])
     shown = capsys.readouterr().out
-    assert "primes_employes.csv 3 rows" in shown
+    assert "bonuses 3 rows" in shown
     assert "eco_budget" in shown and "bonus_by_mode" in shown
 
 
+def test_command_line_live(spark, tmp_path):
+    binary = [F.lit("k").cast("binary").alias("key")]
+    for name, row in (("moves", '{"id_salarie":"1"}'), ("people", '{"id_salarie":"1","salaire_brut":"1000"}')):
+        text = F.lit('{"payload":{"op":"c","after":' + row + "}}")
+        spark.range(1).select(*binary, text.cast("binary").alias("value")).write.parquet(str(tmp_path / name))
+    main(["live", "--activities", f"{tmp_path}/moves", "--employees", f"{tmp_path}/people", "--root", f"{tmp_path}/root"])
+    counts = [
+        spark.read.parquet(f"{tmp_path}/root/{name}").count()
+        for name in ("sport_activities", "employee_prime", "alert_outbox", "mode_report")
+    ]
+    assert counts == [1, 1, 1, 1]
+
+
+def test_header_order_does_not_matter(spark, tmp_path):
+    file = tmp_path / "hr.csv"
+    file.write_text("Nom,Salaire brut,ID salarié\nAlpha,30940,1\nBeta,x,2\n")
+    found = {r.id_salarie: (r.nom, r.salaire_brut) for r in loading.clean_hr_file(spark, str(file)).collect()}
+    assert found == {"1": ("Alpha", 30940.0), "2": ("Beta", None)}
+
+
+def test_whole_numbers_in_files(spark):
+    frame = spark.createDataFrame([(30940.0,), (29.5,), (None,)], "n double")
+    assert [r.n for r in loading.numbers_as_text(frame).collect()] == ["30940", "29.5", None]
+
+
 def test_command_line_needs_a_job():
     with pytest.raises(SystemExit):
         parser().parse_args([])

@@ -305,3 +305,10 @@ def test_quality(spark):
     moves = spark.createDataFrame([("Marche", 15000.0), ("Marche", 15001.0), ("Vélo", 25001.0), ("Yoga", 9e9), ("Marche", None)],
                                   "activity_type string, distance_m double")
     assert [r.distance_valide for r in quality.check_activity_distance(moves).collect()] == [True, False, False, True, True]
+
+
+def test_distances_that_are_no_numbers(spark):
+    moves = spark.createDataFrame([("1", "Yoga", float("nan")), ("1", "Yoga", 1.5)],
+                                  "id_salarie string, activity_type string, distance_m double")
+    dated = moves.withColumn("start_date", F.to_timestamp(F.lit("2025-01-31 00:00:00")))
+    assert rows(activity.activity_trend(dated)) == [(date(2025, 1, 1), "Yoga", 2, Decimal("1.50"))]

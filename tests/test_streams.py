@@ -139,6 +139,15 @@ def test_activities_restart(spark, tmp_path):
     assert str(dates.first().start_date) == "2025-09-25 13:33:57.827000"
 
 
+def test_activities_by_month(spark, tmp_path):
+    put(spark, tmp_path / "in", [move(1, start_date=1758807237827000), move(2, start_date=0)])
+    ingest.stream_activities(
+        file_messages(spark, str(tmp_path / "in")), str(tmp_path / "t"), str(tmp_path / "c"), by_month=True
+    ).awaitTermination()
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert [r.id_salarie for r in table.filter("start_month = '2025-09'").collect()] == ["1"]
+
+
 def test_alerts_and_delivery(spark, tmp_path):
     put(spark, tmp_path / "in", [move(1, distance_m=5000, comment="ok"), person(2, "d"), "{broken", "{}"])
     messages = file_messages(spark, str(tmp_path / "in"))
