@@ -27,7 +27,7 @@ from perkflow.operators import (
 )
 from perkflow.plans import loading
 from perkflow.plans.commuting import validated_commutes
-from perkflow.plans.dashboard import activity_export, bonus_export
+from perkflow.plans.dashboard import activity_export, bonus_rows, with_decimal_comma
 from perkflow.sources.catalog import register_table
 from perkflow.sources.scratch import scratch_path
 from perkflow.sources.tables import append_rows, point_lookup, read_table, write_load
@@ -127,7 +127,7 @@ def schema_evolution(spark, sf_dir):
 @query
 def export_primes(spark, sf_dir):
     path = scratch_path(spark, "export_primes")
-    rows = bonus_export(_latest(spark, sf_dir))
+    rows = with_decimal_comma(bonus_rows(_latest(spark, sf_dir)))
     write_csv(rows, path, ";")
     return read_csv(spark, path, ";", rows.schema)
 
@@ -185,11 +185,14 @@ def cdc_parse(spark, sf_dir):
 @query
 def cdc_time_decode(spark, sf_dir):
     rows = roles.table(spark, sf_dir, "events").select(
-        "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros")
+        "event_id",
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"),
+        F.unix_date(F.col("ts").cast("date")).alias("days"),
     )
-    days = F.floor(F.col("micros") / 86_400_000_000).cast("int")
     return rows.select(
-        "event_id", from_micros(F.col("micros")).alias("moment"), from_days(days).alias("jour")
+        "event_id",
+        from_micros(F.col("micros")).alias("moment"),
+        from_days(F.col("days")).alias("jour"),
     )
 
 
@@ -502,7 +505,7 @@ def commute_validate(spark, sf_dir):
 
 
 def _verdicts(spark, sf_dir):
-    # Versions have addresses by order status and the distances of whole France.
+    # Distances from 0.1 to 50 km, some missing, so that all verdicts occur.
     km = (F.col("o_totalprice") / 10_000).alias("distance_km")
     rows = roles.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("no"),

@@ -166,7 +166,7 @@ def activity_messages(events: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("duration_sec"),
         F.when(F.col("event_type") != "error", F.col("props")).alias("comment"),
     )
-    return to_messages(events, F.col("event_id"), after, F.lit("c"), F.floor(micros / 1000))
+    return to_messages(events, F.col("event_id"), after, F.lit("c"), F.unix_millis(F.col("ts").cast("timestamp")))
 
 
 def faulty_messages(events: DataFrame) -> DataFrame:

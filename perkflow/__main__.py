@@ -11,7 +11,7 @@ from perkflow.plans import analysis, commuting, dashboard, live, loading
 from perkflow.session import build_session
 from perkflow.sources.messages import file_messages, kafka_messages
 from perkflow.sources.relational import EMPLOYEE_TYPES, append_relational
-from perkflow.sources.scratch import scratch_path
+from perkflow.sources.scratch import drop_scratch, scratch_path
 from perkflow.sources.tables import read_if_filled
 from perkflow.sources.tabular import read_tabular, write_csv
 from perkflow.streaming.reports import on_new_data
@@ -130,7 +130,11 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(), args)
+    spark = build_session()
+    try:
+        args.run(spark, args)
+    finally:
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

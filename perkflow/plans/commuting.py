@@ -11,6 +11,7 @@ from perkflow.operators.commute import (
     validate_commute,
     with_distance,
 )
+from perkflow.sources.scratch import materialise
 from perkflow.sources.tabular import write_csv
 
 
@@ -24,6 +25,7 @@ def validated_commutes(
 
 def export_commutes(validated: DataFrame, folder: str) -> DataFrame:
     """Write all verdicts and the wrong ones as CSV folders; return the statistics."""
-    write_csv(validated, f"{folder}/verdicts.csv", ",")
-    write_csv(commute_errors(validated), f"{folder}/errors.csv", ",")
-    return commute_stats(validated)
+    verdicts = materialise(validated, "verdicts")
+    write_csv(verdicts, f"{folder}/verdicts.csv", ",")
+    write_csv(commute_errors(verdicts), f"{folder}/errors.csv", ",")
+    return commute_stats(verdicts)

@@ -11,6 +11,7 @@ from perkflow.functions.pay import salary_amount
 from perkflow.functions.text import decimal_comma
 from perkflow.model import MONEY
 from perkflow.operators.reports import bonus_stats, ensure_bonus
+from perkflow.sources.scratch import stored
 from perkflow.sources.tabular import write_csv
 
 
@@ -24,9 +25,9 @@ def bonus_rows(employees: DataFrame) -> DataFrame:
     )
 
 
-def bonus_export(employees: DataFrame) -> DataFrame:
+def with_decimal_comma(rows: DataFrame) -> DataFrame:
     """`bonus_rows` with amounts as text with a decimal comma."""
-    return bonus_rows(employees).withColumns(
+    return rows.withColumns(
         {name: decimal_comma(F.col(name)) for name in ("prime_annuelle", "salaire_brut")}
     )
 
@@ -53,13 +54,15 @@ def export_dashboard(
     `employees` holds one row per employee. The statistics have one row per travel mode. `names`
     gives the file names a dashboard already reads.
     """
-    exports = {}
+
+    def write(kind: str, rows: DataFrame) -> int:
+        return write_csv(rows, f"{folder}/{names[kind]}", ";", single_file_rows)
+
+    done = {}
     if activities is not None:
-        exports["activities"] = activity_export(activities)
+        done["activities"] = write("activities", activity_export(activities))
     if employees is not None:
-        exports["bonuses"] = bonus_export(employees)
-        exports["statistics"] = bonus_stats(bonus_rows(employees))
-    return {
-        kind: write_csv(rows, f"{folder}/{names[kind]}", ";", single_file_rows)
-        for kind, rows in exports.items()
-    }
+        with stored(bonus_rows(employees), "bonus_rows") as rows:
+            done["bonuses"] = write("bonuses", with_decimal_comma(rows))
+            done["statistics"] = write("statistics", bonus_stats(rows))
+    return done

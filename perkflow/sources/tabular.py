@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perkflow.operators.columns import normalise_headers, widen_integers
+from perkflow.sources import files
 
 LINE = "_line"
 
@@ -87,11 +88,11 @@ def write_csv(
             counted.write.parquet(staged)
         rows = seen.get["rows"]
         if rows and single_file_rows is None:
-            _replace(spark, staged, path)
+            files.replace(spark, staged, path)
         elif rows:
             _publish_single(spark, staged, path, sep, rows, single_file_rows)
     finally:
-        _files(spark, staged).delete(_path(spark, staged), True)
+        files.delete(spark, staged)
     return rows
 
 
@@ -102,23 +103,5 @@ def _publish_single(
         raise ValueError(f"{rows} rows are too many for a single file of {limit}")
     single = f"{staged}.single"
     spark.read.parquet(staged).coalesce(1).write.options(**_FORMAT, sep=sep).csv(single)
-    files = _files(spark, single)
-    part = files.globStatus(_path(spark, f"{single}/part-*"))[0].getPath().toString()
-    _replace(spark, part, path)
-    files.delete(_path(spark, single), True)
-
-
-def _path(spark: SparkSession, name: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-
-
-def _files(spark: SparkSession, name: str):
-    """File system that holds a path."""
-    return _path(spark, name).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _replace(spark: SparkSession, source: str, target: str) -> None:
-    files = _files(spark, target)
-    files.delete(_path(spark, target), True)
-    if not files.rename(_path(spark, source), _path(spark, target)):
-        raise OSError(f"cannot rename {source} to {target}")
+    files.replace(spark, files.only_match(spark, f"{single}/part-*"), path)
+    files.delete(spark, single)

@@ -119,7 +119,13 @@ def test_line_order(spark, tmp_path):
 def test_scratch_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch.scratch_path(spark, "x"), scratch.scratch_path(spark, "x")
-    assert first.startswith(f"{root}/perkflow/x-") and first != second
+    assert first.startswith(f"{root}/perkflow/{spark.sparkContext.applicationId}/x-")
+    assert first != second
+    stored = scratch.materialise(spark.range(3), "x")
+    assert stored.count() == 3
+    scratch.drop_scratch(spark)
+    with pytest.raises(Exception, match="(?i)exist"):
+        spark.read.parquet(first)
 
 
 def test_relational_types(spark):
