@@ -10,18 +10,29 @@ from pyspark.sql import functions as F
 from perkflow.functions.text import mode_key
 from perkflow.model import BONUS_RATE, DEFAULT_SALARY, ECO_MODE_KEYS, MONEY
 
+# Longer exponents would make reading a decimal build a number with as many digits.
+_SHORT_EXPONENT = r"[eE][+-]?0*\d{1,4}\s*$"
+
+
+def _read(text: Column) -> Column:
+    """Text as money or null. Only text with an exponent needs the pattern."""
+    number = text.try_cast(MONEY)
+    plain = ~(text.contains("e") | text.contains("E"))
+    return F.when(plain, number).when(text.rlike(_SHORT_EXPONENT), number)
+
+
 def salary_amount(text: Column, default: Decimal = DEFAULT_SALARY) -> Column:
     """Salary text as money; anything that is no number becomes `default`.
 
     Reading text as a decimal takes blanks around it, signs and exponents, but not the suffixes and
     names (`1d`, `nan`, `inf`) that reading it as a double would take.
     """
-    return F.coalesce(text.try_cast(MONEY), F.lit(default)).cast(MONEY)
+    return F.coalesce(_read(text), F.lit(default)).cast(MONEY)
 
 
 def salary_defaulted(text: Column) -> Column:
     """True where `salary_amount` had to use its default."""
-    return text.try_cast(MONEY).isNull()
+    return _read(text).isNull()
 
 
 def is_eco(mode: Column) -> Column:

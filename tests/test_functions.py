@@ -37,6 +37,38 @@ def test_salary_text(spark):
     assert flags == [a == 30000 for a in amounts]
 
 
+def test_salary_with_a_huge_exponent(spark):
+    texts = ["1e-999999999", "1e999999999", "1e-30000000", "1e-5", "1E0000003", "1e400"]
+    amounts = column(spark, texts, "string", salary_amount)
+    assert amounts == [Decimal(x) for x in ("30000", "30000", "30000", "0", "1000", "30000")]
+
+
+def python_salary(text):
+    """Plain Python: a number of at most 16 digits before the point, else the default."""
+    try:
+        number = Decimal(text.strip())
+        if "_" in text or not number.is_finite():
+            raise ValueError
+        cents = number.quantize(Decimal("0.01"), ROUND_HALF_UP)
+    except (ArithmeticError, ValueError):
+        return Decimal(30000)
+    return cents if abs(cents) < 10**16 else Decimal(30000)
+
+
+@PROPERTY
+@given(
+    st.lists(
+        st.one_of(
+            st.text("0123456789.eE+- dfnaix_", max_size=12),
+            st.from_regex(r"[+-]?[0-9]{0,18}(\.[0-9]{0,4})?([eE][+-]?[0-9]{1,2})?", fullmatch=True),
+        ),
+        min_size=1, max_size=60,
+    )
+)
+def test_salary_like_python(spark, texts):
+    assert column(spark, texts, "string", salary_amount) == [python_salary(t) for t in texts]
+
+
 def test_bonus(spark):
     rows = [
         ("Marche/running", "33130"),
