@@ -37,8 +37,8 @@ def _live(spark: SparkSession, args: argparse.Namespace) -> None:
         query.awaitTermination()
 
 
-def _employees(spark: SparkSession, path: str, all_versions: bool = False):
-    table = read_if_filled(spark, path, merge_schema=True)
+def _employees(spark: SparkSession, args: argparse.Namespace, all_versions: bool = False):
+    table = read_if_filled(spark, args.employees, args.merge_schema)
     return table if table is None or all_versions else live.current_employees(table)
 
 
@@ -48,7 +48,7 @@ def _analyse(spark: SparkSession, args: argparse.Namespace) -> None:
     if activities is not None:
         hr, declared = read_tabular(spark, args.hr), read_tabular(spark, args.sport)
         tables |= analysis.activity_analysis(hr, declared, activities)
-    employees = _employees(spark, args.employees, args.all_versions)
+    employees = _employees(spark, args, args.all_versions)
     if employees is not None:
         tables |= analysis.employee_analysis(employees)
     for name, table in tables.items():
@@ -82,7 +82,7 @@ def _export_once(spark: SparkSession, args: argparse.Namespace) -> None:
     done = dashboard.export_dashboard(
         args.out,
         read_if_filled(spark, args.activities),
-        _employees(spark, args.employees),
+        _employees(spark, args),
         args.single_file_rows,
         {kind: getattr(args, f"{kind}_name") for kind in dashboard.NAMES},
     )
@@ -111,16 +111,17 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--" + option.replace("_", "-"), **settings)
         sub.set_defaults(run=run)
 
-    need, may = {"required": True}, {"default": None}
+    need, may, flag = {"required": True}, {"default": None}, {"action": "store_true"}
     job("live", _live, activities=need, employees=need, root=need, servers=may, interval=may)
     job(
         "analyse", _analyse, hr=need, sport=need, activities=need, employees=need,
-        all_versions={"action": "store_true"}, rows={"type": int, "default": 20},
+        all_versions=flag, merge_schema=flag, rows={"type": int, "default": 20},
     )
     job("commute", _commute, hr=need, company=need, out=need, distances=may)
     job(
         "export", _export, activities=need, employees=need, out=need,
         single_file_rows={"type": int, "default": None}, interval=may, checkpoint=may,
+        merge_schema=flag,
         **{f"{kind}_name": {"default": name} for kind, name in dashboard.NAMES.items()},
     )
     job("clean", _clean, hr=need, sport=need, out=need, sep={"default": ","})

@@ -34,17 +34,18 @@ def payloads(
     messages: DataFrame,
     schema: T.StructType,
     wanted: Callable[[Column], Column],
-    keep_raw: bool = False,
+    *kept: Column,
 ) -> DataFrame:
-    """Payload fields of the messages whose payload is `wanted`.
+    """Payload fields of the messages whose payload is `wanted`, beside the `kept` columns.
 
     A filter on the parsed value would be pushed below the projection and parse each message a
     second time. Unpacking a filtered array of at most one payload parses once.
     """
-    text = F.col("value").cast("string")
-    parsed = messages.select(text.alias("raw_value"), F.from_json(text, schema).alias("d"))
+    parsed = messages.select(
+        F.from_json(F.col("value").cast("string"), schema).alias("d"), *kept
+    )
     unpacked = F.inline(F.filter(F.array("d.payload"), wanted))
-    return parsed.select("raw_value", unpacked) if keep_raw else parsed.select(unpacked)
+    return parsed.select(unpacked, *parsed.columns[1:])
 
 
 def raw_text(messages: DataFrame) -> DataFrame:
@@ -58,17 +59,24 @@ def parse_images(messages: DataFrame, image: T.StructType, keep_raw: bool = Fals
     Messages without a new image (deletes, tombstones, broken JSON) are left out; `change_rows` and
     `rejects` cover them.
     """
-    found = payloads(messages, envelope(image), lambda p: p["after"].isNotNull(), keep_raw)
-    raw = ["raw_value"] if keep_raw else []
-    return found.select("after.*", "op", F.col("ts_ms").alias("cdc_ts_ms"), *raw)
+    raw = [F.col("value").cast("string").alias("raw_value")] if keep_raw else []
+    found = payloads(messages, envelope(image), lambda p: p["after"].isNotNull(), *raw)
+    names = ["raw_value"] if keep_raw else []
+    return found.select("after.*", "op", F.col("ts_ms").alias("cdc_ts_ms"), *names)
 
 
 def change_rows(messages: DataFrame, image: T.StructType, key: str = "id_salarie") -> DataFrame:
-    """Like `parse_images`, with deletes as rows that carry the key of the old image only."""
+    """Like `parse_images`, with deletes as rows that carry the key of the old image only.
+
+    `cdc_offset` is the place of the message in its Kafka partition, null for other sources. All
+    messages of a key are in one partition, so it orders changes within a millisecond.
+    """
+    offset = F.col("offset") if "offset" in messages.columns else F.lit(None)
     found = payloads(
         messages,
         envelope(image, before=True),
         lambda p: p["after"].isNotNull() | F.coalesce(p["op"] == "d", F.lit(False)),
+        offset.cast("long").alias("cdc_offset"),
     )
     fields = {name: F.col(f"after.{name}") for name in image.names}
     fields[key] = F.coalesce(fields[key], F.col(f"before.{key}"))
@@ -76,6 +84,7 @@ def change_rows(messages: DataFrame, image: T.StructType, key: str = "id_salarie
         *[field.alias(name) for name, field in fields.items()],
         "op",
         F.col("ts_ms").alias("cdc_ts_ms"),
+        "cdc_offset",
     )
 
 

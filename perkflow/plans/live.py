@@ -14,8 +14,8 @@ from perkflow.streaming.ingest import stream_activities, stream_employees
 from perkflow.streaming.reports import stream_mode_report
 
 # Newest version of an employee: event time first, so that a stream that starts over from a new
-# checkpoint does not bring old versions back; then the load.
-VERSION_ORDER = ("cdc_ts_ms", "processing_timestamp", "batch_id")
+# checkpoint does not bring old versions back; then the place in the message log; then the load.
+VERSION_ORDER = ("cdc_ts_ms", "cdc_offset", "processing_timestamp", "batch_id")
 
 
 def start_live(

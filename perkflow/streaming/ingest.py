@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from perkflow.functions.pay import salary_defaulted
+from perkflow.model import EMPLOYEE_IMAGE
 from perkflow.operators.changes import (
     decode_activities,
     decode_employee_changes,
@@ -22,7 +23,7 @@ from perkflow.sources.tables import write_load
 Metrics = Callable[[int, dict[str, Any]], None]
 
 
-def _paced(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
+def paced(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     """Run forever at an interval, or without one take what is there and end."""
     if interval:
         return writer.trigger(processingTime=interval)
@@ -38,7 +39,7 @@ def append_stream(
 ) -> StreamingQuery:
     """Append a stream to a Parquet folder, exactly once per checkpoint."""
     writer = rows.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
-    return _paced(writer.option("checkpointLocation", checkpoint), interval).start(path)
+    return paced(writer.option("checkpointLocation", checkpoint), interval).start(path)
 
 
 def stream_activities(
@@ -72,7 +73,7 @@ def stream_raw(
 def show_stream(rows: DataFrame, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Print a stream, for debugging."""
     writer = rows.writeStream.format("console").outputMode("append").option("truncate", "false")
-    return _paced(writer.option("checkpointLocation", checkpoint), interval).start()
+    return paced(writer.option("checkpointLocation", checkpoint), interval).start()
 
 
 def load_employees(
@@ -85,7 +86,7 @@ def load_employees(
     done and is repeated, which replaces its partition.
     """
     changes = decode_employee_changes(messages)
-    names = [name for name in changes.columns if name not in ("op", "cdc_ts_ms")]
+    names = EMPLOYEE_IMAGE.names
     is_row = F.coalesce(F.col("op"), F.lit("c")) != "d"
     seen = Observation()
     nulls = [F.count_if(is_row & F.col(name).isNull()).alias(f"null_{name}") for name in names]
@@ -128,4 +129,4 @@ def stream_employees(
             on_metrics(batch_id, figures)
 
     writer = messages.writeStream.foreachBatch(load).outputMode("append")
-    return _paced(writer.option("checkpointLocation", checkpoint), interval).start()
+    return paced(writer.option("checkpointLocation", checkpoint), interval).start()

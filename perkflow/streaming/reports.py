@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from perkflow.model import MONEY, MONEY_SUM
 from perkflow.operators.changes import decode_employees, with_pay
 from perkflow.operators.cleaning import fill_defaults
-from perkflow.streaming.ingest import _paced
+from perkflow.streaming.ingest import paced
 
 
 def running_mode_report(messages: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def stream_mode_report(
         report.write.mode("overwrite").parquet(path)
 
     writer = running_mode_report(messages).writeStream.outputMode("complete").foreachBatch(replace)
-    return _paced(writer.option("checkpointLocation", checkpoint), interval).start()
+    return paced(writer.option("checkpointLocation", checkpoint), interval).start()
 
 
 def on_new_data(

@@ -113,7 +113,7 @@ def test_commutes(spark, place):
 def test_command_line(spark, place, capsys):
     main(["clean", "--hr", f"{place}/hr.csv", "--sport", f"{place}/sport.csv", "--out", f"{place}/clean"])
     employees = clean(spark, place).withColumns(
-        {"op": F.lit("c"), "cdc_ts_ms": F.lit(1), "processing_timestamp": F.current_timestamp(), "batch_id": F.lit(0)}
+        {"op": F.lit("c"), "cdc_ts_ms": F.lit(1), "cdc_offset": F.lit(1), "processing_timestamp": F.current_timestamp(), "batch_id": F.lit(0)}
     )
     employees.write.parquet(f"{place}/employees")
     tables = ["--activities", f"{place}/activities", "--employees", f"{place}/employees"]

@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from perkflow.operators.changes import decode_employee_changes
 from perkflow.plans.live import current_employees, start_live
 from perkflow.sources.messages import file_messages, kafka_options
 from perkflow.streaming import alerts, ingest, reports
@@ -79,6 +80,15 @@ def test_versions_and_deletes(spark, tmp_path):
     assert [(r.id_salarie, r.nom) for r in current_employees(table).collect()] == [("7", "c")]
 
 
+def test_changes_within_a_millisecond(spark):
+    rows = [(n, person(7, "u", 1, nom=nom)) for n, nom in ((5, "a"), (7, "c"), (6, "b"))]
+    messages = spark.createDataFrame(rows, "offset long, value string")
+    table = decode_employee_changes(messages).withColumns(
+        {"processing_timestamp": F.current_timestamp(), "batch_id": F.lit(0)}
+    )
+    assert [(r.nom, r.cdc_offset) for r in current_employees(table).collect()] == [("c", 7)]
+
+
 def test_replayed_batch_replaces_itself(spark, tmp_path):
     put(spark, tmp_path / "in", [person(1), person(2)])
     run_employees(spark, tmp_path)
