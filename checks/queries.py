@@ -299,8 +299,9 @@ def active_details(spark, sf_dir):
 @query
 def active_and_eco(spark, sf_dir):
     people = roles.employees(spark, sf_dir)
-    details = activity.active_details(_totals(spark, sf_dir), people, ordered=False)
-    return activity.active_and_eco(details, activity.eco_employees(people))
+    hot = activity.hot_ids(people)
+    details = activity.active_details(_totals(spark, sf_dir), people, ordered=False, hot=hot)
+    return activity.active_and_eco(details, activity.eco_employees(people), hot)
 
 
 @query

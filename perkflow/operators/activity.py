@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perkflow.functions.pay import is_eco
 from perkflow.model import ACTIVE_THRESHOLD, MONEY_SUM, WELLBEING_DAYS
-from perkflow.operators.joins import salted_join
+from perkflow.operators.joins import hot_keys, salted_join
 
 
 def _declares(sport: str) -> Column:
@@ -88,11 +91,16 @@ def top_active(totals: DataFrame, n: int = 20) -> DataFrame:
 
 
 def active_details(
-    totals: DataFrame, hr: DataFrame, threshold: int = ACTIVE_THRESHOLD, ordered: bool = True
+    totals: DataFrame,
+    hr: DataFrame,
+    threshold: int = ACTIVE_THRESHOLD,
+    ordered: bool = True,
+    hot: Sequence[Any] | None = None,
 ) -> DataFrame:
     """HR details of the active employees, most active first unless `ordered` is off.
 
-    Leave the order out where another join follows.
+    Leave the order out where another join follows. `hot` are ids with very many HR rows, see
+    `salted_join`.
     """
     people = hr.select(
         F.col("id_salarie").cast("string").alias("id_salarie"),
@@ -102,7 +110,7 @@ def active_details(
         "salaire_brut",
     )
     active = totals.filter(F.col("nb_activites_total") >= threshold)
-    joined = salted_join(people, active, "id_salarie", "inner")
+    joined = salted_join(people, active, "id_salarie", "inner", hot)
     if not ordered:
         return joined
     return joined.orderBy(F.col("nb_activites_total").desc(), "id_salarie")
@@ -113,10 +121,17 @@ def eco_employees(hr: DataFrame) -> DataFrame:
     return hr.filter(is_eco(F.col("moyen_deplacement")))
 
 
-def active_and_eco(details: DataFrame, eco: DataFrame) -> DataFrame:
+def active_and_eco(
+    details: DataFrame, eco: DataFrame, hot: Sequence[Any] | None = None
+) -> DataFrame:
     """Active employees who are also among the eco employees."""
     ids = eco.select(F.col("id_salarie").cast("string").alias("id_salarie")).distinct()
-    return salted_join(details, ids, "id_salarie", "left_semi")
+    return salted_join(details, ids, "id_salarie", "left_semi", hot)
+
+
+def hot_ids(hr: DataFrame) -> list[Any]:
+    """Ids with very many HR rows, as text."""
+    return hot_keys(hr.select(F.col("id_salarie").cast("string").alias("id")), "id")
 
 
 def wellbeing_days(

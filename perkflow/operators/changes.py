@@ -16,9 +16,9 @@ from perkflow.operators.columns import ensure_column
 CORRUPT = "_corrupt_record"
 
 
-def envelope(image: T.StructType, before: bool = False) -> T.StructType:
-    """Schema of a message. The old image is parsed only on request."""
-    old = [T.StructField("before", image)] if before else []
+def envelope(image: T.StructType, old_key: str | None = None) -> T.StructType:
+    """Schema of a message. Of the old image only the key is parsed, and only on request."""
+    old = [T.StructField("before", T.StructType([image[old_key]]))] if old_key else []
     payload = T.StructType(
         [
             T.StructField("op", T.StringType()),
@@ -74,7 +74,7 @@ def change_rows(messages: DataFrame, image: T.StructType, key: str = "id_salarie
     offset = F.col("offset") if "offset" in messages.columns else F.lit(None)
     found = payloads(
         messages,
-        envelope(image, before=True),
+        envelope(image, key),
         lambda p: p["after"].isNotNull() | F.coalesce(p["op"] == "d", F.lit(False)),
         offset.cast("long").alias("cdc_offset"),
     )

@@ -2,22 +2,53 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import Any
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _SALT = "_salt"
 
 
+def hot_keys(
+    rows: DataFrame, key: str, fraction: float = 0.01, least: int = 10_000, most: int = 1_000
+) -> list[Any]:
+    """Keys, null among them, that occur at least `least` times in a sample, the commonest first.
+
+    At most `most` keys come to the driver. Any key beyond them has less than one row in `most`, so
+    it needs no splitting. The sample steers the plan only, never the result.
+    """
+    counts = rows.select(F.col(key).alias("k")).sample(fraction, seed=1).groupBy("k").count()
+    top = counts.filter(F.col("count") >= least).orderBy(F.col("count").desc()).limit(most)
+    return [row.k for row in top.collect()]
+
+
 def salted_join(
-    rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", salts: int = 8
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "inner",
+    hot: Sequence[Any] | None = None,
 ) -> DataFrame:
-    """Join on `key` where one key may hold a large part of `rows`.
+    """Join on `key` where a few keys may hold a large part of `rows`.
 
-    `lookup` has one row per key. It is repeated once per salt, and each row takes the salt of the
-    map task that read it, so a hot key spreads over `salts` tasks even if its rows are copies. Both
-    inputs of the join are then plain shuffles, which lets adaptive execution split partitions that
-    are still too large or broadcast a lookup that turns out small.
+    `lookup` has one row per key. Without hot keys this is a plain join. Rows with a hot key take the
+    salt of the map task that read them, so that even copies spread over many tasks, and the lookup
+    row of a hot key is repeated once per salt; all other rows keep salt 0 and move once. Without
+    `hot` the keys come from a sample of `rows`; give them if `rows` is costly to compute.
     """
-    spread = rows.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    found = hot_keys(rows, key) if hot is None else hot
+    if not found:
+        return rows.join(lookup, key, how)
+    salts = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1_000)
+    values = [value for value in found if value is not None]
+    is_hot = F.col(key).isin(values) if values else F.lit(False)
+    own_salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+    # Null keys match nothing but must not meet in one task.
+    spread = rows.withColumn(
+        _SALT, F.when(F.col(key).isNull() | is_hot, own_salt).otherwise(F.lit(0))
+    )
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = lookup.withColumn(_SALT, F.explode(copies))
     return spread.join(repeated, [key, _SALT], how).drop(_SALT)

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perkflow.functions.pay import bonus_of, eco_bonus, is_eco, salary_amount
 from perkflow.model import ACTIVE_THRESHOLD, MONEY, MONEY_SUM
@@ -124,6 +125,14 @@ def budget_sql(employees: DataFrame, view: str = "employee_filtered") -> DataFra
     )
 
 
+def _as_number(df: DataFrame, name: str) -> Column:
+    """Numbers as they are, text as far as it reads as one, nothing for other types."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(name)
+    return F.col(name).try_cast("double") if isinstance(kind, T.StringType) else F.lit(None).cast("double")
+
+
 def describe_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, deviation, minimum and maximum as one row per column, in one pass.
 
@@ -132,12 +141,12 @@ def describe_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     names = list(columns or df.columns)
     aggregates = []
     for name in names:
-        number = F.col(name).cast("string").try_cast("double")
+        number = _as_number(df, name)
         aggregates.append(
             F.struct(
                 F.lit(name).alias("colonne"),
                 F.count(name).alias("nombre"),
-                F.avg(number).alias("moyenne"),
+                F.avg(number).cast("double").alias("moyenne"),
                 F.stddev(number).alias("ecart_type"),
                 F.min(name).cast("string").alias("minimum"),
                 F.max(name).cast("string").alias("maximum"),

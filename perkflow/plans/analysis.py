@@ -20,12 +20,13 @@ def activity_analysis(
         activity.activity_totals(declared, activities, columns.discover_id(activities)), "totals"
     )
     eco = activity.eco_employees(hr)
-    unordered = activity.active_details(totals, hr, threshold, ordered=False)
+    hot = activity.hot_ids(hr)
+    unordered = activity.active_details(totals, hr, threshold, ordered=False, hot=hot)
     return {
         "active_employees": activity.active_employees(totals, threshold),
-        "active_details": activity.active_details(totals, hr, threshold),
+        "active_details": activity.active_details(totals, hr, threshold, hot=hot),
         "eco_employees": eco,
-        "active_and_eco": activity.active_and_eco(unordered, eco),
+        "active_and_eco": activity.active_and_eco(unordered, eco, hot),
         "eco_bonuses": reports.eco_bonuses(hr),
         "eco_budget": reports.eco_budget(hr),
     }

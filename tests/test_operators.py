@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from perkflow.operators import activity, changes, cleaning, columns, quality, reports, versions
-from perkflow.operators.joins import salted_join
+from perkflow.operators.joins import hot_keys, salted_join
 
 
 def rows(frame, *names):
@@ -232,14 +232,24 @@ def test_wellbeing_days_per_year(spark):
 # --- joins -------------------------------------------------------------------------------------
 
 
+@pytest.fixture
+def skewed(spark):
+    """A third null, a third with key 0, a third with keys of their own."""
+    key = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 0).otherwise(F.col("id"))
+    return spark.range(0, 9000, 1, 12).select(key.alias("k"), "id")
+
+
+def test_hot_keys(skewed):
+    assert set(hot_keys(skewed, "k", fraction=1.0, least=100)) == {None, 0}
+    assert hot_keys(skewed, "k", fraction=1.0, least=100, most=1) in ([None], [0])
+    assert hot_keys(skewed, "k") == []
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_salted_join_with_a_hot_key(spark, how):
-    big = spark.range(0, 9000, 1, 12).select(
-        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 0).otherwise(F.col("id")).alias("k"),
-        "id",
-    )
+@pytest.mark.parametrize("hot", [None, [], [0, None], [0], [None], [0, 5, 777, -1]])
+def test_salted_join_equals_plain_join(spark, skewed, how, hot):
     lookup = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    assert rows(salted_join(big, lookup, "k", how)) == rows(big.join(lookup, "k", how))
+    assert rows(salted_join(skewed, lookup, "k", how, hot)) == rows(skewed.join(lookup, "k", how))
 
 
 def test_salted_join_spreads_the_hot_key(spark):
@@ -249,7 +259,7 @@ def test_salted_join_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
     try:
-        joined = salted_join(big, lookup, "k")
+        joined = salted_join(big, lookup, "k", hot=[1])
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         for name in ("autoBroadcastJoinThreshold", "adaptive.enabled"):
@@ -280,11 +290,14 @@ def test_present_bonus_is_kept(spark):
 
 
 def test_describe(spark):
-    frame = spark.createDataFrame([("a", 1), ("b", 2), (None, None)], "t string, n int")
+    frame = spark.createDataFrame(
+        [("a", 1, date(2025, 1, 1)), ("b", 2, None), (None, None, None)], "t string, n int, d date"
+    )
     found = {row.colonne: row for row in reports.describe_stats(frame).collect()}
     assert found["t"][1:] == (2, None, None, "a", "b")
     assert found["n"][1:3] == (2, 1.5)
     assert found["n"][4:] == ("1", "2")
+    assert found["d"][1:] == (1, None, None, "2025-01-01", "2025-01-01")
 
 
 def test_quality(spark):
