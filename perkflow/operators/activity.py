@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from perkflow.functions.pay import is_eco
 from perkflow.model import ACTIVE_THRESHOLD, MONEY_SUM, WELLBEING_DAYS
 from perkflow.operators.joins import hot_keys, salted_join
+from perkflow.operators.ordering import order_rows
 
 
 def _declares(sport: str) -> Column:
@@ -113,7 +114,7 @@ def active_details(
     joined = salted_join(people, active, "id_salarie", "inner", hot)
     if not ordered:
         return joined
-    return joined.orderBy(F.col("nb_activites_total").desc(), "id_salarie")
+    return order_rows(joined, F.col("nb_activites_total").desc(), "id_salarie")
 
 
 def eco_employees(hr: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from perkflow.functions.pay import bonus_of, eco_bonus, is_eco, salary_amount
 from perkflow.model import ACTIVE_THRESHOLD, MONEY, MONEY_SUM
 from perkflow.operators.columns import ensure_column
+from perkflow.operators.ordering import order_rows
 
 
 def with_salary(employees: DataFrame) -> DataFrame:
@@ -34,9 +35,8 @@ def eco_bonuses(hr: DataFrame) -> DataFrame:
     """Bonus of each eco employee, largest first."""
     salary = salary_amount(F.col("salaire_brut").cast("string"))
     eco = hr.filter(is_eco(F.col("moyen_deplacement")))
-    return eco.withColumn("prime_annuelle", bonus_of(salary)).orderBy(
-        F.col("prime_annuelle").desc(), "id_salarie"
-    )
+    paid = eco.withColumn("prime_annuelle", bonus_of(salary))
+    return order_rows(paid, F.col("prime_annuelle").desc(), "id_salarie")
 
 
 def eco_budget(employees: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from perkflow.operators import activity, changes, cleaning, columns, quality, reports, versions
 from perkflow.operators.joins import hot_keys, salted_join
+from perkflow.operators.ordering import order_rows
 
 
 def rows(frame, *names):
@@ -269,6 +270,26 @@ def test_salted_join_spreads_the_hot_key(spark):
     assert len(sizes) >= 4
 
 
+def test_order_of_equal_rows(spark):
+    copies = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 4 == 0, F.col("id")).otherwise(7).alias("k")
+    )
+    sorted_rows = order_rows(copies, F.col("k").desc())
+    assert sorted_rows.columns == ["k"]
+    keys = [r.k for r in sorted_rows.collect()]
+    assert keys == sorted(keys, reverse=True)
+
+
+def test_order_spreads_copies_over_tasks(spark):
+    copies = spark.range(0, 40_000, 1, 8).select(F.lit(7).alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = order_rows(copies, "k").rdd.glom().map(len).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(parts) < 20_000
+
+
 # --- reports and quality -----------------------------------------------------------------------
 
 
