@@ -10,13 +10,13 @@ MONEY = T.DecimalType(18, 2)
 MONEY_SUM = T.DecimalType(28, 2)
 
 # ---------------------------------------------------------------------------
-# Row images inside the change envelope. Times are numbers there: micros since
-# the epoch for timestamps, days since the epoch for dates.
+# Row images inside the change envelope. Times come as numbers (micros or days
+# since the epoch) or as ISO text, so they are read as text.
 # ---------------------------------------------------------------------------
 ACTIVITY_IMAGE = T.StructType(
     [
         T.StructField("id_salarie", T.StringType()),
-        T.StructField("start_date", T.LongType()),
+        T.StructField("start_date", T.StringType()),
         T.StructField("activity_type", T.StringType()),
         T.StructField("distance_m", T.FloatType()),
         T.StructField("duration_sec", T.IntegerType()),
@@ -31,7 +31,7 @@ EMPLOYEE_IMAGE = T.StructType(
         T.StructField("moyen_deplacement", T.StringType()),
         T.StructField("nom", T.StringType()),
         T.StructField("prenom", T.StringType()),
-        T.StructField("date_embauche", T.IntegerType()),
+        T.StructField("date_embauche", T.StringType()),
         T.StructField("type_contrat", T.StringType()),
         T.StructField("bu", T.StringType()),
     ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perkflow.functions.dates import from_days, from_micros
+from perkflow.functions.dates import change_date, change_time
 from perkflow.functions.pay import eco_bonus, salary_amount, salary_defaulted
 from perkflow.model import ACTIVITY_IMAGE, EMPLOYEE_IMAGE
 from perkflow.operators.columns import ensure_column
@@ -113,19 +113,19 @@ def rejects(messages: DataFrame, image: T.StructType) -> DataFrame:
 def decode_activities(messages: DataFrame) -> DataFrame:
     """Activity rows with a true start time."""
     rows = parse_images(messages, ACTIVITY_IMAGE)
-    return rows.withColumn("start_date", from_micros(F.col("start_date"))).drop("op", "cdc_ts_ms")
+    return rows.withColumn("start_date", change_time(F.col("start_date"))).drop("op", "cdc_ts_ms")
 
 
 def decode_employees(messages: DataFrame, keep_raw: bool = False) -> DataFrame:
     """Employee rows with a true hire date."""
     rows = parse_images(messages, EMPLOYEE_IMAGE, keep_raw)
-    return rows.withColumn("date_embauche", from_days(F.col("date_embauche")))
+    return rows.withColumn("date_embauche", change_date(F.col("date_embauche")))
 
 
 def decode_employee_changes(messages: DataFrame) -> DataFrame:
     """Employee rows and deletes with a true hire date."""
     rows = change_rows(messages, EMPLOYEE_IMAGE)
-    return rows.withColumn("date_embauche", from_days(F.col("date_embauche")))
+    return rows.withColumn("date_embauche", change_date(F.col("date_embauche")))
 
 
 def with_pay(rows: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from perkflow import model
 from perkflow.functions.alerts import alert_text
 from perkflow.functions.commute import city_distance, commute_verdict, postcode_distance
 from perkflow.functions.dates import from_days, from_micros, minute_text
@@ -166,6 +167,44 @@ def test_commute_rule(spark):
         assert row.found == row.wanted
 
 
+def python_verdict(km, mode):
+    if km is None or mode is None:
+        return model.MISSING_DATA
+    rules = [
+        (model.EXCLUDED_WORDS, None, ""),
+        (model.WALK_WORDS, model.WALK_LIMIT_KM, "Marche"),
+        (model.RIDE_WORDS, model.RIDE_LIMIT_KM, "Vélo"),
+    ]
+    for words, limit, label in rules:
+        if any(word in mode.lower() for word in words):
+            if limit is None:
+                return EXCLUDED
+            return "Valide" if km <= limit else f"Erreur: {km}km > {limit}km ({label})"
+    return model.UNKNOWN_MODE
+
+
+@PROPERTY
+@given(
+    st.lists(
+        st.tuples(
+            st.none() | st.floats(min_value=0, max_value=100).map(lambda x: round(x, 2)),
+            st.none()
+            | st.lists(
+                st.sampled_from(["Marche", "RUNNING", "Vélo", "velo", "Trottinette", "Voiture",
+                                 "électrique", "electrique", "Transports", "x", "/"]),
+                max_size=3,
+            ).map(" ".join),
+        ),
+        min_size=1, max_size=60,
+    )
+)
+def test_commute_rule_like_python(spark, cases):
+    frame = spark.createDataFrame(cases, "km double, mode string")
+    verdict = commute_verdict(F.col("km"), F.lower("mode"))
+    found = [row.v for row in frame.select(verdict.alias("v")).collect()]
+    assert found == [python_verdict(km, mode) for km, mode in cases]
+
+
 def test_distance_lookup(spark):
     places = ["1 rue, 34970 Saint-Clément-de-Rivière", "2 rue, 34110 X", "Paris", None, "", "9340009"]
     cities = column(spark, places, "string", lambda a: city_distance(F.lower(a)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -141,6 +141,24 @@ def test_decode(messages):
     assert hired == date(2020, 3, 31)
 
 
+def test_one_bad_field_spares_the_row(spark):
+    text = '{"payload":{"after":{"id_salarie":"9","duration_sec":"long","distance_m":1.5}}}'
+    found = changes.decode_activities(spark.createDataFrame([(text,)], "value string"))
+    assert rows(found, "id_salarie", "duration_sec", "distance_m") == [("9", None, 1.5)]
+
+
+def test_times_as_numbers_or_text(spark):
+    times = ["1758807237827000", '"2025-09-25T13:33:57.827Z"', '"soon"', "null"]
+    texts = [('{"payload":{"after":{"start_date":%s}}}' % t,) for t in times]
+    found = changes.decode_activities(spark.createDataFrame(texts, "value string"))
+    moment = datetime(2025, 9, 25, 13, 33, 57, 827000)
+    assert [r.start_date for r in found.collect()] == [moment, moment, None, None]
+    days = ["18352", '"2020-03-31"', '"x"']
+    texts = [('{"payload":{"after":{"date_embauche":%s}}}' % d,) for d in days]
+    found = changes.decode_employees(spark.createDataFrame(texts, "value string"))
+    assert [r.date_embauche for r in found.collect()] == [date(2020, 3, 31), date(2020, 3, 31), None]
+
+
 def test_raw_text_stays_beside_the_row(messages):
     kept = changes.decode_employees(messages, keep_raw=True)
     assert rows(kept.filter("nom = 'a'"), "raw_value") == [(MESSAGES[0],)]
