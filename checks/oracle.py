@@ -434,8 +434,8 @@ parsed AS (
     FROM texts
 )
 SELECT c_custkey, {dbl('coalesce(v, 30000)')} AS salaire, v IS NULL AS defaut FROM parsed""",
-    "title_case": f"SELECT conv_id, turn, {title_case('text')} AS titre FROM conversations",
-    "mode_key": f"SELECT conv_id, turn, {key_of('text')} AS cle FROM conversations",
+    "title_case": f"SELECT doc_id, {title_case('text')} AS titre FROM documents",
+    "mode_key": f"SELECT doc_id, {key_of('text')} AS cle FROM documents",
     "date_text": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M') AS minute FROM events",
     "distance_by_city": f"""WITH {EMPLOYEES}
 SELECT id_salarie, coalesce({city_distance('adresse')}, -1) AS distance_km FROM employees""",
@@ -501,6 +501,10 @@ SELECT id_salarie, salaire_brut, moyen_deplacement, nom, prenom,
            AS date_embauche,
        type_contrat, bu, {dbl('prime_annuelle')} AS prime_annuelle, salary_defaulted
 FROM filled_priced""",
+    "stream_current_employees": f"""WITH {VERSIONS}
+SELECT id_salarie, salaire_brut, coalesce(moyen_deplacement, 'Non spécifié') AS moyen_deplacement,
+       {dbl('prime_annuelle')} AS prime_annuelle
+FROM latest JOIN orders ON o_orderkey = version_no WHERE o_orderstatus <> 'P'""",
     "stream_alerts": """
 SELECT CAST(user_id AS VARCHAR) AS id_salarie,
        '🎯 Nouvelle activité sportive!' || chr(10) || '👤 Employé: ' || user_id || chr(10)

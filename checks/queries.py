@@ -28,6 +28,7 @@ from perkflow.operators import (
 from perkflow.plans import loading
 from perkflow.plans.commuting import validated_commutes
 from perkflow.plans.dashboard import activity_export, bonus_rows, with_decimal_comma
+from perkflow.plans.live import current_employees
 from perkflow.sources.catalog import register_table
 from perkflow.sources.scratch import scratch_path
 from perkflow.sources.tables import append_rows, point_lookup, read_table, write_load
@@ -446,14 +447,14 @@ def salary_parse(spark, sf_dir):
 
 @query_as("title_case")
 def title_case_texts(spark, sf_dir):
-    rows = roles.table(spark, sf_dir, "conversations")
-    return rows.select("conv_id", "turn", title_case(F.col("text")).alias("titre"))
+    rows = roles.table(spark, sf_dir, "documents")
+    return rows.select("doc_id", title_case(F.col("text")).alias("titre"))
 
 
 @query_as("mode_key")
 def mode_key_texts(spark, sf_dir):
-    rows = roles.table(spark, sf_dir, "conversations")
-    return rows.select("conv_id", "turn", mode_key(F.col("text")).alias("cle"))
+    rows = roles.table(spark, sf_dir, "documents")
+    return rows.select("doc_id", mode_key(F.col("text")).alias("cle"))
 
 
 @query
@@ -599,6 +600,16 @@ def stream_cdc_employees(spark, sf_dir):
     )
 
 
+@query
+def stream_current_employees(spark, sf_dir):
+    """Versions and deletes through the employee stream, then the state they end in."""
+    root = scratch_path(spark, "stream_current_employees")
+    messages = roles.version_messages(roles.table_stream(spark, sf_dir, "orders"))
+    ingest.stream_employees(messages, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    current = current_employees(spark.read.parquet(f"{root}/table"))
+    return current.select("id_salarie", "salaire_brut", "moyen_deplacement", "prime_annuelle")
+
+
 @query
 def stream_alerts(spark, sf_dir):
     root = scratch_path(spark, "stream_alerts")

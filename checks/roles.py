@@ -169,6 +169,27 @@ def activity_messages(events: DataFrame) -> DataFrame:
     return to_messages(events, F.col("event_id"), after, F.lit("c"), F.unix_millis(F.col("ts").cast("timestamp")))
 
 
+def version_messages(orders: DataFrame) -> DataFrame:
+    """Every order as a change of its employee; orders in status P delete the employee."""
+    rows = orders.withColumn("offset", F.col("o_orderkey"))
+    deleted = F.col("o_orderstatus") == "P"
+    number = _text("o_custkey").alias("id_salarie")
+    after = F.struct(
+        number,
+        _text("o_totalprice").alias("salaire_brut"),
+        chosen("o_orderpriority", VERSION_MODES).alias("moyen_deplacement"),
+    )
+    return to_messages(
+        rows,
+        F.col("o_custkey"),
+        F.when(~deleted, after),
+        F.when(deleted, "d").otherwise("u"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")),
+        F.when(deleted, F.struct(number)),
+        "offset",
+    )
+
+
 def faulty_messages(events: DataFrame) -> DataFrame:
     """One kind of message per event type; only purchases are whole."""
     number = _text("event_id")

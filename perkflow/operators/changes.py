@@ -139,10 +139,19 @@ def with_pay(rows: DataFrame) -> DataFrame:
     return priced.withColumn("prime_annuelle", eco_bonus(F.col("salaire"), F.col("moyen_deplacement")))
 
 
-def to_messages(df: DataFrame, key: Column, after: Column, op: Column, ts_ms: Column) -> DataFrame:
-    """Wrap rows in the change envelope, as binary key and value."""
-    payload = F.struct(op.alias("op"), ts_ms.alias("ts_ms"), after.alias("after"))
+def to_messages(
+    df: DataFrame,
+    key: Column,
+    after: Column,
+    op: Column,
+    ts_ms: Column,
+    before: Column | None = None,
+    *kept: str,
+) -> DataFrame:
+    """Wrap rows in the change envelope, as binary key and value beside the `kept` columns."""
+    old = [] if before is None else [before.alias("before")]
+    payload = F.struct(op.alias("op"), ts_ms.alias("ts_ms"), *old, after.alias("after"))
     value = F.to_json(F.struct(payload.alias("payload")))
     return df.select(
-        key.cast("string").cast("binary").alias("key"), value.cast("binary").alias("value")
+        key.cast("string").cast("binary").alias("key"), value.cast("binary").alias("value"), *kept
     )
