@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from perkflow.plans import analysis, commuting, dashboard, live, loading
 from perkflow.session import build_session
@@ -14,7 +13,7 @@ from perkflow.sources.relational import EMPLOYEE_TYPES, append_relational
 from perkflow.sources.scratch import drop_scratch, scratch_path
 from perkflow.sources.tables import read_if_filled
 from perkflow.sources.tabular import read_tabular, write_csv
-from perkflow.streaming.reports import on_new_data
+from perkflow.streaming.reports import arrivals, on_new_data
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace, place: str):
@@ -66,12 +65,8 @@ def _export(spark: SparkSession, args: argparse.Namespace) -> None:
     _export_once(spark, args)
     if not args.interval:
         return
-    tables = [
-        spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).select(F.lit(1))
-        for path in (args.activities, args.employees)
-    ]
     on_new_data(
-        tables[0].union(tables[1]),
+        arrivals(spark, args.activities, args.employees),
         lambda batch_id: _export_once(spark, args),
         args.checkpoint or scratch_path(spark, "export"),
         args.interval,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,6 +42,18 @@ def stream_mode_report(
     return paced(writer.option("checkpointLocation", checkpoint), interval).start()
 
 
+def arrivals(spark: SparkSession, *folders: str) -> DataFrame:
+    """Stream with a row per row that arrives in table folders, which need not exist yet.
+
+    The last letter of each folder goes in brackets: a pattern, unlike a name, may match nothing.
+    """
+    streams = [
+        spark.readStream.schema("id_salarie string").parquet(f"{path[:-1]}[{path[-1]}]").select(F.lit(1))
+        for path in (folder.rstrip("/") for folder in folders)
+    ]
+    return reduce(DataFrame.union, streams)
+
+
 def on_new_data(
     messages: DataFrame, action: Callable[[int], None], checkpoint: str, interval: str = "30 seconds"
 ) -> StreamingQuery:

@@ -205,6 +205,22 @@ def test_job_on_new_data(spark, tmp_path):
     assert done == [0, 1]
 
 
+def test_arrivals_in_tables_that_come_later(spark, tmp_path):
+    done = []
+    new = reports.arrivals(spark, str(tmp_path / "moves"), str(tmp_path / "table"))
+    query = reports.on_new_data(new, done.append, str(tmp_path / "c"), "1 second")
+    query.processAllAvailable()
+    before = len(done)
+    put(spark, tmp_path / "in", [person(1)])
+    run_employees(spark, tmp_path)
+    query.processAllAvailable()
+    middle = len(done)
+    spark.range(1).select(F.lit("1").alias("id_salarie")).write.parquet(str(tmp_path / "moves"))
+    query.processAllAvailable()
+    query.stop()
+    assert before < middle < len(done)
+
+
 def test_console(spark, tmp_path):
     put(spark, tmp_path / "in", [move(1)])
     query = ingest.show_stream(file_messages(spark, str(tmp_path / "in")), str(tmp_path / "c"))
