@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,35 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
+def runs(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Rows that agree in the first `keys` columns; the rows come sorted by them."""
+    kept: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for column in columns:
+            change |= column[1:] != column[:-1]
+        starts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for low, high in zip(starts, starts[1:]):
+            here = tuple(column[low] for column in columns)
+            if kept and here != last:
+                yield _joined(kept)
+                kept = []
+            kept.append(batch.slice(low, high - low))
+            last = here
+    if kept:
+        yield _joined(kept)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    if len(parts) == 1:
+        return parts[0]
+    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component_id): the smallest id reachable, for every id on an edge of `edges` (a, b).
 

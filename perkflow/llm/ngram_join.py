@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perkflow.llm.common import components, slices, word_hashes
+from perkflow.llm.common import components, runs, slices, word_hashes
 from perkflow.sources.scratch import materialise
 
 SHINGLE = 5
@@ -184,35 +184,6 @@ def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
-    """Rows that agree in the first `keys` columns; the rows come sorted by them."""
-    kept: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
-        change = np.zeros(batch.num_rows - 1, bool)
-        for column in columns:
-            change |= column[1:] != column[:-1]
-        starts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-        for low, high in zip(starts, starts[1:]):
-            here = tuple(column[low] for column in columns)
-            if kept and here != last:
-                yield _joined(kept)
-                kept = []
-            kept.append(batch.slice(low, high - low))
-            last = here
-    if kept:
-        yield _joined(kept)
-
-
-def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    if len(parts) == 1:
-        return parts[0]
-    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-
-
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, HASHES)
 
@@ -279,7 +250,7 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
     dealt = dealt.select("band", "low", "high", "rep", "block", "sig")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _runs(batches, 3):
+        for group in runs(batches, 3):
             if group.num_rows < 2:
                 continue
             block = _numbers(group.column(4))
@@ -306,7 +277,7 @@ def verified_links(documents: DataFrame, reps: DataFrame, groups: DataFrame) ->
     rows = rows.withColumn("text", word_hashes(F.col("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _runs(batches, 3):
+        for group in runs(batches, 3):
             ids, first = np.unique(_numbers(group.column(3)), return_index=True)
             group = group.take(pa.array(first))
             if len(ids) < 2:

@@ -8,17 +8,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkflow.llm import bpe, decontamination, language, ngram_join, toxicity
+from perkflow.llm import (
+    bpe,
+    decontamination,
+    embedding_dedup,
+    html_text,
+    language,
+    license_scan,
+    lm_scoring,
+    ngram_join,
+    toxicity,
+    warc,
+)
 from perkflow.llm.common import bucket_of, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled of good quality."""
+    documents = read_table(spark, sf_dir, "documents")
+    target = read_table(spark, sf_dir, "labels").filter("quality = 1")
+    return lm_scoring.score(documents, lm_scoring.train(documents, target))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_join(read_table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return decontamination.contamination(documents, read_table(spark, sf_dir, "benchmark"))
@@ -31,12 +53,24 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path(RANKS))
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.encode(documents, ranks, public_tokenizers.PATTERN), ranks)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     model = toxicity.train(documents, read_table(spark, sf_dir, "labels"))
@@ -46,10 +80,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_ngram_join": op2_ngram_join,
+    "op3_html_text": op3_html_text,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
+    "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_bpe": op8_bpe,
+    "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
 }
 #: None of these can be stated in SQL; tests compare them with brute force or held-out labels.
