@@ -16,8 +16,8 @@ def _case(key: str, values: dict[str, str]) -> str:
 
 MODE = _case("c_mktsegment", roles.MODES)
 VERSION_MODE = _case("o_orderpriority", roles.VERSION_MODES)
-SPORT = _case("o_orderpriority", roles.SPORTS)
-DECLARED = _case("c_mktsegment", roles.SEGMENT_SPORT)
+ACTIVITY_TYPE = _case("o_orderpriority", roles.ACTIVITY_TYPES)
+DECLARED = _case("c_mktsegment", roles.SEGMENT_PRACTICE)
 PLACES = "[" + ", ".join(_quote(p) for p in roles.PLACES) + "]"
 
 
@@ -83,7 +83,7 @@ latest AS (
 ACTIVITIES = f"""
 activities AS (
     SELECT CAST(o_custkey AS VARCHAR) AS id_salarie, o_orderdate AS start_date,
-           {SPORT} AS activity_type, o_totalprice AS distance_m, o_orderkey AS activity_no
+           {ACTIVITY_TYPE} AS activity_type, o_totalprice AS distance_m, o_orderkey AS activity_no
     FROM orders
 )"""
 
@@ -235,11 +235,21 @@ faulty AS (
                WHEN 'signup' THEN '{"schema": ' || event_id || '}'
                WHEN 'click' THEN '{"payload": {"op": "u", "ts_ms": ' || event_id || '}}'
                WHEN 'purchase' THEN
-                   '{"payload": {"op": "c", "after": {"id_salarie": "' || event_id || '"}}}'
+                   '{"payload": {"op": "c", "after": {"'
+                   || CASE event_id % 3 WHEN 0 THEN 'comment' ELSE 'id_salarie' END || '": "' || event_id
+                   || CASE event_id % 3 WHEN 1 THEN '", "distance_m": "abc' ELSE '' END || '"}}}'
            END AS value
     FROM events
 )"""
 
+REJECTS = f"""WITH {FAULTY}
+SELECT value AS raw_value,
+       CASE event_type WHEN 'view' THEN 'empty message' WHEN 'error' THEN 'broken json'
+            WHEN 'signup' THEN 'no payload' WHEN 'click' THEN 'no new image'
+            ELSE CASE event_id % 3 WHEN 0 THEN 'no key' ELSE 'bad field: distance_m' END
+       END AS reason
+FROM faulty WHERE event_type <> 'purchase' OR event_id % 3 < 2"""
+
 CHEVAL = _case("o_orderpriority", {**roles.VERSION_MODES, "4-NOT SPECIFIED": "Cheval"})
 
 
@@ -262,11 +272,19 @@ _NULLABLE = (
 )
 
 SQL: dict[str, str] = {
-    "scan_table": f"SELECT {big('count(*)')} AS nombre FROM lineitem",
+    "scan_table": f"""
+SELECT {big('count(*)')} AS nombre, {big('sum(l_orderkey)')} AS l_orderkey,
+       {big('sum(l_partkey)')} AS l_partkey, {big('sum(l_suppkey)')} AS l_suppkey,
+       {big('sum(l_linenumber)')} AS l_linenumber, max(l_quantity) AS l_quantity,
+       max(l_extendedprice) AS l_extendedprice, max(l_discount) AS l_discount, max(l_tax) AS l_tax,
+       max(l_returnflag) AS l_returnflag, max(l_linestatus) AS l_linestatus,
+       max(l_shipdate) AS l_shipdate
+FROM lineitem""",
     "point_lookup": "SELECT * FROM orders WHERE o_custkey = 76",
     "ingest_tabular": f"""WITH {EMPLOYEES}
-SELECT id_salarie, nom, prenom, salaire_brut, adresse, moyen_deplacement FROM employees""",
-    "csv_roundtrip": "SELECT event_id, user_id, event_type, props FROM events",
+SELECT lpad(id_salarie, 8, '0') AS id_salarie, nom, prenom, '1996-06-30' AS date_embauche,
+       salaire_brut, adresse, moyen_deplacement FROM employees""",
+    "csv_roundtrip": "SELECT doc_id, lang, source, n_chars, text FROM documents",
     "schema_evolution": """
 SELECT c_name AS nom, c_acctbal AS salaire, CAST(NULL AS VARCHAR) AS bu FROM customer
 UNION ALL SELECT s_name, s_acctbal, CAST(s_nationkey AS VARCHAR) FROM supplier""",
@@ -280,8 +298,8 @@ SELECT id_salarie, activity_type,
        CAST(CAST(distance_m AS DECIMAL(18,2)) AS VARCHAR) AS distance_m, activity_no
 FROM activities""",
     "external_table": f"""
-SELECT o_orderstatus, {big('count(*)')} AS nombre FROM orders GROUP BY 1""",
-    "clean_sport": f"""WITH {ACTIVITIES}
+SELECT o_orderstatus, {big('2 * count(*)')} AS nombre FROM orders GROUP BY 1""",
+    "clean_practice": f"""WITH {ACTIVITIES}
 SELECT id_salarie, activity_type, activity_no FROM activities
 QUALIFY row_number() OVER (PARTITION BY id_salarie ORDER BY activity_no) = 1""",
     "employee_rows": """
@@ -299,11 +317,21 @@ SELECT id_salarie, moyen_deplacement, {dbl('prime_annuelle')} AS prime FROM pric
     "cdc_parse": CDC_ACTIVITIES,
     "cdc_time_decode": """
 SELECT event_id, ts AS moment, CAST(CAST(ts AS DATE) AS VARCHAR) AS jour FROM events""",
-    "cdc_rejects": f"""WITH {FAULTY}
-SELECT value AS raw_value,
-       CASE event_type WHEN 'view' THEN 'empty message' WHEN 'error' THEN 'broken json'
-            WHEN 'signup' THEN 'no payload' ELSE 'no new image' END AS reason
-FROM faulty WHERE event_type <> 'purchase'""",
+    "cdc_rejects": REJECTS,
+    "stream_rejects": REJECTS,
+    "current_activities": """
+SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS id_salarie,
+       CASE WHEN event_id % 3 = 1 THEN 'corrected' ELSE event_type END AS activity_type
+FROM events WHERE event_id % 5 <> 0""",
+    "current_table": f"""WITH {VERSIONS}
+SELECT id_salarie, salaire_brut, moyen_deplacement
+FROM latest JOIN orders ON o_orderkey = version_no WHERE o_orderstatus <> 'P'""",
+    "export_kept": f"""WITH {EMPLOYEES}
+SELECT id_salarie AS "ID_employee", moyen_deplacement,
+       replace(CAST(prime_annuelle AS VARCHAR), '.', ',') AS prime_annuelle,
+       replace(CAST(salaire AS VARCHAR), '.', ',') AS salaire_brut
+FROM priced""",
+    "live_export": f"WITH {INCOMPLETE} {bonus_stats('filled_priced')}",
     "eco_filter": f"""WITH {EMPLOYEES}
 SELECT id_salarie, moyen_deplacement FROM employees WHERE {is_eco('moyen_deplacement')}""",
     "fill_defaults": f"""WITH {INCOMPLETE}
@@ -354,10 +382,10 @@ SELECT e.id_salarie, e.nom, e.moyen_deplacement, {big('coalesce(n, 0)')} AS nb_a
        CAST(CASE WHEN coalesce(n, 0) >= 15 THEN 5 ELSE 0 END AS INTEGER) AS jours_bien_etre
 FROM employees e LEFT JOIN counts c ON e.id_salarie = c.id_salarie""",
     "wellbeing_days": f"""
-SELECT CAST(o_custkey AS VARCHAR) AS id_salarie, CAST(year(o_orderdate) AS INTEGER) AS annee,
+SELECT CAST(user_id AS VARCHAR) AS id_salarie, CAST(year(ts) AS INTEGER) AS annee,
        {big('count(*)')} AS nb_activites,
-       CAST(CASE WHEN count(*) >= 4 THEN 5 ELSE 0 END AS INTEGER) AS jours_bien_etre
-FROM orders GROUP BY 1, 2""",
+       CAST(CASE WHEN count(*) >= 15 THEN 5 ELSE 0 END AS INTEGER) AS jours_bien_etre
+FROM events GROUP BY 1, 2""",
     "activity_trend": f"""WITH {ACTIVITIES}
 SELECT CAST(CAST(date_trunc('month', start_date) AS DATE) AS VARCHAR) AS mois, activity_type,
        {big('count(*)')} AS nb_activites,
@@ -424,16 +452,18 @@ WITH texts AS (
         WHEN 'MACHINERY' THEN CAST(c_acctbal AS VARCHAR)
         WHEN 'HOUSEHOLD' THEN '  ' || CAST(c_acctbal AS VARCHAR) || ' '
         WHEN 'BUILDING' THEN c_name
-        WHEN 'AUTOMOBILE' THEN CAST(c_acctbal AS VARCHAR) || 'd' END AS t
+        WHEN 'AUTOMOBILE' THEN CAST(c_acctbal AS VARCHAR) || 'd'
+        WHEN 'FURNITURE' THEN CASE WHEN c_nationkey > 3 THEN (c_nationkey + 1) || 'e1999' END END AS t
     FROM customer
 ),
 parsed AS (
     SELECT c_custkey, CASE WHEN regexp_full_match(
         t, '\\s*[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?\\s*')
-        THEN TRY_CAST(trim(t) AS DECIMAL(18,2)) END AS v
+        THEN TRY_CAST(trim(t) AS DECIMAL(18,2)) END AS v, coalesce(t LIKE '%e1999', false) AS gross
     FROM texts
 )
-SELECT c_custkey, {dbl('coalesce(v, 30000)')} AS salaire, v IS NULL AS defaut FROM parsed""",
+SELECT c_custkey, CASE WHEN NOT gross THEN {dbl('coalesce(v, 30000)')} END AS salaire,
+       v IS NULL AND NOT gross AS defaut, gross AS hors_plage FROM parsed""",
     "title_case": f"SELECT doc_id, {title_case('text')} AS titre FROM documents",
     "mode_key": f"SELECT doc_id, {key_of('text')} AS cle FROM documents",
     "date_text": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M') AS minute FROM events",
@@ -500,7 +530,7 @@ SELECT id_salarie, salaire_brut, moyen_deplacement, nom, prenom,
        CAST(CAST(DATE '1970-01-01' + CAST(date_embauche AS INTEGER) AS DATE) AS VARCHAR)
            AS date_embauche,
        type_contrat, bu, {dbl('prime_annuelle')} AS prime_annuelle, salary_defaulted
-FROM filled_priced""",
+FROM filled_priced WHERE CAST(id_salarie AS BIGINT) % 7 <> 0""",
     "stream_current_employees": f"""WITH {VERSIONS}
 SELECT id_salarie, salaire_brut, coalesce(moyen_deplacement, 'Non spécifié') AS moyen_deplacement,
        {dbl('prime_annuelle')} AS prime_annuelle

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from checks import roles
 from perkflow.functions.commute import city_distance, default_distance, postcode_distance
 from perkflow.functions.dates import from_days, from_micros, minute_text
-from perkflow.functions.pay import eco_bonus, salary_amount, salary_defaulted
+from perkflow.functions.pay import eco_bonus, salary_amount, salary_defaulted, salary_out_of_range
 from perkflow.functions.text import mode_key, title_case
 from perkflow.model import ACTIVITY_IMAGE, HR_HEADERS
 from perkflow.operators import (
@@ -27,12 +27,13 @@ from perkflow.operators import (
 )
 from perkflow.plans import loading
 from perkflow.plans.commuting import validated_commutes
-from perkflow.plans.dashboard import activity_export, bonus_rows, with_decimal_comma
-from perkflow.plans.live import current_employees
-from perkflow.sources.catalog import register_table
-from perkflow.sources.scratch import scratch_path
-from perkflow.sources.tables import append_rows, point_lookup, read_table, write_load
-from perkflow.sources.tabular import read_csv, read_tabular, write_csv
+from perkflow.plans.dashboard import activity_export, bonus_rows, export_dashboard, with_decimal_comma
+from perkflow.plans.live import current_employees, start_live
+from perkflow.sources.catalog import register_table, use_database
+from perkflow.sources.latest import read_latest, upsert_latest
+from perkflow.sources.scratch import materialise, scratch_path
+from perkflow.sources.tables import append_rows, point_lookup, read_if_filled, read_table, write_load
+from perkflow.sources.tabular import read_csv, write_csv
 from perkflow.streaming import alerts, ingest
 from perkflow.streaming import reports as stream_reports
 
@@ -76,7 +77,11 @@ def _totals(spark, sf_dir):
 @query
 def scan_table(spark, sf_dir):
     rows = read_table(spark, f"{sf_dir}/lineitem.parquet")
-    return rows.agg(F.count(F.lit(1)).alias("nombre"))
+    keys = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    others = [F.max(name).alias(name) for name in rows.columns if name not in keys]
+    return rows.agg(
+        F.count(F.lit(1)).alias("nombre"), *[F.sum(name).alias(name) for name in keys], *others
+    )
 
 
 @query_as("point_lookup")
@@ -86,26 +91,27 @@ def point_lookup_order(spark, sf_dir):
 
 @query
 def ingest_tabular(spark, sf_dir):
-    """Employees as an HR file with its French headers, read back under normalised names."""
+    """Employees with padded ids as an HR file with its headers, read back typed in one pass."""
     path = scratch_path(spark, "ingest_tabular")
     none = F.lit(None).cast("string")
     rows = roles.employees(spark, sf_dir)
     sheet = rows.select(
-        "id_salarie", "nom", "prenom", none, none, none, "salaire_brut", none, none,
+        F.lpad("id_salarie", 8, "0"), "nom", "prenom", none, none, F.lit("1996-06-30"), "salaire_brut", none, none,
         "adresse", "moyen_deplacement",
     ).toDF(*HR_HEADERS)
     write_csv(sheet, path, ",")
-    return read_tabular(spark, path, ",", infer=False).select(
-        "id_salarie", "nom", "prenom", "salaire_brut", "adresse", "moyen_deplacement"
+    return loading.read_people(spark, path, ",").select(
+        "id_salarie", "nom", "prenom", "date_embauche", "salaire_brut", "adresse", "moyen_deplacement"
     )
 
 
 @query
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv_roundtrip")
-    rows = roles.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
-    write_csv(rows, path, ";")
-    return read_csv(spark, path, ";", rows.schema)
+    rows = roles.table(spark, sf_dir, "documents")
+    rows = rows.select("doc_id", "lang", "source", "n_chars", "text")
+    write_csv(rows, path, ";", escape_lines=True)
+    return read_csv(spark, path, ";", rows.schema, escape_lines=True)
 
 
 @query
@@ -145,11 +151,14 @@ def export_activities(spark, sf_dir):
 
 @query
 def external_table(spark, sf_dir):
-    """Orders by status from a table registered over a folder."""
+    """Orders by status from a table in a database, registered again after a second load."""
     path = scratch_path(spark, "external_table")
-    name = f"orders_{path.rsplit('-', 1)[1]}"
-    write_load(roles.table(spark, sf_dir, "orders"), path, "orders", 0)
-    register_table(spark, name, path)
+    use_database(spark, "perkflow_checks")
+    name = f"perkflow_checks.orders_{path.rsplit('-', 1)[1]}"
+    use_database(spark, "default")
+    for batch_id in (0, 1):
+        write_load(roles.table(spark, sf_dir, "orders"), path, "orders", batch_id)
+        register_table(spark, name, path)
     return spark.sql(f"SELECT o_orderstatus, count(*) AS nombre FROM {name} GROUP BY o_orderstatus")
 
 
@@ -179,8 +188,14 @@ def eco_bonus_rows(spark, sf_dir):
 @query
 def cdc_parse(spark, sf_dir):
     messages = roles.activity_messages(roles.table(spark, sf_dir, "events"))
-    rows = changes.decode_activities(messages)
-    return rows.withColumn("distance_m", F.col("distance_m").cast("string").cast("double"))
+    return _activity_columns(changes.decode_activities(messages))
+
+
+def _activity_columns(rows):
+    distance = F.col("distance_m").cast("string").cast("double").alias("distance_m")
+    return rows.select(
+        "id_salarie", "start_date", "activity_type", distance, "duration_sec", "comment"
+    )
 
 
 @query
@@ -200,7 +215,15 @@ def cdc_time_decode(spark, sf_dir):
 @query
 def cdc_rejects(spark, sf_dir):
     messages = roles.faulty_messages(roles.table(spark, sf_dir, "events"))
-    return changes.rejects(messages, ACTIVITY_IMAGE)
+    return changes.rejects(messages, ACTIVITY_IMAGE, "id")
+
+
+@query
+def current_activities(spark, sf_dir):
+    """Activities after corrections and deletes."""
+    messages = roles.corrected_activity_messages(roles.table(spark, sf_dir, "events"))
+    rows = versions.current_activities(changes.decode_activities(messages))
+    return rows.select("id", "id_salarie", "activity_type")
 
 
 # --- filters and nulls -------------------------------------------------------------------------
@@ -237,13 +260,16 @@ def clean_hr(spark, sf_dir):
         .alias("salaire_brut"),
         F.col("o_orderkey").alias("ligne"),
     )
-    return cleaning.clean_hr(rows, "ligne")
+    path = scratch_path(spark, "clean_hr")
+    cleaned = cleaning.clean_hr(rows, "ligne")
+    write_csv(cleaned, path, ",")
+    return read_csv(spark, path, ",", cleaned.schema)
 
 
 @query
-def clean_sport(spark, sf_dir):
+def clean_practice(spark, sf_dir):
     rows = roles.activities(spark, sf_dir).select("id_salarie", "activity_type", "activity_no")
-    return cleaning.clean_sport(rows, "activity_no")
+    return cleaning.clean_practice(rows, "activity_no")
 
 
 @query
@@ -294,28 +320,27 @@ def top_active(spark, sf_dir):
 
 @query
 def active_details(spark, sf_dir):
-    return activity.active_details(_totals(spark, sf_dir), roles.employees(spark, sf_dir))
+    totals = materialise(_totals(spark, sf_dir), "totals")
+    return activity.active_details(totals, roles.employees(spark, sf_dir))
 
 
 @query
 def active_and_eco(spark, sf_dir):
     people = roles.employees(spark, sf_dir)
-    hot = activity.hot_ids(people)
-    details = activity.active_details(_totals(spark, sf_dir), people, ordered=False, hot=hot)
-    return activity.active_and_eco(details, activity.eco_employees(people), hot)
+    totals = materialise(_totals(spark, sf_dir), "totals")
+    ids = materialise(activity.eco_ids(activity.eco_employees(people)), "eco_ids")
+    return activity.active_and_eco(activity.active_details(totals, people, ordered=False), ids)
 
 
 @query
 def employee_detail(spark, sf_dir):
-    return activity.employee_detail(
-        roles.employees(spark, sf_dir), roles.activities(spark, sf_dir)
-    )
+    counts = materialise(activity.activity_counts(roles.activities(spark, sf_dir)), "counts")
+    return activity.employee_detail(roles.employees(spark, sf_dir), counts)
 
 
 @query
 def wellbeing_days(spark, sf_dir):
-    # Orders give few activities a year, so the threshold is lower than the rule's.
-    return activity.wellbeing_days(roles.activities(spark, sf_dir), threshold=4)
+    return activity.wellbeing_days(roles.table(spark, sf_dir, "events"), "ts", "user_id")
 
 
 @query
@@ -437,11 +462,15 @@ def salary_parse(spark, sf_dir):
         .when(segment == "HOUSEHOLD", F.concat(F.lit("  "), balance, F.lit(" ")))
         .when(segment == "BUILDING", F.col("c_name"))
         .when(segment == "AUTOMOBILE", F.concat(balance, F.lit("d")))
+        .when(F.col("c_nationkey") > 3, F.concat(F.col("c_nationkey") + 1, F.lit("e1999")))
         .alias("texte"),
     )
     text = F.col("texte")
     return rows.select(
-        "c_custkey", salary_amount(text).alias("salaire"), salary_defaulted(text).alias("defaut")
+        "c_custkey",
+        salary_amount(text).alias("salaire"),
+        salary_defaulted(text).alias("defaut"),
+        salary_out_of_range(text).alias("hors_plage"),
     )
 
 
@@ -492,7 +521,8 @@ def _measured(spark, sf_dir):
 @query
 def distance_fallback(spark, sf_dir):
     people = roles.employees(spark, sf_dir)
-    return commute.with_distance(people, _measured(spark, sf_dir)).select(
+    places = materialise(commute.measured_places(_measured(spark, sf_dir)), "places")
+    return commute.with_distance(people, places).select(
         "id_salarie", "distance_km"
     )
 
@@ -585,16 +615,15 @@ def stream_cdc_activities(spark, sf_dir):
     root = scratch_path(spark, "stream_cdc_activities")
     messages = roles.activity_messages(roles.table_stream(spark, sf_dir, "events"))
     ingest.stream_activities(messages, f"{root}/table", f"{root}/checkpoint").awaitTermination()
-    rows = spark.read.parquet(f"{root}/table")
-    return rows.withColumn("distance_m", F.col("distance_m").cast("string").cast("double"))
+    return _activity_columns(spark.read.parquet(f"{root}/table"))
 
 
 @query
 def stream_cdc_employees(spark, sf_dir):
     root = scratch_path(spark, "stream_cdc_employees")
-    messages = roles.employee_messages(roles.table_stream(spark, sf_dir, "customer"))
+    messages = roles.employee_messages(roles.table_stream(spark, sf_dir, "customer"), some_without_id=True)
     ingest.stream_employees(messages, f"{root}/table", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/table").select(
+    return spark.read.parquet(f"{root}/table").filter("processing_timestamp is not null").select(
         "id_salarie", "salaire_brut", "moyen_deplacement", "nom", "prenom", "date_embauche",
         "type_contrat", "bu", "prime_annuelle", "salary_defaulted",
     )
@@ -605,8 +634,10 @@ def stream_current_employees(spark, sf_dir):
     """Versions and deletes through the employee stream, then the state they end in."""
     root = scratch_path(spark, "stream_current_employees")
     messages = roles.version_messages(roles.table_stream(spark, sf_dir, "orders"))
-    ingest.stream_employees(messages, f"{root}/table", f"{root}/checkpoint").awaitTermination()
-    current = current_employees(spark.read.parquet(f"{root}/table"))
+    ingest.stream_employees(
+        messages, f"{root}/table", f"{root}/checkpoint", current=f"{root}/current"
+    ).awaitTermination()
+    current = current_employees(spark.read.parquet(f"{root}/current"))
     return current.select("id_salarie", "salaire_brut", "moyen_deplacement", "prime_annuelle")
 
 
@@ -626,3 +657,52 @@ def stream_mode_report(spark, sf_dir):
         messages, f"{root}/report", f"{root}/checkpoint"
     ).awaitTermination()
     return spark.read.parquet(f"{root}/report")
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    root = scratch_path(spark, "stream_rejects")
+    messages = roles.faulty_messages(roles.table_stream(spark, sf_dir, "events"))
+    ingest.stream_rejects(
+        messages, ACTIVITY_IMAGE, f"{root}/table", f"{root}/checkpoint", key="id"
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/table")
+
+
+@query
+def current_table(spark, sf_dir):
+    """Versions in three loads, the last one twice, into a table of latest versions."""
+    path = scratch_path(spark, "current_table")
+    orders = roles.table(spark, sf_dir, "orders")
+    for part in (2, 0, 1, 1):
+        messages = roles.version_messages(orders.filter(F.col("o_orderkey") % 3 == part))
+        rows = changes.decode_employee_changes(messages)
+        upsert_latest(rows, path, "id_salarie", ("cdc_ts_ms", "cdc_offset"))
+    current = read_latest(spark.read.parquet(path))
+    return current.select("id_salarie", "salaire_brut", "moyen_deplacement")
+
+
+@query
+def export_kept(spark, sf_dir):
+    """An export after which a table is missing and the other one empty: the old files stay."""
+    path = scratch_path(spark, "export_kept")
+    people = roles.employees(spark, sf_dir)
+    export_dashboard(path, None, people)
+    export_dashboard(path, read_if_filled(spark, f"{path}/missing"), people.limit(0))
+    schema = with_decimal_comma(bonus_rows(people)).schema
+    return read_csv(spark, f"{path}/bonuses.csv", ";", schema)
+
+
+@query
+def live_export(spark, sf_dir):
+    """All live streams to their end, then the dashboard from their tables."""
+    root = scratch_path(spark, "live_export")
+    activities = roles.activity_messages(roles.table_stream(spark, sf_dir, "events"))
+    employees = roles.employee_messages(roles.table_stream(spark, sf_dir, "customer"))
+    for stream in start_live(activities, employees, root, None):
+        stream.awaitTermination()
+    current = current_employees(spark.read.parquet(f"{root}/current_employees"))
+    log = spark.read.parquet(f"{root}/activities")
+    export_dashboard(f"{root}/out", versions.current_activities(log), current)
+    schema = reports.bonus_stats(bonus_rows(current)).schema
+    return read_csv(spark, f"{root}/out/statistics.csv", ";", schema)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perkflow.model import DECLARED
 from perkflow.operators.changes import to_messages
 
 MODES = {
@@ -22,7 +23,7 @@ VERSION_MODES = {
     "3-MEDIUM": "Transports en commun",
     "5-LOW": "véhicule thermique/électrique",
 }
-SPORTS = {
+ACTIVITY_TYPES = {
     "1-URGENT": "Course à pied",
     "2-HIGH": "Vélo",
     "3-MEDIUM": "Marche",
@@ -30,7 +31,7 @@ SPORTS = {
     "5-LOW": "Natation",
 }
 # Fields that are empty for some segments, so that defaults have work to do.
-SEGMENT_SPORT = {"MACHINERY": "Running", "HOUSEHOLD": "Tennis", "BUILDING": "", "AUTOMOBILE": "  "}
+SEGMENT_PRACTICE = {"MACHINERY": "Running", "HOUSEHOLD": "Tennis", "BUILDING": "", "AUTOMOBILE": "  "}
 # Home towns by nation; two nations have no usable address.
 PLACES = (
     "34000 Montpellier",
@@ -114,7 +115,7 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         _text("o_custkey").alias("id_salarie"),
         F.col("o_orderdate").alias("start_date"),
-        chosen("o_orderpriority", SPORTS).alias("activity_type"),
+        chosen("o_orderpriority", ACTIVITY_TYPES).alias("activity_type"),
         F.col("o_totalprice").alias("distance_m"),
         F.col("o_orderkey").alias("activity_no"),
     )
@@ -123,7 +124,7 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 def declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id_salarie"),
-        chosen("c_mktsegment", SEGMENT_SPORT).alias("pratique_sport"),
+        chosen("c_mktsegment", SEGMENT_PRACTICE).alias(DECLARED),
     )
 
 
@@ -131,7 +132,7 @@ def declared_elsewhere(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declarations whose ids only partly occur among the event users."""
     return table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("id_salarie"),
-        F.when(F.col("quality") == 1, "Tennis").otherwise("").alias("pratique_sport"),
+        F.when(F.col("quality") == 1, "Tennis").otherwise("").alias(DECLARED),
     )
 
 
@@ -150,8 +151,11 @@ def incomplete(customers: DataFrame) -> DataFrame:
     )
 
 
-def employee_messages(customers: DataFrame) -> DataFrame:
+def employee_messages(customers: DataFrame, some_without_id: bool = False) -> DataFrame:
     rows = incomplete(customers)
+    if some_without_id:
+        number = F.col("id_salarie")
+        rows = rows.withColumn("id_salarie", F.when(number.cast("long") % 7 != 0, number))
     after = F.struct(*[F.col(name) for name in rows.columns])
     return to_messages(rows, F.col("id_salarie"), after, F.lit("c"), F.lit(1758807237827))
 
@@ -159,6 +163,7 @@ def employee_messages(customers: DataFrame) -> DataFrame:
 def activity_messages(events: DataFrame) -> DataFrame:
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     after = F.struct(
+        _text("event_id").alias("id"),
         _text("user_id").alias("id_salarie"),
         micros.alias("start_date"),
         F.col("event_type").alias("activity_type"),
@@ -169,6 +174,24 @@ def activity_messages(events: DataFrame) -> DataFrame:
     return to_messages(events, F.col("event_id"), after, F.lit("c"), F.unix_millis(F.col("ts").cast("timestamp")))
 
 
+def corrected_activity_messages(events: DataFrame) -> DataFrame:
+    """Every event as a new activity; a third of them corrected and a fifth deleted later."""
+    moment = F.unix_millis(F.col("ts").cast("timestamp"))
+    number = _text("event_id").alias("id")
+
+    def image(kind: Column) -> Column:
+        return F.struct(number, _text("user_id").alias("id_salarie"), kind.alias("activity_type"))
+
+    new = to_messages(events, F.col("event_id"), image(F.col("event_type")), F.lit("c"), moment)
+    some = events.filter(F.col("event_id") % 3 == 1)
+    changed = to_messages(some, F.col("event_id"), image(F.lit("corrected")), F.lit("u"), moment + 1)
+    gone = events.filter(F.col("event_id") % 5 == 0)
+    deleted = to_messages(
+        gone, F.col("event_id"), F.lit(None).cast("string"), F.lit("d"), moment + 2, F.struct(number)
+    )
+    return deleted.unionByName(changed).unionByName(new)
+
+
 def version_messages(orders: DataFrame) -> DataFrame:
     """Every order as a change of its employee; orders in status P delete the employee."""
     rows = orders.withColumn("offset", F.col("o_orderkey"))
@@ -191,14 +214,19 @@ def version_messages(orders: DataFrame) -> DataFrame:
 
 
 def faulty_messages(events: DataFrame) -> DataFrame:
-    """One kind of message per event type; only purchases are whole."""
+    """One kind of message per event type; only a third of the purchases is whole."""
     number = _text("event_id")
     kinds = {
         "error": F.concat(F.lit('{"payload": '), number),
         "signup": F.concat(F.lit('{"schema": '), number, F.lit("}")),
         "click": F.concat(F.lit('{"payload": {"op": "u", "ts_ms": '), number, F.lit("}}")),
         "purchase": F.concat(
-            F.lit('{"payload": {"op": "c", "after": {"id_salarie": "'), number, F.lit('"}}}')
+            F.lit('{"payload": {"op": "c", "after": {"'),
+            F.when(F.col("event_id") % 3 == 0, "comment").otherwise("id_salarie"),
+            F.lit('": "'),
+            number,
+            F.when(F.col("event_id") % 3 == 1, '", "distance_m": "abc').otherwise(""),
+            F.lit('"}}}'),
         ),
     }
     value = F.when(F.lit(False), F.lit(None).cast("string"))

@@ -6,11 +6,12 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from perkflow.operators.versions import current_activities
 from perkflow.plans import analysis, commuting, dashboard, live, loading
 from perkflow.session import build_session
 from perkflow.sources.messages import file_messages, kafka_messages
 from perkflow.sources.relational import EMPLOYEE_TYPES, append_relational
-from perkflow.sources.scratch import drop_scratch, scratch_path
+from perkflow.sources.scratch import drop_scratch
 from perkflow.sources.tables import read_if_filled
 from perkflow.sources.tabular import read_tabular, write_csv
 from perkflow.streaming.reports import arrivals, on_new_data
@@ -41,23 +42,30 @@ def _employees(spark: SparkSession, args: argparse.Namespace, all_versions: bool
     return table if table is None or all_versions else live.current_employees(table)
 
 
+def _activities(spark: SparkSession, args: argparse.Namespace):
+    table = read_if_filled(spark, args.activities)
+    return None if table is None else current_activities(table)
+
+
 def _analyse(spark: SparkSession, args: argparse.Namespace) -> None:
-    activities = read_if_filled(spark, args.activities)
+    activities = _activities(spark, args)
     tables = {}
     if activities is not None:
-        hr, declared = read_tabular(spark, args.hr), read_tabular(spark, args.sport)
-        tables |= analysis.activity_analysis(hr, declared, activities)
+        people = loading.read_people(spark, args.hr)
+        declared = read_tabular(spark, args.declared, infer=False)
+        tables |= analysis.activity_analysis(people, declared, activities)
     employees = _employees(spark, args, args.all_versions)
     if employees is not None:
         tables |= analysis.employee_analysis(employees)
     for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{args.out}/{name}")
         print(name)
-        table.show(args.rows, truncate=False)
+        spark.read.parquet(f"{args.out}/{name}").show(args.rows, truncate=False)
 
 
 def _commute(spark: SparkSession, args: argparse.Namespace) -> None:
     measured = spark.read.parquet(args.distances) if args.distances else None
-    checked = commuting.validated_commutes(read_tabular(spark, args.hr), args.company, measured)
+    checked = commuting.validated_commutes(loading.read_people(spark, args.hr), args.company, measured)
     commuting.export_commutes(checked, args.out).show(truncate=False)
 
 
@@ -68,7 +76,7 @@ def _export(spark: SparkSession, args: argparse.Namespace) -> None:
     on_new_data(
         arrivals(spark, args.activities, args.employees),
         lambda batch_id: _export_once(spark, args),
-        args.checkpoint or scratch_path(spark, "export"),
+        args.checkpoint or f"{args.out.rstrip('/')}.checkpoint",
         args.interval,
     ).awaitTermination()
 
@@ -76,9 +84,8 @@ def _export(spark: SparkSession, args: argparse.Namespace) -> None:
 def _export_once(spark: SparkSession, args: argparse.Namespace) -> None:
     done = dashboard.export_dashboard(
         args.out,
-        read_if_filled(spark, args.activities),
+        _activities(spark, args),
         _employees(spark, args),
-        args.single_file_rows,
         {kind: getattr(args, f"{kind}_name") for kind in dashboard.NAMES},
     )
     for kind, rows in done.items():
@@ -88,7 +95,7 @@ def _export_once(spark: SparkSession, args: argparse.Namespace) -> None:
 def _clean(spark: SparkSession, args: argparse.Namespace) -> None:
     hr = loading.numbers_as_text(loading.clean_hr_file(spark, args.hr))
     write_csv(hr, f"{args.out}/hr", args.sep)
-    write_csv(loading.clean_sport_file(spark, args.sport), f"{args.out}/sport", args.sep)
+    write_csv(loading.clean_practice_file(spark, args.declared), f"{args.out}/declared", args.sep)
 
 
 def _load(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -109,17 +116,16 @@ def parser() -> argparse.ArgumentParser:
     need, may, flag = {"required": True}, {"default": None}, {"action": "store_true"}
     job("live", _live, activities=need, employees=need, root=need, servers=may, interval=may)
     job(
-        "analyse", _analyse, hr=need, sport=need, activities=need, employees=need,
-        all_versions=flag, merge_schema=flag, rows={"type": int, "default": 20},
+        "analyse", _analyse, hr=need, declared=need, activities=need, employees=need,
+        out=need, all_versions=flag, merge_schema=flag, rows={"type": int, "default": 20},
     )
     job("commute", _commute, hr=need, company=need, out=need, distances=may)
     job(
         "export", _export, activities=need, employees=need, out=need,
-        single_file_rows={"type": int, "default": None}, interval=may, checkpoint=may,
-        merge_schema=flag,
+        interval=may, checkpoint=may, merge_schema=flag,
         **{f"{kind}_name": {"default": name} for kind, name in dashboard.NAMES.items()},
     )
-    job("clean", _clean, hr=need, sport=need, out=need, sep={"default": ","})
+    job("clean", _clean, hr=need, declared=need, out=need, sep={"default": ","})
     job("load", _load, hr=need, url=need, sep={"default": ","})
     return top
 

@@ -10,29 +10,44 @@ from pyspark.sql import functions as F
 from perkflow.functions.text import mode_key
 from perkflow.model import BONUS_RATE, DEFAULT_SALARY, ECO_MODE_KEYS, MONEY
 
-# Longer exponents would make reading a decimal build a number with as many digits.
-_SHORT_EXPONENT = r"[eE][+-]?0*\d{1,4}\s*$"
+# A number as text, with blanks around it; no suffixes and no names such as `nan`.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_TOO_LARGE = 1e17  # MONEY has 16 digits before the point; the cast decides close to the limit
+
+
+def _readable(text: Column) -> Column:
+    return F.coalesce(text.rlike(_NUMBER), F.lit(False))
 
 
 def _read(text: Column) -> Column:
-    """Text as money or null. Only text with an exponent needs the pattern."""
-    number = text.try_cast(MONEY)
-    plain = ~(text.contains("e") | text.contains("E"))
-    return F.when(plain, number).when(text.rlike(_SHORT_EXPONENT), number)
+    """Readable text as money; null beyond the range of MONEY.
+
+    The double decides the range first: a decimal with a huge exponent would be built digit by digit.
+    """
+    size = F.abs(text.try_cast("double"))
+    return (
+        F.when(size < 0.001, F.lit(Decimal("0.00")))
+        .when(size < _TOO_LARGE, text.try_cast(MONEY))
+        .cast(MONEY)
+    )
 
 
 def salary_amount(text: Column, default: Decimal = DEFAULT_SALARY) -> Column:
-    """Salary text as money; anything that is no number becomes `default`.
+    """Salary text as money; what is no number becomes `default`, a number out of range null.
 
-    Reading text as a decimal takes blanks around it, signs and exponents, but not the suffixes and
-    names (`1d`, `nan`, `inf`) that reading it as a double would take.
+    Reading takes blanks around it, signs and exponents.
     """
-    return F.coalesce(_read(text), F.lit(default)).cast(MONEY)
+    return F.when(_readable(text), _read(text)).otherwise(F.lit(default)).cast(MONEY)
 
 
 def salary_defaulted(text: Column) -> Column:
     """True where `salary_amount` had to use its default."""
-    return _read(text).isNull()
+    return ~_readable(text)
+
+
+def salary_out_of_range(text: Column) -> Column:
+    """True for numbers that MONEY cannot hold."""
+    return _readable(text) & _read(text).isNull()
 
 
 def is_eco(mode: Column) -> Column:

@@ -10,11 +10,12 @@ MONEY = T.DecimalType(18, 2)
 MONEY_SUM = T.DecimalType(28, 2)
 
 # ---------------------------------------------------------------------------
-# Row images inside the change envelope. Times come as numbers (micros or days
+# Row images inside the change envelope. Times come as numbers (micros or days
 # since the epoch) or as ISO text, so they are read as text.
 # ---------------------------------------------------------------------------
 ACTIVITY_IMAGE = T.StructType(
     [
+        T.StructField("id", T.StringType()),
         T.StructField("id_salarie", T.StringType()),
         T.StructField("start_date", T.StringType()),
         T.StructField("activity_type", T.StringType()),
@@ -45,7 +46,7 @@ ALERT_IMAGE = T.StructType(
     ]
 )
 
-# Headers of the HR file.
+# Headers of the HR file.
 HR_HEADERS = (
     "ID salarié",
     "Nom",
@@ -63,18 +64,15 @@ HR_HEADERS = (
 # ---------------------------------------------------------------------------
 # Fixed values.
 # ---------------------------------------------------------------------------
+# Column of the declared practice.
+DECLARED = "pratique_sport"
+
 BONUS_RATE = Decimal("0.05")
 DEFAULT_SALARY = Decimal("30000.00")
 ACTIVE_THRESHOLD = 15
 WELLBEING_DAYS = 5
 
-# Travel modes that earn the bonus, and the same after `mode_key`.
-ECO_MODES = (
-    "Marche/running",
-    "Vélo/Trottinette/Autres",
-    "Marche_running",
-    "Velo_Trottinette_Autres",
-)
+# Travel modes that earn the bonus, after `mode_key`.
 ECO_MODE_KEYS = ("marche_running", "velo_trottinette_autres")
 
 # Defaults for missing employee fields.
@@ -91,8 +89,8 @@ EMPLOYEE_DEFAULTS = {
 HEADER_ALIASES = {
     "id": "id_salarie",
     "salarie": "id_salarie",
-    "pratique_dun_sport": "pratique_sport",
-    "sport": "pratique_sport",
+    "pratique_dun_sport": DECLARED,
+    "sport": DECLARED,
     "date_de_naissance": "date_naissance",
     "date_dembauche": "date_embauche",
     "salaire": "salaire_brut",
@@ -152,6 +150,22 @@ RIDE_WORDS = ("vélo", "velo", "trottinette")
 WALK_LIMIT_KM = 15
 RIDE_LIMIT_KM = 25
 
+# Newest version of an employee: event time first, so that a stream that starts over from a new
+# checkpoint does not bring old versions back; then the place in the message log; then the load.
+VERSION_ORDER = ("cdc_ts_ms", "cdc_offset", "processing_timestamp", "batch_id")
+
+# Columns of the verdict table.
+VALIDATION_COLUMNS = (
+    "id_salarie",
+    "nom",
+    "prenom",
+    "adresse",
+    "moyen_deplacement",
+    "distance_km",
+    "validation_deplacement",
+    "adresse_entreprise",
+)
+
 # Verdict texts of the commute rule.
 VALID = "Valide"
 EXCLUDED = "Mode exclu: Véhicule motorisé ou transport"

@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from typing import Any
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perkflow.functions.pay import is_eco
-from perkflow.model import ACTIVE_THRESHOLD, MONEY_SUM, WELLBEING_DAYS
-from perkflow.operators.joins import hot_keys, salted_join
+from perkflow.model import ACTIVE_THRESHOLD, DECLARED, MONEY_SUM, WELLBEING_DAYS
 from perkflow.operators.ordering import order_rows
 
 
-def _declares(sport: str) -> Column:
-    return F.coalesce(F.trim(sport) != "", F.lit(False))
+def _declares(practice: str) -> Column:
+    return F.coalesce(F.trim(practice) != "", F.lit(False))
 
 
-def declared_counts(declared: DataFrame, sport: str = "pratique_sport") -> DataFrame:
-    """Number of declared sports per employee; empty text and null count as none."""
+def declared_counts(declared: DataFrame, practice: str = DECLARED) -> DataFrame:
+    """Number of declared practices per employee; empty text and null count as none."""
     return declared.groupBy(F.col("id_salarie").cast("string").alias("id_salarie")).agg(
-        F.count_if(_declares(sport)).alias("nb_activites_excel")
+        F.count_if(_declares(practice)).alias("nb_activites_excel")
     )
 
 
@@ -52,7 +48,7 @@ def activity_totals(
     declared: DataFrame,
     activities: DataFrame,
     key: str = "id_salarie",
-    sport: str = "pratique_sport",
+    practice: str = DECLARED,
 ) -> DataFrame:
     """Declared, recorded and total activities per employee.
 
@@ -62,7 +58,7 @@ def activity_totals(
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     left = declared.select(
         F.col("id_salarie").cast("string").alias("id_salarie"),
-        F.when(_declares(sport), one).otherwise(none).alias("declared"),
+        F.when(_declares(practice), one).otherwise(none).alias("declared"),
         none.alias("recorded"),
     )
     right = activities.select(
@@ -96,12 +92,11 @@ def active_details(
     hr: DataFrame,
     threshold: int = ACTIVE_THRESHOLD,
     ordered: bool = True,
-    hot: Sequence[Any] | None = None,
 ) -> DataFrame:
     """HR details of the active employees, most active first unless `ordered` is off.
 
-    Leave the order out where another join follows. `hot` are ids with very many HR rows, see
-    `salted_join`.
+    Leave the order out where another join follows or the rows go to a table. Give stored `totals`:
+    then adaptive execution splits an id with very many HR rows.
     """
     people = hr.select(
         F.col("id_salarie").cast("string").alias("id_salarie"),
@@ -111,7 +106,7 @@ def active_details(
         "salaire_brut",
     )
     active = totals.filter(F.col("nb_activites_total") >= threshold)
-    joined = salted_join(people, active, "id_salarie", "inner", hot)
+    joined = people.join(active, "id_salarie")
     if not ordered:
         return joined
     return order_rows(joined, F.col("nb_activites_total").desc(), "id_salarie")
@@ -122,17 +117,14 @@ def eco_employees(hr: DataFrame) -> DataFrame:
     return hr.filter(is_eco(F.col("moyen_deplacement")))
 
 
-def active_and_eco(
-    details: DataFrame, eco: DataFrame, hot: Sequence[Any] | None = None
-) -> DataFrame:
-    """Active employees who are also among the eco employees."""
-    ids = eco.select(F.col("id_salarie").cast("string").alias("id_salarie")).distinct()
-    return salted_join(details, ids, "id_salarie", "left_semi", hot)
+def eco_ids(eco: DataFrame) -> DataFrame:
+    """Ids of the eco employees, once each."""
+    return eco.select(F.col("id_salarie").cast("string").alias("id_salarie")).distinct()
 
 
-def hot_ids(hr: DataFrame) -> list[Any]:
-    """Ids with very many HR rows, as text."""
-    return hot_keys(hr.select(F.col("id_salarie").cast("string").alias("id")), "id")
+def active_and_eco(details: DataFrame, ids: DataFrame) -> DataFrame:
+    """Active employees whose id is among the (stored) `eco_ids`."""
+    return details.join(ids, "id_salarie", "left_semi")
 
 
 def wellbeing_days(
@@ -160,14 +152,17 @@ def activity_trend(activities: DataFrame, time: str = "start_date") -> DataFrame
 
 
 def employee_detail(
-    hr: DataFrame, activities: DataFrame, threshold: int = ACTIVE_THRESHOLD
+    hr: DataFrame, counts: DataFrame, threshold: int = ACTIVE_THRESHOLD
 ) -> DataFrame:
-    """Every employee with the number of activities and both eligibilities."""
-    counts = activity_counts(activities).withColumnRenamed("nb_activites_delta", "nb_activites")
+    """Every employee with the number of activities and both eligibilities.
+
+    `counts` are the (stored) `activity_counts`.
+    """
+    counts = counts.withColumnRenamed("nb_activites_delta", "nb_activites")
     people = hr.select(
         F.col("id_salarie").cast("string").alias("id_salarie"), "nom", "moyen_deplacement"
     )
-    joined = salted_join(people, counts, "id_salarie", "left").fillna(0, ["nb_activites"])
+    joined = people.join(counts, "id_salarie", "left").fillna(0, ["nb_activites"])
     return joined.withColumns(
         {
             "prime_eligible": is_eco(F.col("moyen_deplacement")),

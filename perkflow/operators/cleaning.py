@@ -1,4 +1,4 @@
-"""Null handling and clean-up of the HR and sport files."""
+"""Null handling and clean-up of the HR and practice files."""
 
 from __future__ import annotations
 
@@ -50,6 +50,6 @@ def clean_hr(df: DataFrame, *oldest_by: str) -> DataFrame:
     return tidy_hr(first_per_key(df, "id_salarie", *oldest_by))
 
 
-def clean_sport(df: DataFrame, *oldest_by: str) -> DataFrame:
+def clean_practice(df: DataFrame, *oldest_by: str) -> DataFrame:
     """First declaration of each employee by `oldest_by`."""
     return first_per_key(df, "id_salarie", *oldest_by)

@@ -15,18 +15,8 @@ from perkflow.functions.commute import (
     default_distance,
     postcode_distance,
 )
-from perkflow.operators.joins import salted_join
-
-VALIDATION_COLUMNS = (
-    "id_salarie",
-    "nom",
-    "prenom",
-    "adresse",
-    "moyen_deplacement",
-    "distance_km",
-    "validation_deplacement",
-    "adresse_entreprise",
-)
+
+VALIDATION_COLUMNS = model.VALIDATION_COLUMNS
 
 
 def with_distance(
@@ -37,7 +27,7 @@ def with_distance(
 ) -> DataFrame:
     """Add `distance_km`: the measured distance, else by city, else by postal code, else a default.
 
-    `measured` holds (adresse, distance_m). Bands stand for their midpoint. The band lists are part
+    `measured` are the (stored) `measured_places`, one row per place. Bands stand for their midpoint. The band lists are part
     of the plan, so the lookup is a projection without join or shuffle.
     """
     lower = hr.withColumn("_lower", F.lower("adresse"))
@@ -48,16 +38,20 @@ def with_distance(
     ]
     if measured is None:
         return lower.withColumn("distance_km", F.coalesce(*bands)).drop("_lower")
-    known = measured.groupBy(F.trim("adresse").alias("_place")).agg(
-        (F.min("distance_m") / 1000).alias("_measured")
-    )
     placed = lower.withColumn("_place", F.trim("adresse"))
-    joined = salted_join(placed, known, "_place", "left")
+    joined = placed.join(measured, "_place", "left")
     return joined.withColumn("distance_km", F.coalesce("_measured", *bands)).drop(
         "_lower", "_place", "_measured"
     )
 
 
+def measured_places(measured: DataFrame) -> DataFrame:
+    """One distance in km per place from rows of (adresse, distance_m)."""
+    return measured.groupBy(F.trim("adresse").alias("_place")).agg(
+        (F.min("distance_m") / 1000).alias("_measured")
+    )
+
+
 def validate_commute(with_distances: DataFrame, company_address: str) -> DataFrame:
     """Add the verdict of the commute rule and the company address."""
     verdict = commute_verdict(F.col("distance_km"), F.col("_mode"))

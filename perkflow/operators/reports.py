@@ -31,12 +31,12 @@ def ensure_bonus(employees: DataFrame) -> DataFrame:
     )
 
 
-def eco_bonuses(hr: DataFrame) -> DataFrame:
-    """Bonus of each eco employee, largest first."""
+def eco_bonuses(hr: DataFrame, ordered: bool = True) -> DataFrame:
+    """Bonus of each eco employee, largest first unless `ordered` is off."""
     salary = salary_amount(F.col("salaire_brut").cast("string"))
     eco = hr.filter(is_eco(F.col("moyen_deplacement")))
     paid = eco.withColumn("prime_annuelle", bonus_of(salary))
-    return order_rows(paid, F.col("prime_annuelle").desc(), "id_salarie")
+    return order_rows(paid, F.col("prime_annuelle").desc(), "id_salarie") if ordered else paid
 
 
 def eco_budget(employees: DataFrame) -> DataFrame:
@@ -173,11 +173,11 @@ def kpi_overview(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("distance_m").try_cast("decimal(18,2)")).alias("distance"),
     )
-    sport = per_person.agg(
+    practice = per_person.agg(
         F.sum("n").cast(MONEY_SUM).alias("nombre_activites"),
         F.count_if(F.col("n") >= threshold).cast(MONEY_SUM).alias("employes_tres_actifs"),
         F.sum("distance").cast(MONEY_SUM).alias("distance_totale_m"),
     )
     return people.unpivot([], people.columns, "kpi", "valeur").unionByName(
-        sport.unpivot([], sport.columns, "kpi", "valeur")
+        practice.unpivot([], practice.columns, "kpi", "valeur")
     )

@@ -35,3 +35,12 @@ def current_rows(changes: DataFrame, key: str, *newest_by: str) -> DataFrame:
     """
     latest = latest_per_key(changes, key, *newest_by)
     return latest.filter(F.coalesce(F.col("op"), F.lit("c")) != "d")
+
+
+def current_activities(log: DataFrame) -> DataFrame:
+    """Activities after all corrections and deletes. Rows without an activity id stay as they are."""
+    if not {"id", "op"} <= set(log.columns):
+        return log
+    order = [name for name in ("cdc_ts_ms", "cdc_offset") if name in log.columns]
+    named = current_rows(log.filter(F.col("id").isNotNull()), "id", *order)
+    return named.unionByName(log.filter(F.col("id").isNull()))

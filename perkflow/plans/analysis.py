@@ -14,20 +14,24 @@ def activity_analysis(
 ) -> dict[str, DataFrame]:
     """Active employees, their details, the eco employees among them and the bonus budget.
 
-    Three results build on the activity totals, which are therefore computed once and stored.
+    Several results build on the HR columns in use, the activity totals and the eco ids, which are
+    therefore computed once and stored. A stored side of a join also lets adaptive execution split an
+    id with very many rows on the other side. No result is sorted; give them an order when shown.
     """
+    named = ["id_salarie", "nom", "prenom", "moyen_deplacement", "salaire_brut"]
+    hr = materialise(hr.select(*named), "hr")
     totals = materialise(
         activity.activity_totals(declared, activities, columns.discover_id(activities)), "totals"
     )
     eco = activity.eco_employees(hr)
-    hot = activity.hot_ids(hr)
-    unordered = activity.active_details(totals, hr, threshold, ordered=False, hot=hot)
+    eco_ids = materialise(activity.eco_ids(eco), "eco_ids")
+    details = activity.active_details(totals, hr, threshold, ordered=False)
     return {
         "active_employees": activity.active_employees(totals, threshold),
-        "active_details": activity.active_details(totals, hr, threshold, hot=hot),
+        "active_details": details,
         "eco_employees": eco,
-        "active_and_eco": activity.active_and_eco(unordered, eco, hot),
-        "eco_bonuses": reports.eco_bonuses(hr),
+        "active_and_eco": activity.active_and_eco(details, eco_ids),
+        "eco_bonuses": reports.eco_bonuses(hr, ordered=False),
         "eco_budget": reports.eco_budget(hr),
     }
 

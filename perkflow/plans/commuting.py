@@ -8,6 +8,7 @@ from perkflow.operators.commute import (
     VALIDATION_COLUMNS,
     commute_errors,
     commute_stats,
+    measured_places,
     validate_commute,
     with_distance,
 )
@@ -18,7 +19,9 @@ from perkflow.sources.tabular import write_csv
 def validated_commutes(
     hr: DataFrame, company_address: str, measured: DataFrame | None = None
 ) -> DataFrame:
-    """One verdict per employee row."""
+    """One verdict per employee row. `measured` holds (adresse, distance_m)."""
+    if measured is not None:
+        measured = materialise(measured_places(measured), "places")
     checked = validate_commute(with_distance(hr, measured), company_address)
     return checked.select(*VALIDATION_COLUMNS)
 

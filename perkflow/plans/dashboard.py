@@ -46,7 +46,6 @@ def export_dashboard(
     folder: str,
     activities: DataFrame | None,
     employees: DataFrame | None,
-    single_file_rows: int | None = None,
     names: Mapping[str, str] = NAMES,
 ) -> dict[str, int]:
     """Write the three exports; each is independent of the others. Returns the rows of each.
@@ -56,7 +55,7 @@ def export_dashboard(
     """
 
     def write(kind: str, rows: DataFrame) -> int:
-        return write_csv(rows, f"{folder}/{names[kind]}", ";", single_file_rows)
+        return write_csv(rows, f"{folder}/{names[kind]}", ";")
 
     done = {}
     if activities is not None:

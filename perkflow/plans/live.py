@@ -8,16 +8,13 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from perkflow.model import ACTIVITY_IMAGE, EMPLOYEE_IMAGE, VERSION_ORDER
 from perkflow.operators.versions import current_rows
+from perkflow.sources.latest import BUCKET, read_latest
 from perkflow.streaming.alerts import stream_alerts
-from perkflow.streaming.ingest import stream_activities, stream_employees
+from perkflow.streaming.ingest import stream_activities, stream_employees, stream_rejects
 from perkflow.streaming.reports import stream_mode_report
 
-# Newest version of an employee: event time first, so that a stream that starts over from a new
-# checkpoint does not bring old versions back; then the place in the message log; then the load.
-VERSION_ORDER = ("cdc_ts_ms", "cdc_offset", "processing_timestamp", "batch_id")
-
-
 def start_live(
     activities: DataFrame,
     employees: DataFrame,
@@ -25,27 +22,31 @@ def start_live(
     interval: str | None = "10 seconds",
     on_metrics: Callable[[int, dict[str, Any]], None] | None = None,
 ) -> list[StreamingQuery]:
-    """Start the activity, employee, alert and report streams below one folder.
+    """Start the activity, employee, reject, alert and report streams below one folder.
 
     Tables and their checkpoints lie side by side: they belong together.
     """
-    checkpoints = f"{root}/checkpoints"
+    def place(name: str) -> tuple[str, str, str | None]:
+        return f"{root}/{name}", f"{root}/checkpoints/{name}", interval
+
     return [
-        stream_activities(
-            activities, f"{root}/sport_activities", f"{checkpoints}/sport_activities", interval
-        ),
+        stream_activities(activities, *place("activities")),
         stream_employees(
-            employees,
-            f"{root}/employee_prime",
-            f"{checkpoints}/employee_prime",
-            interval,
-            on_metrics,
+            employees, *place("employee_prime"), on_metrics, f"{root}/current_employees"
         ),
-        stream_alerts(activities, f"{root}/alert_outbox", f"{checkpoints}/alert_outbox", interval),
-        stream_mode_report(employees, f"{root}/mode_report", f"{checkpoints}/mode_report", interval),
+        stream_rejects(activities, ACTIVITY_IMAGE, *place("activity_rejects"), "id"),
+        stream_rejects(employees, EMPLOYEE_IMAGE, *place("employee_rejects")),
+        stream_alerts(activities, *place("alert_outbox")),
+        stream_mode_report(employees, *place("mode_report")),
     ]
 
 
 def current_employees(employee_table: DataFrame) -> DataFrame:
-    """Latest version of each employee, without deleted ones."""
-    return current_rows(employee_table, "id_salarie", *VERSION_ORDER)
+    """Latest version of each employee, without deleted ones.
+
+    Reads a table of latest versions as it is; of a table of all versions the latest are picked.
+    """
+    if BUCKET in employee_table.columns:
+        return read_latest(employee_table)
+    order = [name for name in VERSION_ORDER if name in employee_table.columns]
+    return current_rows(employee_table, "id_salarie", *order)

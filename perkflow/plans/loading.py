@@ -1,4 +1,4 @@
-"""Clean the HR and sport files and load relational tables."""
+"""Clean the HR and practice files and load relational tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from perkflow.functions.text import short_number_text
 from perkflow.model import EMPLOYEE_DEFAULTS
-from perkflow.operators.cleaning import clean_hr, clean_sport, fill_defaults
+from perkflow.operators.cleaning import clean_hr, clean_practice, fill_defaults
 from perkflow.operators.columns import ensure_column, ensure_employee_id
 from perkflow.sources.relational import EMPLOYEE_TYPES
 from perkflow.sources.tabular import LINE, read_tabular
@@ -19,10 +19,17 @@ def clean_hr_file(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return clean_hr(rows, LINE).drop(LINE)
 
 
-def clean_sport_file(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Declared sports, the first line of each employee."""
+def read_people(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """HR rows as they are, in one pass: ids and salaries stay text, dates become dates."""
+    rows = read_tabular(spark, path, sep, infer=False)
+    dates = [name for name in ("date_naissance", "date_embauche") if name in rows.columns]
+    return rows.withColumns({name: F.col(name).try_cast("date") for name in dates}) if dates else rows
+
+
+def clean_practice_file(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """Declared practices, the first line of each employee."""
     rows = read_tabular(spark, path, sep, infer=False, keep_order=True)
-    return clean_sport(rows, LINE).drop(LINE)
+    return clean_practice(rows, LINE).drop(LINE)
 
 
 def numbers_as_text(df: DataFrame) -> DataFrame:

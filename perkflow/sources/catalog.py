@@ -18,11 +18,15 @@ def use_database(spark: SparkSession, name: str) -> None:
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> bool:
-    """Register a table over a folder once it has rows; tell whether it is registered."""
+    """Register a table over a folder once it has rows; tell whether it is registered.
+
+    Call it after each load: it makes partitions and files that came since known.
+    """
     if read_if_filled(spark, path) is None:
         return False
     if not spark.catalog.tableExists(name):
-        table = spark.catalog.createTable(name, path=path, source="parquet")
-        if "batch_id" in table.columns:
-            spark.catalog.recoverPartitions(name)
+        spark.catalog.createTable(name, path=path, source="parquet")
+    if "batch_id" in spark.table(name).columns:
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
     return True

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 
@@ -19,15 +21,25 @@ def delete(spark: SparkSession, name: str) -> None:
 
 
 def replace(spark: SparkSession, source: str, target: str) -> None:
-    """Put a file or folder in the place of another one."""
-    delete(spark, target)
-    if not _system(spark, target).rename(_path(spark, source), _path(spark, target)):
-        raise OSError(f"cannot rename {source} to {target}")
-
-
-def only_match(spark: SparkSession, pattern: str) -> str:
-    """The one file a pattern stands for."""
-    found = _system(spark, pattern).globStatus(_path(spark, pattern))
-    if len(found) != 1:
-        raise OSError(f"{len(found)} files match {pattern}")
-    return found[0].getPath().toString()
+    """Put a file or folder in the place of another one.
+
+    The old one is renamed aside and removed last, so `target` lacks for two renames only, and comes
+    back if the second one fails.
+    """
+    system, aside = _system(spark, target), f"{target}.{uuid4().hex}.old"
+    had = system.exists(_path(spark, target))
+    if had and not system.rename(_path(spark, target), _path(spark, aside)):
+        raise OSError(f"cannot rename {target} to {aside}")
+    try:
+        done = system.rename(_path(spark, source), _path(spark, target))
+    except Exception as problem:
+        done = False
+        reason = problem
+    else:
+        reason = None
+    if not done:
+        if had:
+            system.rename(_path(spark, aside), _path(spark, target))
+        raise OSError(f"cannot rename {source} to {target}") from reason
+    if had:
+        delete(spark, aside)

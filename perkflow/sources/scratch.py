@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
@@ -15,13 +14,9 @@ from perkflow.sources.files import delete
 def scratch_root(spark: SparkSession) -> str:
     """Folder of this application below the one the session names in `spark.checkpoint.dir`.
 
-    Only a local session may fall back to a temporary folder of the machine.
+    Without that setting it lies in the warehouse, which all executors reach as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.gettempdir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{root.rstrip('/')}/perkflow/{spark.sparkContext.applicationId}"
 
 

@@ -33,6 +33,12 @@ def write_load(df: DataFrame, path: str, stream_id: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/stream_id={stream_id}/batch_id={batch_id}")
 
 
+def read_load(spark: SparkSession, path: str, stream_id: str, batch_id: int) -> DataFrame:
+    """The rows of one load, with its partition columns."""
+    load = f"{path}/stream_id={stream_id}/batch_id={batch_id}"
+    return spark.read.option("basePath", path).parquet(load)
+
+
 def point_lookup(df: DataFrame, column: str, value: str) -> DataFrame:
     """Rows with one key. The value takes the type of the column, so the filter reaches the scan."""
     return df.filter(F.col(column) == F.lit(value).cast(df.schema[column].dataType))

@@ -27,19 +27,27 @@ def read_csv(
     sep: str = ",",
     schema: T.StructType | None = None,
     infer: bool = True,
+    escape_lines: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Rows of a delimited file as they are.
 
     With a schema the file is read once and must have its headers. Without one an extra pass infers
-    the types, unless `infer` is off and all columns are text.
+    the types, unless `infer` is off and all columns are text. Inference takes leading zeros from
+    ids; files with ids need a schema or `infer` off.
+
+    `escape_lines` undoes what `write_csv` did under that name. `multi_line` reads foreign files with
+    line breaks inside quotes; such a file is read by one task.
     """
     # A null value that no file holds keeps a quoted empty text apart from a missing one.
-    reader = spark.read.options(**_FORMAT, sep=sep, nullValue="\u0000")
+    reader = spark.read.options(**_FORMAT, sep=sep, nullValue="\u0000").option("multiLine", multi_line)
     if schema is not None:
-        return reader.option("enforceSchema", "false").schema(schema).csv(path)
-    if not infer:
-        return reader.csv(path)
-    return widen_integers(reader.option("inferSchema", "true").csv(path))
+        rows = reader.option("enforceSchema", "false").schema(schema).csv(path)
+    elif not infer:
+        rows = reader.csv(path)
+    else:
+        rows = widen_integers(reader.option("inferSchema", "true").csv(path))
+    return unescaped(rows) if escape_lines else rows
 
 
 def with_line_order(df: DataFrame) -> DataFrame:
@@ -67,41 +75,46 @@ def read_tabular(
     return normalise_headers(with_line_order(rows) if keep_order else rows)
 
 
-def write_csv(
-    df: DataFrame, path: str, sep: str = ";", single_file_rows: int | None = None
-) -> int:
+def write_csv(df: DataFrame, path: str, sep: str = ";", escape_lines: bool = False) -> int:
     """Write delimited text with a header; return the number of rows.
 
-    The rows are computed once, into a folder beside `path` that replaces `path` when complete.
-    Without rows nothing is replaced. The result is a folder of part files; with `single_file_rows`
-    it is one file, but only if the rows fit that number, because one task has to write them. More
-    rows are an error, and `path` stays as it was.
+    The rows are computed once, into a folder of part files beside `path` that replaces `path` when
+    complete. Without rows nothing is replaced. A line break inside a text would make one record two
+    lines, and the file unsplittable; `escape_lines` writes it as `\\n` for `read_csv` to undo.
     """
     staged = f"{path}.{uuid4().hex}"
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    spark = df.sparkSession
+    rows = escaped(df) if escape_lines else df
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     try:
-        if single_file_rows is None:
-            counted.write.options(**_FORMAT, sep=sep).csv(staged)
-        else:
-            counted.write.parquet(staged)
-        rows = seen.get["rows"]
-        if rows and single_file_rows is None:
-            files.replace(spark, staged, path)
-        elif rows:
-            _publish_single(spark, staged, path, sep, rows, single_file_rows)
+        counted.write.options(**_FORMAT, sep=sep).csv(staged)
+        number = seen.get["rows"]
+        if number:
+            files.replace(df.sparkSession, staged, path)
     finally:
-        files.delete(spark, staged)
-    return rows
-
-
-def _publish_single(
-    spark: SparkSession, staged: str, path: str, sep: str, rows: int, limit: int
-) -> None:
-    if rows > limit:
-        raise ValueError(f"{rows} rows are too many for a single file of {limit}")
-    single = f"{staged}.single"
-    spark.read.parquet(staged).coalesce(1).write.options(**_FORMAT, sep=sep).csv(single)
-    files.replace(spark, files.only_match(spark, f"{single}/part-*"), path)
-    files.delete(spark, single)
+        files.delete(df.sparkSession, staged)
+    return number
+
+
+def _texts(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def escaped(df: DataFrame) -> DataFrame:
+    """Texts without line breaks: backslash, line feed and return become two characters each."""
+    columns = {}
+    for name in _texts(df):
+        text = F.replace(F.col(name), F.lit("\\"), F.lit("\\-"))
+        text = F.replace(text, F.lit("\n"), F.lit("\\n"))
+        columns[name] = F.replace(text, F.lit("\r"), F.lit("\\r"))
+    return df.withColumns(columns) if columns else df
+
+
+def unescaped(df: DataFrame) -> DataFrame:
+    """The texts that `escaped` was given."""
+    columns = {}
+    for name in _texts(df):
+        text = F.replace(F.col(name), F.lit("\\n"), F.lit("\n"))
+        text = F.replace(text, F.lit("\\r"), F.lit("\r"))
+        columns[name] = F.replace(text, F.lit("\\-"), F.lit("\\"))
+    return df.withColumns(columns) if columns else df

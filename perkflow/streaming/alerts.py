@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from perkflow.functions.alerts import alert_text
 from perkflow.model import ALERT_IMAGE
 from perkflow.operators.changes import envelope, payloads
-from perkflow.streaming.ingest import append_stream
+from perkflow.streaming.ingest import append_stream, paced
 
 
 def alerts(messages: DataFrame) -> DataFrame:
@@ -31,15 +32,22 @@ def stream_alerts(
 
 def deliver(
     outbox_rows: DataFrame,
-    send: Callable[[Row], None],
+    send: Callable[[str, Iterator[Row]], None],
     checkpoint: str,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Hand each outbox row to `send` on the executors.
+    """Hand the outbox rows to `send` on the executors, one call per partition of a batch.
 
-    An error in `send` fails the task, Spark repeats it, and some rows may be sent twice.
+    `send` gets a name, the same whenever the part is repeated, and an iterator over its rows. An error
+    in it fails the task and Spark repeats the part, so a receiver that remembers names sees no row
+    twice.
     """
-    writer = outbox_rows.writeStream.foreach(send).option("checkpointLocation", checkpoint)
-    if interval:
-        return writer.trigger(processingTime=interval).start()
-    return writer.trigger(availableNow=True).start()
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        def part(own: Iterator[Row]) -> None:
+            send(f"{batch_id}-{TaskContext.get().partitionId()}", own)
+
+        rows.foreachPartition(part)
+
+    writer = outbox_rows.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return paced(writer, interval).start()

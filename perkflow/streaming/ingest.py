@@ -8,17 +8,20 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from perkflow.functions.pay import salary_defaulted
-from perkflow.model import EMPLOYEE_IMAGE
+from perkflow.model import EMPLOYEE_IMAGE, VERSION_ORDER
 from perkflow.operators.changes import (
     decode_activities,
     decode_employee_changes,
     raw_text,
+    rejects,
     with_pay,
 )
 from perkflow.operators.cleaning import fill_defaults
-from perkflow.sources.tables import write_load
+from perkflow.sources.latest import upsert_latest
+from perkflow.sources.tables import read_load, write_load
 
 Metrics = Callable[[int, dict[str, Any]], None]
 
@@ -70,6 +73,18 @@ def stream_raw(
     return append_stream(raw_text(messages), path, checkpoint, interval)
 
 
+def stream_rejects(
+    messages: DataFrame,
+    image: StructType,
+    path: str,
+    checkpoint: str,
+    interval: str | None = None,
+    key: str = "id_salarie",
+) -> StreamingQuery:
+    """Messages that the table streams leave out, with their text and the reason."""
+    return append_stream(rejects(messages, image, key), path, checkpoint, interval)
+
+
 def show_stream(rows: DataFrame, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Print a stream, for debugging."""
     writer = rows.writeStream.format("console").outputMode("append").option("truncate", "false")
@@ -92,11 +107,8 @@ def load_employees(
     nulls = [F.count_if(is_row & F.col(name).isNull()).alias(f"null_{name}") for name in names]
     observed = changes.observe(seen, F.count(F.lit(1)).alias("messages"), *nulls)
     flagged = observed.withColumn("salary_defaulted", salary_defaulted(F.col("salaire_brut")))
-    ready = (
-        with_pay(fill_defaults(flagged))
-        .filter(F.col("id_salarie").isNotNull())
-        .withColumn("processing_timestamp", F.current_timestamp())
-    )
+    priced = with_pay(fill_defaults(flagged))
+    ready = priced.withColumn("processing_timestamp", F.current_timestamp())
     written = Observation()
     final = ready.observe(
         written,
@@ -113,9 +125,12 @@ def stream_employees(
     checkpoint: str,
     interval: str | None = None,
     on_metrics: Metrics | None = None,
+    current: str | None = None,
 ) -> StreamingQuery:
     """Employee messages to the employee table, one partition folder per batch.
 
+    With `current` each stored batch also goes into the table of latest versions there.
+
     The query id is part of the folder name. It lives in the checkpoint, so a repeated batch
     replaces its own rows, and a new checkpoint cannot replace those of an older one.
     """
@@ -125,6 +140,9 @@ def stream_employees(
         if not stream_id:
             raise RuntimeError("the batch does not tell its query id")
         figures = load_employees(batch, path, stream_id, batch_id)
+        if current:
+            stored = read_load(batch.sparkSession, path, stream_id, batch_id)
+            upsert_latest(stored, current, "id_salarie", VERSION_ORDER)
         if on_metrics:
             on_metrics(batch_id, figures)
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from perkflow.model import MONEY, MONEY_SUM
 from perkflow.operators.changes import decode_employees, with_pay
 from perkflow.operators.cleaning import fill_defaults
+from perkflow.sources import files
 from perkflow.streaming.ingest import paced
 
 
@@ -33,10 +34,12 @@ def running_mode_report(messages: DataFrame) -> DataFrame:
 def stream_mode_report(
     messages: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """Keep the newest running report in a folder, replaced as a whole after each batch."""
+    """Keep the newest running report in a folder: written beside it and swapped in when complete."""
 
     def replace(report: DataFrame, batch_id: int) -> None:
-        report.write.mode("overwrite").parquet(path)
+        staged = f"{path}.next"
+        report.coalesce(1).write.mode("overwrite").parquet(staged)  # one row per mode
+        files.replace(report.sparkSession, staged, path)
 
     writer = running_mode_report(messages).writeStream.outputMode("complete").foreachBatch(replace)
     return paced(writer.option("checkpointLocation", checkpoint), interval).start()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -13,9 +13,9 @@ from perkflow import model
 from perkflow.functions.alerts import alert_text
 from perkflow.functions.commute import city_distance, commute_verdict, postcode_distance
 from perkflow.functions.dates import from_days, from_micros, minute_text
-from perkflow.functions.pay import eco_bonus, is_eco, salary_amount, salary_defaulted
+from perkflow.functions.pay import eco_bonus, is_eco, salary_amount, salary_defaulted, salary_out_of_range
 from perkflow.functions.text import decimal_comma, mode_key, number_text, title_case
-from perkflow.operators.commute import with_distance
+from perkflow.operators.commute import measured_places, with_distance
 
 PROPERTY = settings(
     max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -41,19 +41,27 @@ def test_salary_text(spark):
 def test_salary_with_a_huge_exponent(spark):
     texts = ["1e-999999999", "1e999999999", "1e-30000000", "1e-5", "1E0000003", "1e400"]
     amounts = column(spark, texts, "string", salary_amount)
-    assert amounts == [Decimal(x) for x in ("30000", "30000", "30000", "0", "1000", "30000")]
+    assert amounts == [Decimal("0"), None, Decimal("0"), Decimal("0"), Decimal("1000"), None]
+    assert column(spark, texts, "string", salary_out_of_range) == [False, True, False, False, False, True]
+    assert not any(column(spark, texts, "string", salary_defaulted))
+    wide = ["1e16", "12345678901234567", "9999999999999999.99", "x1", "nan", "1d", None]
+    assert column(spark, wide, "string", salary_out_of_range) == [True, True, False] + [False] * 4
+    assert column(spark, wide, "string", salary_defaulted) == [False] * 3 + [True] * 4
 
 
 def python_salary(text):
-    """Plain Python: a number of at most 16 digits before the point, else the default."""
+    """Plain Python: a number to cents, none beyond 16 digits before the point, else the default."""
     try:
         number = Decimal(text.strip())
         if "_" in text or not number.is_finite():
             raise ValueError
-        cents = number.quantize(Decimal("0.01"), ROUND_HALF_UP)
     except (ArithmeticError, ValueError):
         return Decimal(30000)
-    return cents if abs(cents) < 10**16 else Decimal(30000)
+    if abs(number) >= 10**16:
+        return None
+    with localcontext(prec=60):
+        cents = number.quantize(Decimal("0.01"), ROUND_HALF_UP)
+    return cents if abs(cents) < 10**16 else None
 
 
 @PROPERTY
@@ -220,7 +228,7 @@ def test_measured_distance_first(spark):
     measured = spark.createDataFrame(
         [("1 rue, Lattes", 2129), ("1 rue, Lattes", 3000), (None, 1)], "adresse string, distance_m long"
     )
-    found = {row.adresse: row.distance_km for row in with_distance(frame, measured).collect()}
+    found = {row.adresse: row.distance_km for row in with_distance(frame, measured_places(measured)).collect()}
     assert found == {"1 rue, Lattes ": 2.129, "2 rue, Lattes": 3.0, None: 22.5}
 
 

@@ -8,9 +8,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from perkflow.operators import activity, changes, cleaning, columns, quality, reports, versions
-from perkflow.operators.joins import hot_keys, salted_join
+from perkflow.model import ACTIVITY_IMAGE
+from perkflow.operators import activity, changes, cleaning, columns, commute, quality, reports, versions
 from perkflow.operators.ordering import order_rows
+from perkflow.sources.scratch import materialise
 
 
 def rows(frame, *names):
@@ -141,22 +142,33 @@ def test_decode(messages):
     assert hired == date(2020, 3, 31)
 
 
-def test_one_bad_field_spares_the_row(spark):
-    text = '{"payload":{"after":{"id_salarie":"9","duration_sec":"long","distance_m":1.5}}}'
-    found = changes.decode_activities(spark.createDataFrame([(text,)], "value string"))
-    assert rows(found, "id_salarie", "duration_sec", "distance_m") == [("9", None, 1.5)]
+def test_a_bad_field_is_a_reject(spark):
+    texts = [
+        '{"payload":{"after":{"id_salarie":"9","duration_sec":"long","distance_m":1.5}}}',
+        '{"payload":{"after":{"id_salarie":"9","duration_sec":8,"distance_m":1.5}}}',
+        '{"payload":{"after":{"id":"4","start_date":"zzz","id_salarie":"9"}}}',
+        '{"payload":{"after":{"id":"4"}}}',
+        '{"payload":{"op":"d","before":{"id":"4"}}}',
+        '{"payload":{"op":"d","before":{"id_salarie":"9"}}}',
+    ]
+    messages = spark.createDataFrame([(t,) for t in texts], "value string")
+    found = changes.decode_activities(messages)
+    assert rows(found, "id", "op", "duration_sec", "distance_m") == [
+        ("4", "d", None, None), (None, None, 8, 1.5)]
+    reasons = rows(changes.rejects(messages, ACTIVITY_IMAGE, "id"), "reason")
+    assert reasons == [("bad field: duration_sec",), ("bad field: start_date",), ("no key",), ("no key",)]
 
 
 def test_times_as_numbers_or_text(spark):
     times = ["1758807237827000", '"2025-09-25T13:33:57.827Z"', '"soon"', "null"]
-    texts = [('{"payload":{"after":{"start_date":%s}}}' % t,) for t in times]
+    texts = [('{"payload":{"after":{"id_salarie":"1","start_date":%s}}}' % t,) for t in times]
     found = changes.decode_activities(spark.createDataFrame(texts, "value string"))
     moment = datetime(2025, 9, 25, 13, 33, 57, 827000)
-    assert [r.start_date for r in found.collect()] == [moment, moment, None, None]
+    assert [r.start_date for r in found.collect()] == [moment, moment, None]
     days = ["18352", '"2020-03-31"', '"x"']
-    texts = [('{"payload":{"after":{"date_embauche":%s}}}' % d,) for d in days]
+    texts = [('{"payload":{"after":{"id_salarie":"1","date_embauche":%s}}}' % d,) for d in days]
     found = changes.decode_employees(spark.createDataFrame(texts, "value string"))
-    assert [r.date_embauche for r in found.collect()] == [date(2020, 3, 31), date(2020, 3, 31), None]
+    assert [r.date_embauche for r in found.collect()] == [date(2020, 3, 31), date(2020, 3, 31)]
 
 
 def test_raw_text_stays_beside_the_row(messages):
@@ -232,9 +244,9 @@ def test_active(spark, declared, recorded):
     )
     details = activity.active_details(totals, hr)
     assert [(r.id_salarie, r.nom, r.nb_activites_total) for r in details.collect()] == [("2", "a", 20), ("3", "c", 15)]
-    both = activity.active_and_eco(details, activity.eco_employees(hr))
+    both = activity.active_and_eco(details, activity.eco_ids(activity.eco_employees(hr)))
     assert rows(both, "id_salarie") == [("2",)]
-    everyone = activity.employee_detail(hr, recorded)
+    everyone = activity.employee_detail(hr, activity.activity_counts(recorded))
     assert rows(everyone, "id_salarie", "nb_activites", "prime_eligible", "jours_bien_etre") == [
         ("2", 20, True, 5), ("3", 15, False, 5), ("9", 0, False, 0)
     ]
@@ -252,40 +264,55 @@ def test_wellbeing_days_per_year(spark):
 
 
 @pytest.fixture
-def skewed(spark):
-    """A third null, a third with key 0, a third with keys of their own."""
-    key = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 0).otherwise(F.col("id"))
-    return spark.range(0, 9000, 1, 12).select(key.alias("k"), "id")
-
-
-def test_hot_keys(skewed):
-    assert set(hot_keys(skewed, "k", fraction=1.0, least=100)) == {None, 0}
-    assert hot_keys(skewed, "k", fraction=1.0, least=100, most=1) in ([None], [0])
-    assert hot_keys(skewed, "k") == []
+def hot_plans(spark):
+    """Joins as on a cluster with a hot key: no broadcast, small partitions, low skew limits."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-@pytest.mark.parametrize("hot", [None, [], [0, None], [0], [None], [0, 5, 777, -1]])
-def test_salted_join_equals_plain_join(spark, skewed, how, hot):
-    lookup = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    assert rows(salted_join(skewed, lookup, "k", how, hot)) == rows(skewed.join(lookup, "k", how))
+@pytest.fixture
+def hot_people(spark):
+    """Four rows in five belong to one employee."""
+    number = F.when(F.col("id") % 5 > 0, 1).otherwise(F.col("id")).cast("string")
+    return spark.range(0, 20_000, 1, 8).select(
+        number.alias("id_salarie"),
+        F.concat(F.lit("n"), F.col("id")).alias("nom"),
+        F.lit("p").alias("prenom"),
+        F.lit("Marche/running").alias("moyen_deplacement"),
+        F.lit("1000").alias("salaire_brut"),
+        F.concat(number, F.lit(" Rue")).alias("adresse"),
+    )
 
 
-def test_salted_join_spreads_the_hot_key(spark):
-    big = spark.range(0, 8000, 1, 8).select(F.lit(1).cast("long").alias("k"), "id")
-    lookup = spark.range(10).select(F.col("id").alias("k"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", "32")
-    try:
-        joined = salted_join(big, lookup, "k", hot=[1])
-        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        for name in ("autoBroadcastJoinThreshold", "adaptive.enabled"):
-            spark.conf.unset(f"spark.sql.{name}")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert sum(row["count"] for row in sizes) == 8000
-    assert len(sizes) >= 4
+@pytest.mark.parametrize("kind", ["details", "eco", "detail", "distance"])
+def test_a_hot_key_is_split(spark, hot_plans, hot_people, kind):
+    ids = spark.range(20_000).select(F.col("id").cast("string").alias("id_salarie"))
+    counts = materialise(ids.withColumn("nb_activites_delta", F.lit(20)), "counts")
+    totals = counts.withColumn("nb_activites_total", F.lit(20))
+    if kind == "details":
+        out = activity.active_details(totals, hot_people, ordered=False)
+    elif kind == "eco":
+        out = activity.active_and_eco(hot_people, materialise(ids, "ids"))
+    elif kind == "detail":
+        out = activity.employee_detail(hot_people, counts)
+    else:
+        places = ids.select(F.concat("id_salarie", F.lit(" Rue")).alias("adresse"), F.lit(7000).alias("distance_m"))
+        out = commute.with_distance(hot_people, materialise(commute.measured_places(places), "places"))
+    assert len(out.collect()) == 20_000
+    assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_order_of_equal_rows(spark):

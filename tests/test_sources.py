@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from perkflow.sources import catalog, relational, scratch, tables, tabular
+from perkflow.sources import catalog, files, latest, relational, scratch, tables, tabular
 
 
 def test_missing_and_empty_tables(spark, tmp_path):
@@ -53,8 +53,9 @@ def test_catalog(spark, tmp_path):
     try:
         assert not catalog.register_table(spark, "people", path)
         tables.write_load(spark.range(3), path, "s", 0)
-        tables.write_load(spark.range(2), path, "s", 1)
         assert catalog.register_table(spark, "people", path)
+        assert spark.table("people").count() == 3
+        tables.write_load(spark.range(2), path, "s", 1)
         assert catalog.register_table(spark, "people", path)
         assert spark.sql("SELECT count(*) AS n FROM perks.people WHERE batch_id = 0").first().n == 3
         assert spark.table("people").count() == 5
@@ -79,16 +80,53 @@ def test_empty_export_keeps_the_old_file(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["x.csv"]
 
 
-def test_single_file(spark, tmp_path):
-    path = tmp_path / "x.csv"
-    frame = spark.range(0, 10, 1, 4).select(F.col("id").alias("n"))
-    assert tabular.write_csv(frame, str(path), ";", single_file_rows=10) == 10
-    lines = path.read_text().split()
-    assert lines[0] == "n" and sorted(map(int, lines[1:])) == list(range(10))
-    with pytest.raises(ValueError, match="too many"):
-        tabular.write_csv(frame, str(path), ";", single_file_rows=9)
-    assert len(path.read_text().split()) == 11
-    assert not [p for p in tmp_path.iterdir() if p.is_dir()]
+def test_line_breaks_survive(spark, tmp_path):
+    path = str(tmp_path / "x.csv")
+    data = [("a\nb", "\\n"), ("c\r\nd", "\\-n\\"), ("", None), ('"q";', "\\\\r\r")]
+    frame = spark.createDataFrame(data, "a string, b string")
+    assert tabular.write_csv(frame, path, ";", escape_lines=True) == 4
+    back = tabular.read_csv(spark, path, ";", frame.schema, escape_lines=True)
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(data, key=repr)
+    assert sum(len(p.read_text().splitlines()) for p in (tmp_path / "x.csv").glob("part-*.csv")) >= 5
+    tabular.write_csv(frame, path, ";")
+    foreign = tabular.read_csv(spark, path, ";", frame.schema, multi_line=True)
+    assert foreign.count() == 4
+
+
+def test_replacing_keeps_the_old_until_the_new_is_there(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "old"))
+    with pytest.raises(OSError):
+        files.replace(spark, str(tmp_path / "missing"), str(tmp_path / "old"))
+    assert spark.read.parquet(str(tmp_path / "old")).count() == 3
+    spark.range(5).write.parquet(str(tmp_path / "new"))
+    files.replace(spark, str(tmp_path / "new"), str(tmp_path / "old"))
+    assert spark.read.parquet(str(tmp_path / "old")).count() == 5
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["old"]
+
+
+def test_latest_versions_by_bucket(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def load(*rows):
+        frame = spark.createDataFrame(list(rows), "id_salarie string, op string, ts long, v string")
+        return latest.upsert_latest(frame, path, "id_salarie", ("ts",), buckets=16)
+
+    def state():
+        return {r.id_salarie: r.v for r in latest.read_latest(spark.read.parquet(path)).collect()}
+
+    load(*[(str(i), "c", 1, "a") for i in range(40)])
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("part-*")}
+    touched = load(("3", "u", 2, "b"), ("3", "u", 3, "c"))
+    assert len(touched) == 1
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("part-*")}
+    changed = {p.parent.name for p in before.keys() ^ after.keys()}
+    assert changed == {f"bucket={touched[0]}"}
+    assert state() == {str(i): "a" for i in range(40)} | {"3": "c"}
+    load(("3", "u", 2, "b"), ("3", "u", 3, "c"))  # the same batch again
+    load(("4", "d", 5, None))
+    load(("4", "u", 4, "late"))  # older than the delete
+    assert state() == {str(i): "a" for i in range(40) if i != 4} | {"3": "c"}
+    assert load() == []
 
 
 def test_inferred_types(spark, tmp_path):
