@@ -44,8 +44,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     gone = classes.filter("class_id < doc_id").select("doc_id").distinct()
     named = docs.filter(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti")
     unnamed = docs.filter(F.col("doc_id").isNull())
-    key = F.md5("text")
-    first = named.withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    key = "text_digest"
+    while key in docs.columns:
+        key += "_"
+    first = named.withColumn(key, F.md5("text")).dropDuplicates(["doc_id", key]).drop(key)
     return first.select(docs.columns).unionByName(unnamed)
 
 

@@ -15,7 +15,8 @@ blocks is a task of its own, so a group may be of any size and no link is lost.
 
 Defined results: texts with fewer than five words have one shingle, all their words; texts without
 words (null, empty, punctuation) have no shingle, link with nothing and are their own class. Rows that
-repeat an id count as rows. Null ids never name a class. Only doc_id and text are read.
+repeat an id count as rows. Null ids never name a class; a text that only rows without an id have links
+with nothing. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -300,13 +301,12 @@ def verified_links(documents: DataFrame, reps: DataFrame, groups: DataFrame) ->
 
 def similarity_join(documents: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest id connected through links) and n_links for every row."""
-    # Rows that repeat an id with another text would make one name stand for two texts.
     rows = materialise(signatures(documents), "signatures")
-    named = rows.filter(F.col("text_key").isNotNull() & F.col("doc_id").isNotNull())
-    keyed = named.groupBy("text_key").agg(
+    worded = rows.filter(F.col("text_key").isNotNull())
+    keyed = worded.groupBy("text_key").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")
     )
-    own = named.select("text_key", F.col("doc_id").alias("rep"), "sig", "bands")
+    own = worded.select("text_key", F.col("doc_id").alias("rep"), "sig", "bands")
     reps = keyed.join(own, ["text_key", "rep"]).dropDuplicates(["rep"])
     reps = materialise(reps, "texts")
     links = materialise(verified_links(documents, reps, candidate_groups(reps)), "links")

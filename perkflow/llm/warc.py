@@ -264,7 +264,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             for row in batch.to_pylist():
                 if out is None:
                     name = f"{path}/{task:05d}-{number:04d}-{attempt}.warc.zst"
-                    out, number, records = store.open_output_stream(name), number + 1, 0
+                    out, number, records = store.open_output_stream(name, compression=None), number + 1, 0
                     lead = dictionary_frame(dictionary) if dictionary else b""
                     info = _headers(
                         [
@@ -305,7 +305,7 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
     def rows(store: fs.FileSystem, path: str) -> Iterator[dict[str, Any]]:
         number = -1
         try:
-            with store.open_input_stream(path) as stream:
+            with store.open_input_stream(path, compression=None) as stream:
                 for number, data in frames(stream):
                     row = {"path": path, "position": number}
                     try:
