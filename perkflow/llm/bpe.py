@@ -21,6 +21,7 @@ import heapq
 import json
 import zlib
 from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ LONGEST = 64  # bytes of a word that Spark folds; longer ones merge with a heap
 _MAPS = 1 << 14
 _CACHE = 500_000
 _LATIN = "ISO-8859-1"
+_NONE = 1 << 30  # rank of neighbours that do not merge
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -130,14 +132,17 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     if len(word) > LONGEST:
         return _merge_long(word, ranks)
     parts = [word[i : i + 1] for i in range(len(word))]
-    while True:
-        low, at = min(
-            ((ranks.get(a + b, 1 << 30), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))),
-            default=(1 << 30, 0),
-        )
-        if low == 1 << 30:
-            return [ranks[part] for part in parts]
+    rank = ranks.get
+    pairs = [rank(word[i : i + 2], _NONE) for i in range(len(word) - 1)]
+    while pairs and (low := min(pairs)) < _NONE:
+        at = pairs.index(low)
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = rank(parts[at - 1] + parts[at], _NONE)
+        if at < len(pairs):
+            pairs[at] = rank(parts[at] + parts[at + 1], _NONE)
+    return [ranks[part] for part in parts]
 
 
 def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -168,6 +173,36 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[part] for part in parts if part is not None]
 
 
+class _Words(dict[str, bytes]):
+    """Packed ids of words: the common ones, and others as they come, up to a bound.
+
+    A Python worker keeps them for its next task of the same job.
+    """
+
+    _last: tuple[str, "_Words"] | None = None
+
+    def __init__(self, ranks: dict[bytes, int], common: dict[str, bytes]) -> None:
+        super().__init__(common)
+        self.ranks, self.common = ranks, common
+
+    @classmethod
+    def of(cls, job: str, ranks: dict[bytes, int], common: dict[str, bytes]) -> "_Words":
+        if cls._last is None or cls._last[0] != job:
+            cls._last = job, cls(ranks, common)
+        return cls._last[1]
+
+    def __missing__(self, word: str) -> bytes:
+        packed = np.array(merge(word.encode(), self.ranks), "<u4").tobytes()
+        if len(word) <= LONGEST:
+            self[word] = packed
+        return packed
+
+    def limit(self) -> None:
+        if len(self) > len(self.common) + _CACHE:
+            self.clear()
+            self.update(self.common)
+
+
 def encode_column(
     documents: DataFrame, ranks: dict[bytes, int], pattern: str
 ) -> Callable[[Column], Column]:
@@ -176,29 +211,20 @@ def encode_column(
     `documents` are the texts to come; their common words are folded first.
     """
     rows = common_words(documents, ranks, pattern).collect()  # at most 1 / COMMON
-    shared = documents.sparkSession.sparkContext.broadcast(
-        (ranks, {r.word: tuple(r.ids) for r in rows})
-    )
+    packed = {r.word: np.array(r.ids, "<u4").tobytes() for r in rows}
+    shared = documents.sparkSession.sparkContext.broadcast((ranks, packed))
+    job = uuid4().hex
 
     @F.arrow_udf("struct<ids:array<int>,packed:binary>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own_ranks, common = shared.value
         split = regex.compile(pattern).findall
-        cache: dict[str, tuple[int, ...]] = {}
+        known = _Words.of(job, *shared.value)
         for texts in batches:
             found = []
             for text in texts:
-                ids: list[int] = []
-                for word in split(text.as_py() or ""):
-                    known = common.get(word) or cache.get(word)
-                    if known is None:
-                        if len(cache) >= _CACHE:
-                            cache.clear()
-                        known = tuple(merge(word.encode(), own_ranks))
-                        if len(word) <= LONGEST:
-                            cache[word] = known
-                    ids += known
-                found.append(np.array(ids, "<u4"))
+                words = split(text.as_py() or "")
+                found.append(np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4"))
+                known.limit()
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, "<u4"), *found]).astype(np.int32)
             yield pa.StructArray.from_arrays(
