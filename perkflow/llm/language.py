@@ -70,9 +70,10 @@ def fit(texts: list[str], langs: list[str], landmarks: int = 48, ridge: float =
     """`landmarks` texts per language; the texts come in an order that does not depend on language."""
     names = sorted(set(langs))
     table = letter_table(texts)
-    flags = [presence(text, table) for text in texts]
-    usable = [i for i, f in enumerate(flags) if f.any()]
-    texts, langs, flags = ([x[i] for i in usable] for x in (texts, langs, flags))
+    # The grams of a text take little room as numbers; flags for all texts at once would not.
+    grams = [np.flatnonzero(presence(text, table)).astype(np.int32) for text in texts]
+    usable = [i for i, found in enumerate(grams) if len(found)]
+    langs, grams = [langs[i] for i in usable], [grams[i] for i in usable]
     taken: Counter[str] = Counter()
     chosen = []
     for i, lang in enumerate(langs):
@@ -81,12 +82,21 @@ def fit(texts: list[str], langs: list[str], landmarks: int = 48, ridge: float =
             chosen.append(i)
     if not chosen:
         return Model([], table, np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros((0, 0)))
-    features = np.flatnonzero(np.any([flags[i] for i in chosen], axis=0))
-    sizes = np.array([np.count_nonzero(f) for f in flags], np.float64)
-    bags = np.stack([f[features] for f in flags]).astype(np.float32) / np.sqrt(sizes)[:, None]
-    bags = bags.astype(np.float32)
-    marks = bags[chosen]
-    kernel = (bags @ marks.T).astype(np.float64)
+    features = np.unique(np.concatenate([grams[i] for i in chosen])).astype(np.int64)
+    column = np.full(_SPACE, -1, np.int32)
+    column[features] = np.arange(len(features))
+
+    def bags(part: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(part), len(features)), np.float32)
+        for row, found in zip(out, part):
+            own = column[found]
+            row[own[own >= 0]] = 1 / np.sqrt(len(found))
+        return out
+
+    marks = bags([grams[i] for i in chosen])
+    kernel = np.concatenate(
+        [bags(grams[at : at + 128]) @ marks.T for at in range(0, len(grams), 128)]
+    ).astype(np.float64)
     values, vectors = np.linalg.eigh(kernel[chosen])
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
