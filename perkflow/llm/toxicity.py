@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -67,23 +68,40 @@ def fit(
     """
     none = Model(np.zeros(BUCKETS, np.float32), -50.0)
     index: dict[str, int] = {}
-    docs = [[index.setdefault(w, len(index)) for w in _WORD.findall(t.lower())] for t in texts]
-    y = np.asarray([label for label, doc in zip(toxic, docs) if doc], np.float64)
-    docs = [np.asarray(doc, np.int64) for doc in docs if len(doc)]
+    docs = [
+        np.fromiter((index.setdefault(w, len(index)) for w in _WORD.findall(t.lower())), np.int32)
+        for t in texts
+    ]
+    y = np.asarray([label for label, doc in zip(toxic, docs) if len(doc)], np.float64)
+    docs = [doc for doc in docs if len(doc)]
     if not len(y) or y.min() == y.max():
         return none
-    grams = [np.asarray(subwords(w), np.int64) for w in index]
+    flat, sizes = array("i"), array("i")
+    for word in index:
+        found = subwords(word)
+        flat.extend(found)
+        sizes.append(len(found))
+    words = len(index)
+    index.clear()
+    gram_ids, gram_n = np.frombuffer(flat, np.int32), np.frombuffer(sizes, np.int32)
+    gram_at = _starts(gram_n)
     seen = np.zeros((2, BUCKETS))
     for doc, label in zip(docs, y):
-        seen[int(label), np.unique(np.concatenate([grams[w] for w in np.unique(doc)]))] += 1
+        own = np.unique(doc)
+        n = gram_n[own]
+        at = np.repeat(gram_at[own] - _starts(n), n) + np.arange(n.sum())
+        seen[int(label), np.unique(gram_ids[at])] += 1
     size = np.array([[(y == 0).sum()], [(y == 1).sum()]])
     share = (seen.sum(axis=0) + 1) / (len(y) + 2)
     z = (seen[1] / size[1] - seen[0] / size[0]) / np.sqrt(share * (1 - share) * (1 / size).sum())
     live_bucket = np.abs(z) >= least_z
     odds = np.log((seen + 0.5) / (size - seen + 0.5))
     start = np.where(live_bucket, odds[1] - odds[0], 0) / 4
-    gram_n = np.array([len(g) for g in grams])
-    gram_ids, gram_at = np.concatenate(grams), _starts(gram_n)
+    # Only the n-grams that take part are kept; the mean of a word is over all of its n-grams.
+    word_of = np.repeat(np.arange(words, dtype=np.int32), gram_n)[live_bucket[gram_ids]]
+    gram_ids = gram_ids[live_bucket[gram_ids]]
+    live_n = np.bincount(word_of, minlength=words)
+    live_at = _starts(live_n)
     tokens, doc_n = np.concatenate(docs), np.array([len(doc) for doc in docs])
     parts = -(-doc_n // SEGMENT)
     doc_of, doc_at = np.repeat(np.arange(len(docs)), parts), _starts(parts)
@@ -102,7 +120,7 @@ def fit(
     best, best_loss = none, np.inf
     for step in range(1, rounds + 1):
         bucket_score = table @ weights
-        word_score = np.add.reduceat(bucket_score[gram_ids], gram_at) / gram_n
+        word_score = np.bincount(word_of, bucket_score[gram_ids], words) / gram_n
         seg_score = SCALE * np.add.reduceat(word_score[tokens], seg_at) / seg_n
         top = np.maximum.reduceat(seg_score, doc_at)
         prob = 1 / (1 + np.exp(-np.clip(top + bias, -30, 30)))
@@ -116,11 +134,12 @@ def fit(
         # Back to the words of the chosen segments, then to their buckets.
         size = seg_n[chosen]
         at = np.repeat(seg_at[chosen] - _starts(size), size) + np.arange(size.sum())
-        per_word = np.bincount(tokens[at], np.repeat(SCALE * slope / size, size), len(index))
+        per_word = np.bincount(tokens[at], np.repeat(SCALE * slope / size, size), words)
         hit = np.flatnonzero(per_word)
-        n = gram_n[hit]
-        where = np.repeat(gram_at[hit] - _starts(n), n) + np.arange(n.sum())
-        per_bucket = np.bincount(gram_ids[where], np.repeat(per_word[hit] / n, n), BUCKETS)[used]
+        n = live_n[hit]
+        where = np.repeat(live_at[hit] - _starts(n), n) + np.arange(n.sum())
+        per_gram = np.repeat(per_word[hit] / gram_n[hit], n)
+        per_bucket = np.bincount(gram_ids[where], per_gram, BUCKETS)[used]
         push = 0.9 * push - rate * per_bucket[:, None] * weights
         pull = 0.9 * pull - 0.1 * (per_bucket @ table[used])
         drift = 0.9 * drift - 0.3 * slope.sum()
