@@ -123,7 +123,9 @@ def _model(words: np.ndarray, total: int, pairs: np.ndarray, counts: np.ndarray)
 def train(documents: DataFrame, target_ids: DataFrame) -> Scorer:
     """Models of the documents whose id is in `target_ids` (doc_id) and of all documents."""
     wanted = target_ids.select("doc_id").distinct().withColumn("_wanted", F.lit(True))
-    marked = documents.select("doc_id", "text").join(wanted, "doc_id", "left")
+    # Both sides move by id at every size: broadcasting a list of ids that is still small would only make
+    # the work of small tables tell nothing about that of large ones.
+    marked = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left")
     rows = marked.select(
         F.coalesce("_wanted", F.lit(False)).alias("wanted"), word_hashes(F.col("text")).alias("words")
     )
