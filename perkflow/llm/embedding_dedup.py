@@ -2,8 +2,14 @@
 
 Each pass gives every vector the signs of `BITS` random projections, read as one number, and sorts all
 vectors by it. Close vectors share a long prefix and stand close together, so each vector is compared
-in double precision with the `WINDOW` vectors after it. Pairs found in any of the `PASSES` passes are
-united. The work per vector is bounded whatever the data look like.
+in double precision with the `WINDOW` vectors after it. The passes only say which vectors belong together:
+the pairs found in any of them connect the vectors to groups, and a task writes one edge per vector and
+pass. The number of passes grows with the table (`passes`), because in a larger table a pair must agree
+in more signs to stand in one window.
+
+All pairs of a group are then compared in double precision, in bounded blocks dealt as in `ngram_join`, so
+a cluster of any size has all its links; a task writes one row per vector. A link is missed only if no
+pass and no chain of other links brings its two vectors together.
 
 A pass is a range sort. The window of the last rows of a partition goes on in the next partition: both
 ends of each partition are compared in a second, small step.
@@ -28,11 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perkflow.llm.common import components, runs, slices
+from perkflow.llm.ngram_join import grouped, in_blocks, lowest_labels
 from perkflow.sources.scratch import materialise
 
 THRESHOLD = 0.95
-PASSES = 16
+PASSES = 16  # at least
+MISSED = 1e-4  # of the pairs at the threshold that all passes together may miss in even data
 WINDOW = 100
+BLOCK = 1024  # vectors of one side of an exact comparison
 BITS = 63
 _STEP = 256
 _EDGES = "a long, b long, seam long, place int, bits binary"
@@ -66,12 +75,18 @@ def _length(vector: np.ndarray) -> float:
     return float(top * np.sqrt(((vector / top) ** 2).sum())) if top else 0.0
 
 
+def passes(n: int) -> int:
+    """Passes for n vectors. A pair must agree in about log2(n / WINDOW) signs to stand in one window."""
+    agree = (1 - np.arccos(THRESHOLD) / np.pi) ** max(1.0, np.log2(max(1, n) / WINDOW))
+    return max(PASSES, int(np.ceil(np.log(MISSED) / np.log1p(-agree))))
+
+
 def projections(dim: int, number: int) -> np.ndarray:
     """Random directions of a pass, the same on every executor."""
     return np.random.default_rng((dim, number)).standard_normal((dim, BITS))
 
 
-def projected(reps: DataFrame) -> DataFrame:
+def projected(reps: DataFrame, number_of_passes: int) -> DataFrame:
     """One row per vector and pass: dim, pass, order (the sign bits), rep and the vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +100,7 @@ def projected(reps: DataFrame) -> DataFrame:
                 vecs = batch.column(1).take(pa.array(at))
                 matrix = np.frombuffer(b"".join(vecs.to_pylist())).reshape(len(at), dim)
                 matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)
-                for number in range(PASSES):
+                for number in range(number_of_passes):
                     if (dim, number) not in planes:
                         planes[dim, number] = projections(int(dim), number)
                     order = (matrix @ planes[dim, number] > 0) @ powers
@@ -104,18 +119,26 @@ def projected(reps: DataFrame) -> DataFrame:
     return reps.select("rep", "vec").mapInArrow(run, schema)
 
 
-def close_pairs(ids: np.ndarray, unit: np.ndarray, kept: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs within the window whose later member is not among the first `kept` rows."""
+def close_pairs(unit: np.ndarray, kept: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of pairs within the window whose later member is not among the first `kept` rows."""
     first, second = [], []
-    for low in range(0, len(ids), _STEP):
-        high = min(len(ids), low + _STEP + WINDOW)
+    for low in range(0, len(unit), _STEP):
+        high = min(len(unit), low + _STEP + WINDOW)
         cosine = unit[low : low + _STEP] @ unit[low:high].T
         a, b = np.nonzero(cosine >= THRESHOLD)
         near = (b > a) & (b - a <= WINDOW) & (b + low >= kept)
-        first.append(ids[low + a[near]])
-        second.append(ids[low + b[near]])
+        first.append(low + a[near])
+        second.append(low + b[near])
     a = np.concatenate(first) if first else np.zeros(0, np.int64)
     b = np.concatenate(second) if second else np.zeros(0, np.int64)
+    return a, b
+
+
+def chains(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One edge at most per row, which connect the same rows as the pairs of positions (a, b)."""
+    label = lowest_labels(len(ids), a, b)
+    moved = np.flatnonzero(label != np.arange(len(ids)))
+    a, b = ids[moved], ids[label[moved]]
     return np.minimum(a, b), np.maximum(a, b)
 
 
@@ -164,7 +187,7 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen += take
             kept = len(ids)
             ids, vectors = np.concatenate([ids, new_ids]), vectors + new
-            yield _edges(*close_pairs(ids, _unit(vectors, dim), kept))
+            yield _edges(*chains(ids, *close_pairs(_unit(vectors, dim), kept)))
             ids, vectors = ids[-WINDOW:], vectors[-WINDOW:]
     if len(ids):
         yield _ends(ids, vectors, here + 1, np.arange(-len(ids), 0))
@@ -183,19 +206,19 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x, y = np.nonzero(cosine >= THRESHOLD)
             x, y = at[x], at[y]
             near = (place[x] < 0) & (place[y] >= 0) & (place[y] - place[x] <= WINDOW) & (ids[x] != ids[y])
-            a, b = ids[x[near]], ids[y[near]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
-            )
+            a, b = chains(ids, x[near], y[near])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def linked_pairs(reps: DataFrame) -> DataFrame:
-    """(a, b) of different vectors found at the threshold, a < b, once each."""
-    rows = projected(reps)
+def connecting_pairs(reps: DataFrame) -> DataFrame:
+    """(a, b) of different linked vectors, a < b, that connect all vectors whose link a pass found."""
     spark = reps.sparkSession
+    number = reps.count()
+    number_of_passes = passes(number)
+    rows = projected(reps, number_of_passes)
     # Partitions well above the window, so that a window crosses one seam at most.
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(most, reps.count() * PASSES // (8 * WINDOW)))
+    parts = max(1, min(most, number * number_of_passes // (8 * WINDOW)))
     order = ["dim", "pass", "order", "rep"]
     swept = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     swept = materialise(swept.mapInArrow(_sweep, _EDGES), "sweeps")
@@ -206,27 +229,60 @@ def linked_pairs(reps: DataFrame) -> DataFrame:
     return inside.union(across).distinct()
 
 
+def link_counts(ids: np.ndarray, unit: np.ndarray, copies: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Linked rows of each vector across the two blocks, or within the one."""
+    two = block.min() != block.max()
+    links = np.zeros(len(ids), np.int64)
+    for low in range(0, len(ids), _STEP):
+        here = np.arange(low, min(len(ids), low + _STEP))
+        near = unit[here] @ unit.T >= THRESHOLD
+        near[here - low, here] = False
+        if two:
+            near &= block[here][:, None] != block
+        links[here] = near @ copies
+    return links
+
+
+def exact_links(reps: DataFrame, groups: DataFrame) -> DataFrame:
+    """(rep, links) from all pairs of each group (rep, component_id), in bounded blocks."""
+    sizes = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n"))
+    members = groups.join(sizes, "component_id")
+    members = in_blocks(members, ["component_id"], F.col("n"), "rep", BLOCK)
+    members = members.join(reps.select("rep", "copies", "vec"), "rep")
+    members = members.select("component_id", "low", "high", "rep", "block", "copies", "vec")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, 3):
+            ids, block, copies = (group.column(i).to_numpy() for i in (3, 4, 5))
+            vectors = group.column(6).to_pylist()
+            links = link_counts(ids, _unit(vectors, len(vectors[0]) // 8), copies, block)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links)], names=["rep", "links"])
+
+    dealt = grouped(members, ["component_id"], run, "rep long, links long")
+    return dealt.groupBy("rep").agg(F.sum("links").alias("links"))
+
+
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row."""
     rows = materialise(usable(vectors), "vectors")
     good = rows.filter(F.col("vec_key").isNotNull() & F.col("vec_id").isNotNull())
+    # Vectors go by a number of their own, because rows that repeat an id may hold different vectors.
     keyed = good.groupBy("vec_key").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
+        F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec")
+    )
+    reps = materialise(keyed.withColumn("rep", F.monotonically_increasing_id()), "distinct_vectors")
+    found = materialise(components(connecting_pairs(reps)).withColumnRenamed("id", "rep"), "groups")
+    names = found.join(reps.select("rep", "first_id"), "rep").groupBy("component_id").agg(
+        F.min("first_id").alias("name")
     )
-    own = good.select("vec_key", F.col("vec_id").alias("rep"), "vec")
-    reps = materialise(keyed.join(own, ["vec_key", "rep"]).dropDuplicates(["rep"]), "distinct_vectors")
-    pairs = materialise(linked_pairs(reps), "links")
-    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    weights = reps.select(F.col("rep").alias("b"), "copies")
-    links = both.join(weights, "b").groupBy("a").agg(F.sum("copies").alias("links"))
-    found = components(pairs).withColumnRenamed("id", "rep")
     known = (
-        reps.select("vec_key", "rep", "copies")
-        .join(links.withColumnRenamed("a", "rep"), "rep", "left")
+        reps.select("vec_key", "rep", "first_id", "copies")
+        .join(exact_links(reps, found), "rep", "left")
         .join(found, "rep", "left")
+        .join(names, "component_id", "left")
         .select(
             "vec_key",
-            F.coalesce("component_id", "rep").alias("component_id"),
+            F.coalesce("name", "first_id").alias("component_id"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )

@@ -107,7 +107,7 @@ def surviving(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return left
 
 
-def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def lowest_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest position connected with each of n positions through the pairs (a, b)."""
     label = np.arange(n)
     while len(a):
@@ -222,9 +222,11 @@ def signatures(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text_key binary, sig binary, bands array<long>")
 
 
-def in_blocks(rows: DataFrame, keys: list[str], size: Column, rep: str) -> DataFrame:
+def in_blocks(
+    rows: DataFrame, keys: list[str], size: Column, rep: str, most: int | None = None
+) -> DataFrame:
     """Deal each group into blocks by a hash of the id, one copy of a row per pair of blocks."""
-    blocks = F.ceil(size / F.lit(BLOCK)).cast("int")
+    blocks = F.ceil(size / F.lit(most or BLOCK)).cast("int")
     rows = rows.withColumn("blocks", blocks)
     rows = rows.withColumn("block", F.pmod(F.xxhash64(rep), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -290,7 +292,7 @@ def verified_links(documents: DataFrame, reps: DataFrame, groups: DataFrame) ->
             links = np.zeros(len(ids), np.int64)
             np.add.at(links, a, copies[b])
             np.add.at(links, b, copies[a])
-            near = ids[_labels(len(ids), a, b)]
+            near = ids[lowest_labels(len(ids), a, b)]
             hit = links > 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x[hit]) for x in (ids, links, near)], names=["rep", "links", "near"]

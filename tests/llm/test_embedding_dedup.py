@@ -86,3 +86,24 @@ def test_threshold_in_double_precision(spark, cosine):
     rows = [(1, [1.0, 0.0]), (2, [cosine, math.sqrt(1 - cosine**2)])]
     frame_ = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert {r.n_links for r in embedding_dedup.near_duplicates(frame_).collect()} == {int(cosine >= 0.95)}
+
+
+@pytest.mark.parametrize("noise", [0.01, 0.2])
+def test_tight_and_loose_clusters_larger_than_all_windows_keep_all_links(spark, noise):
+    rng = np.random.default_rng(6)
+    rows = clusters(rng, [4500, *[1] * 50], noise=noise)
+    unit = np.stack([np.asarray(v, np.float64) / np.linalg.norm(v) for _, v in rows])
+    truth = {i: int(n) - 1 for (i, _), n in zip(rows, (unit @ unit.T >= 0.95).sum(axis=1))}
+    found = embedding_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert len(found) == len(rows) and all(r.n_links <= truth[r.vec_id] for r in found)
+    assert sum(r.n_links for r in found) >= 0.999 * sum(truth.values()) > 0.4 * 4500**2
+
+
+def test_passes_grow_with_the_table():
+    assert embedding_dedup.passes(10_000) == 16 < embedding_dedup.passes(10**6) < embedding_dedup.passes(10**8)
+
+
+def test_rows_that_repeat_an_id_with_other_vectors_keep_both(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0])]
+    found = embedding_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert [r.n_links for r in found] == [1] * 4
