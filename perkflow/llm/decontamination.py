@@ -9,12 +9,14 @@ edited they agree with probability 0.8^5, so 8 samples reach a recall of 0.96 in
 passage holds several windows.
 
 Windows of a document start at every `STRIDE`-th word. The items are indexed from every word offset
-up to `OFFSETS`, so some window starts exactly at an indexed word of the passage. Items shorter than
-`SHORT` words are searched with windows at every word and one coordinate, the first. Hits are
-verified by the exact word edit distance between the whole item and the document around the window,
+over their whole length, so some window starts exactly at an indexed word of the passage, wherever in
+the item its edits are. A window reaches over `LEVELS` words at most; a longer item has more of them. Items
+shorter than `SHORT` words are searched with windows at every word and one coordinate, the first: their
+first half has more words than may be edited. Hits whose starts differ by no more than the allowed edits
+are verified together, by the exact word edit distance between the whole item and the document around the windows,
 free at both ends.
 
-The documents are read once per block of `ITEMS` items and nothing is shuffled. Defined results: null
+The documents are read once per block of at most `ITEMS` items and, from the second item on, `WORDS` words, and nothing is shuffled. Defined results: null
 texts, texts and items without words match nothing; equal items each get their row; a document gets
 one row per item, for the first place found. Only doc_id, text and item_id, text are read.
 """
@@ -23,7 +25,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ from perkflow.llm.common import word_hashes
 SHARE = 0.2  # of the item's words that may be edited
 SAMPLE, SETS, WALKS = 6, 4, 2
 LEVELS = (1, 8, 16, 32)  # words that the sampled coordinates may reach over; 1 is for short items
-STRIDE, OFFSETS, SHORT = 4, 32, 12
-ITEMS = 2_000
+STRIDE, SHORT = 4, 12
+ITEMS, WORDS = 2_000, 100_000
 _FILTER_BITS = 20
 _CHUNK = 1 << 15
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -104,26 +105,30 @@ class Index:
 
 
 def build_index(items: list[tuple[int, np.ndarray]], stride: int) -> Index:
-    found: dict[tuple[int, int, int], list[tuple[int, int, int]]] = {}
+    found: dict[tuple[int, int, int], list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
     for n, (_, words) in enumerate(items):
-        offsets = np.arange(min(OFFSETS, max(stride, len(words) // 2), len(words)))
+        short = len(words) < SHORT
+        offsets = np.arange(min(max(stride, len(words) // 2), len(words)) if short else len(words))
         left = len(words) - offsets
         for walk in range(WALKS):
             padded = np.append(words, np.zeros(STEPS, np.uint64))
             for level, s, keys, reach in walk_keys(padded, offsets, walk, list(LEVELS)):
-                if len(words) < SHORT:
+                if short:
                     own = np.full(len(offsets), level == 1)
                 else:  # the largest level that the window fills
                     own = (left >= level) & ((left < 2 * level) | (level == LEVELS[-1])) & (level > 1)
-                for o in np.flatnonzero(own & (reach < len(words))):
-                    found.setdefault((walk, level, s), []).append((int(keys[o]), n, int(offsets[o])))
+                at = np.flatnonzero(own & (reach < len(words)))
+                if len(at):
+                    rows = keys[at], np.full(len(at), n, np.int32), offsets[at].astype(np.int32)
+                    found.setdefault((walk, level, s), []).append(rows)
     tables = {}
     for place, rows in found.items():
-        rows.sort()
-        keys = np.array([r[0] for r in rows], np.uint64)
+        keys, item, offset = (np.concatenate(part) for part in zip(*rows))
+        order = np.lexsort((offset, item, keys))
+        keys = keys[order]
         flags = np.zeros(1 << _FILTER_BITS, bool)
         flags[keys >> np.uint64(64 - _FILTER_BITS)] = True
-        tables[place] = flags, keys, np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+        tables[place] = flags, keys, item[order], offset[order]
     distinct = [frozenset(w.tolist()) for _, w in items]
     return Index([w for _, w in items], distinct, [i for i, _ in items], tables, stride)
 
@@ -178,13 +183,19 @@ def matches(docs: list[np.ndarray], index: Index) -> list[list[tuple[int, int, i
     out = []
     for words, tries in zip(docs, places(docs, index)):
         found: dict[int, tuple[int, int, int, int]] = {}
-        for n, start in tries:
-            if n in found:
-                continue
+        at = 0
+        while at < len(tries):
+            n, start = tries[at]
             item = index.items[n]
             most = int(SHARE * len(item))
+            last = start
+            while at < len(tries) and tries[at][0] == n and tries[at][1] - start <= most:
+                last = tries[at][1]
+                at += 1
+            if n in found:
+                continue
             low = max(0, start - most)
-            text = words[low : max(0, start + len(item)) + most]
+            text = words[low : max(0, last + len(item)) + most]
             # Distinct words of the item that do not occur here bound the edits from below.
             if len(index.words[n] - set(text.tolist())) > most:
                 continue
@@ -196,14 +207,21 @@ def matches(docs: list[np.ndarray], index: Index) -> list[list[tuple[int, int, i
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """Items with at least one word, at most ITEMS at a time on the driver, by length class."""
+    """Items with at least one word by length class, on the driver at most ITEMS of WORDS words at a time."""
     rows = benchmark.select(F.col("item_id").cast("long"), word_hashes(F.col("text")).alias("words"))
     rows = rows.filter(F.col("item_id").isNotNull() & (F.size("words") > 0))
     for short in (True, False):
         part = rows.filter((F.size("words") < SHORT) == F.lit(short)).orderBy("item_id")
-        stream = part.toLocalIterator()
-        while block := list(islice(stream, ITEMS)):
-            yield [(r.item_id, np.array(r.words, np.int64).view(np.uint64)) for r in block]
+        block, n_words = [], 0
+        for row in part.toLocalIterator():
+            words = np.array(row.words, np.int64).view(np.uint64)
+            if block and (len(block) >= ITEMS or n_words + len(words) > WORDS):
+                yield block
+                block, n_words = [], 0
+            block.append((row.item_id, words))
+            n_words += len(words)
+        if block:
+            yield block
 
 
 _LEAK = "struct<item_id:bigint,word_start:bigint,edits:int,n_words:int>"

@@ -96,3 +96,28 @@ def test_blocks_of_items(spark, make_docs, rng, monkeypatch):
     docs = make_docs([(i, t + " " + sentence(rng, 30), None) for i, t in items])
     found = decontamination.contamination(docs, bench(spark, items)).collect()
     assert {(i, i) for i, _ in items} <= {(r.doc_id, r.item_id) for r in found}
+
+
+@pytest.mark.parametrize("end", ["first", "last"])
+@pytest.mark.parametrize("size", [300, 700])
+def test_long_items_with_all_edits_gathered_at_one_end(rng, end, size):
+    def words(n):
+        return np.array([rng.getrandbits(62) for _ in range(n)], np.uint64)
+
+    items = [(i, words(size)) for i in range(30)]
+    most = size // 5
+    index = decontamination.build_index(items, decontamination.STRIDE)
+    docs = []
+    for _, item in items:
+        kept = item[most:] if end == "first" else item[:-most]
+        new = [words(most), kept] if end == "first" else [kept, words(most)]
+        docs += [np.concatenate([words(rng.randint(1, 50)), *new, words(20)]), np.concatenate([words(7), kept])]
+    found = decontamination.matches(docs, index)
+    assert [[row[0] for row in rows] for rows in found] == [[i // 2] for i in range(60)]
+
+
+def test_blocks_of_words(spark, rng, monkeypatch):
+    monkeypatch.setattr(decontamination, "WORDS", 50)
+    items = [(i, sentence(rng, n)) for i, n in enumerate([20, 20, 20, 300, 5, 20])]
+    blocks = list(decontamination.item_blocks(bench(spark, items)))
+    assert [[i for i, _ in block] for block in blocks] == [[4], [0, 1], [2], [3], [5]]
