@@ -7,6 +7,11 @@ mostly short, are ambiguous. Second pass: an ambiguous block takes the label of
 block in its own container (article, main or division), else of the nearest on the page; of two equally
 near it prefers the good one. Ambiguous blocks of an article without any decided block are its text.
 
+An element is boilerplate by its class or id if a whole name of them is a cue word, alone or with words
+that only say where or what kind (`site-footer`, not `has-sidebar`). Names are weaker than elements and
+roles: they do not reach into the outermost article or main, and an element with good blocks that
+holds more than half of the page's text is not dropped by its names unless an article or main has text.
+
 Defined results: null and empty pages and pages without text give an empty string; unclosed tags,
 comments and scripts end with the page. Only page_id, url and html are read.
 """
@@ -48,6 +53,12 @@ CUES = frozenset(
     "subscription signup login share sharing social related recommended recommendations widget toolbar "
     "pagination pager search skip".split()
 )
+# Words that a cue may stand with in one name.
+NEUTRAL = frozenset(
+    "site global main primary secondary tertiary top bottom left right header head foot box list bar item items "
+    "area section block slot unit zone post posts link links button buttons btn icon icons fixed sticky mobile "
+    "desktop text recent form google user the".split()
+)
 STOP_WORDS = frozenset(
     "the of and to in a is that it was for on are as with be at by this from or an have not but "
     "der die das und ist ein eine zu den von mit sich auf für im dem nicht des als auch es an "
@@ -72,39 +83,51 @@ class Block:
     text: str
     links: int  # characters inside links
     dropped: bool  # inside a boilerplate element
+    named: int  # number of the outermost element that is boilerplate by its names, or 0
     container: int  # number of the innermost container
     article: bool  # inside an article or main element
 
 
-def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
-    """Of an element by its name, role, visibility and the words of its class and id."""
+HARD, NAMED = 2, 1
+
+
+def is_cue(name: str, in_article: bool) -> bool:
+    """Of a whole class or id name: cue words with nothing but neutral words beside them."""
+    words = set(_PARTS.findall(name))
+    cues = words & CUES or (not in_article and words & {"header"})
+    return bool(cues) and words <= CUES | NEUTRAL
+
+
+def boilerplate(tag: str, attributes: str, in_article: bool) -> int:
+    """HARD by an element's name, role or visibility, NAMED by its class or id, else 0."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+        return HARD
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     if found.get("role", "").lower() in ROLES or found.get("aria-hidden", "").lower() == "true":
-        return True
+        return HARD
     if "display:none" in found.get("style", "").replace(" ", "").lower():
-        return True
-    words = set(_PARTS.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    return bool(words & CUES) or (not in_article and "header" in words)
+        return HARD
+    names = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
+    return NAMED if any(is_cue(name, in_article) for name in names) else 0
 
 
 def blocks(page: str) -> list[Block]:
     """Non-empty blocks in page order."""
     out: list[Block] = []
-    # Open elements that matter: name, whether boilerplate, container number, inside an article.
-    stack: list[tuple[str, bool, int, bool]] = []
+    # Open elements that matter: name, whether boilerplate, number of the one that is so by its names,
+    # container number, inside an article.
+    stack: list[tuple[str, bool, int, int, bool]] = []
     pieces: list[str] = []
-    linked, link, containers, at = 0, False, 0, 0
+    linked, link, containers, marked, at = 0, False, 0, 0, 0
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         if text:
-            _, dropped, container, article = stack[-1] if stack else ("", False, 0, False)
-            out.append(Block(text, linked, dropped, container, article))
+            _, dropped, named, container, article = stack[-1] if stack else ("", False, 0, 0, False)
+            out.append(Block(text, linked, dropped, named, container, article))
         pieces.clear()
         linked = 0
 
@@ -156,16 +179,20 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCKS:
             close()
             link = False
-        _, dropped, container, article = stack[-1] if stack else ("", False, 0, False)
-        bad = is_boilerplate(tag, match[3], article)
+        _, dropped, named, container, article = stack[-1] if stack else ("", False, 0, 0, False)
+        bad = boilerplate(tag, match[3], article)
         if bad or tag in CONTAINERS or tag == "header":
             if tag not in BLOCKS:
                 close()
             if tag in CONTAINERS:
                 containers += 1
                 container = containers
-            article = article or tag in ("article", "main")
-            stack.append((tag, dropped or bad, container, article))
+            if tag in ("article", "main") and not article:
+                article, named = True, 0
+            if bad == NAMED and not named:
+                marked += 1
+                named = marked
+            stack.append((tag, dropped or bad == HARD, named, container, article))
     close()
     return out
 
@@ -184,6 +211,26 @@ def label(block: Block) -> bool | None:
     return None
 
 
+def spare_main_part(found: list[Block]) -> None:
+    """Settle which blocks are dropped by the names of an element around them."""
+    # Text that is not bad for itself, per element, and what of it is good.
+    size: dict[int, int] = {}
+    good: set[int] = set()
+    for block in found:
+        own = label(block)
+        if own is False:
+            continue
+        if block.article and not block.named:
+            good = set()
+            break
+        size[block.named] = size.get(block.named, 0) + len(block.text)
+        if own:
+            good.add(block.named)
+    spared = {named for named in good if 2 * size[named] > sum(size.values())}
+    for block in found:
+        block.dropped = block.dropped or (block.named > 0 and block.named not in spared)
+
+
 def _nearest(at: int, decided: list[int], labels: list[bool | None]) -> bool:
     """Label of the closest decided block; of two equally close ones the good one counts."""
     k = bisect_left(decided, at)
@@ -195,6 +242,8 @@ def _nearest(at: int, decided: list[int], labels: list[bool | None]) -> bool:
 def main_text(page: str | None) -> str:
     """Second pass over all blocks, then the good ones joined by line feeds."""
     found = blocks(page or "")
+    if any(block.named for block in found):
+        spare_main_part(found)
     labels = [label(block) for block in found]
     everywhere = [i for i, own in enumerate(labels) if own is not None]
     own_container: dict[int, list[int]] = {}

@@ -67,3 +67,19 @@ def test_nulls_repeats_empty_tables_and_extra_columns(spark):
     assert found.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((r.n_chars, r.text) for r in found.collect()) == [(0, ""), (len(GOOD), GOOD), (len(GOOD), GOOD)]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "elementor-widget", "search-result-page", "widget"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_a_wrapper_with_a_cue_in_its_names_keeps_the_text(name, tag):
+    page = f"<div class='{name}'><div class='site-footer'><p>{GOOD}</p></div><{tag}><p>{GOOD}</p><p>{GOOD}</p></{tag}></div>"
+    kept = html_text.main_text(page)
+    assert kept.count(GOOD) >= 2 and kept.count("\n") <= 2
+    if name != "widget":
+        assert kept == f"{GOOD}\n{GOOD}"
+
+
+@pytest.mark.parametrize("name", ["ad", "top-ad", "ad-box", "sidebar-left", "site-footer", "comment-list", "main-menu"])
+def test_whole_names_of_boilerplate_are_dropped(name):
+    page = f"<div class='x {name}'><p>{GOOD}</p><p>{GOOD}</p></div><article><p>{GOOD} x</p></article>"
+    assert html_text.main_text(page) == f"{GOOD} x"
