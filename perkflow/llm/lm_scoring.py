@@ -4,13 +4,18 @@ A target model (documents of a wanted kind) and a background model (all document
 over one shared vocabulary with the same smoothing. A document's score is the mean over its words of
 the loss under the target model minus the loss under the background model: low means like the target.
 
-All documents are counted, in Spark, with partial counts before the shuffle. The vocabulary holds the
-words that make up at least `WORD_SHARE` of all words, others are one unknown word; bigrams below
-`PAIR_SHARE` of all bigrams count through their second word only. So a model has at most 1 / WORD_SHARE
-words and 1 / PAIR_SHARE bigrams by arithmetic, and scoring needs no shuffle.
+All documents are counted, in Spark, with partial counts before the shuffle. Every word and every bigram
+takes part; the counts are Spark tables that grow with the corpus. `WORD_SHARE` and `PAIR_SHARE` are for
+experiments with a cut: words below the share of all words are then one unknown word, which also opens a
+text, and bigrams below it count through their second word only.
+
+Documents are scored in blocks of `BLOCK_WORDS` words. A block asks for each of its different words and
+bigrams once, a join with the tables answers, and words, bigrams and documents of a block meet in one task.
+A task holds one block or one longer document, never a model.
 
 Loss: absolute discounting, P(w | v) = max(c(v w) - D, 0) / c(v) + left(v) * P(w), where left(v) is the
-mass that the kept bigrams of v leave, and P(w) adds one to every count. Each sums to one.
+mass that the bigrams of v leave, and P(w) adds one to every count. Each sums to one. A word that the models
+have not seen has count 0 and leaves all its mass.
 
 Defined results: a document without words has n_tokens 0 and null losses; without any target document
 the target model is the uniform one over the vocabulary. Only doc_id, text and the target ids are read.
@@ -20,104 +25,114 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perkflow.llm.common import slices, word_hashes
+from perkflow.llm.common import runs, slices, word_hashes
 from perkflow.sources.scratch import materialise
 
-WORD_SHARE = 2e-5
-PAIR_SHARE = 4e-6
+WORD_SHARE = 0.0
+PAIR_SHARE = 0.0
 DISCOUNT = 0.5
-_COUNTS = "code long, target long, background long"
+BLOCK_WORDS = 1 << 19
+START = 0  # stands before the first word of a text
+_PAIRS = "first long, second long, target long, background long"
 
 
 @dataclass(frozen=True)
-class Model:
-    """Losses of one corpus: of words, and of bigrams beyond the backed-off ones."""
-
-    word_loss: np.ndarray  # -log P(w)
-    left: np.ndarray  # -log of the mass left by the bigrams of v
-    pair_loss: np.ndarray  # -log P(w | v) of the kept bigrams
+class Totals:
+    words: tuple[int, int]  # of the target and of all documents
+    unknown: tuple[int, int]  # of them below the share
+    size: int  # different words, the unknown one among them
 
 
 @dataclass(frozen=True)
 class Scorer:
-    vocabulary: np.ndarray  # sorted word hashes; id = position + 1, 0 is the unknown word
-    pairs: np.ndarray  # sorted codes of the kept bigrams
-    target: Model
-    background: Model
+    words: DataFrame  # word, kept, and of target and background: count, opened, direct
+    pairs: DataFrame  # first, second, target, background
+    totals: Totals
+
+    @cached_property
+    def vocabulary(self) -> np.ndarray:
+        """Sorted word hashes, brought to the driver: for small models."""
+        rows = self.words.filter("kept").select("word").orderBy("word").toArrow()
+        return rows.column(0).to_numpy()
 
+    @cached_property
+    def tables(self) -> tuple[np.ndarray, ...]:
+        """Words, their values, pairs and their counts, brought to the driver: for small models."""
+        words = self.words.select("word", *_VALUES).toArrow()
+        pairs = self.pairs.toArrow()
+        columns = [c.to_numpy().astype(np.float64) for c in words.columns[1:]]
+        return (
+            words.column(0).to_numpy(), np.stack(columns, axis=1),
+            *(pairs.column(i).to_numpy() for i in range(2)),
+            np.stack([pairs.column(i).to_numpy() for i in (2, 3)], axis=1).astype(np.float64),
+        )
 
-def _word_ids(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    if not len(vocabulary):
-        return np.zeros(len(words), np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == words, at + 1, 0)
 
+_VALUES = ["target", "background", "opened_t", "opened_b", "direct_t", "direct_b"]
 
-def pair_codes(texts: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
-    """Codes of the bigrams of several texts; the first word of a text follows the unknown word 0."""
-    ids = _word_ids(np.concatenate(texts), vocabulary)
-    before = np.concatenate(([0], ids[:-1]))
-    size = np.array([len(t) for t in texts])
-    before[np.cumsum(size)[:-1]] = 0
-    return before * (len(vocabulary) + 1) + ids
 
+def pair_ids(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted different words and START, and for each word of the texts its number and the one before."""
+    known, ids = np.unique(np.concatenate([np.array([START], np.int64), *texts]), return_inverse=True)
+    start, ids = ids[0], ids[1:]
+    before = np.concatenate((ids[:1], ids[:-1]))
+    at = np.cumsum([0, *(len(t) for t in texts)])[:-1]
+    before[at[at < len(ids)]] = start
+    return known, before, ids
 
-def _counted(rows: DataFrame, vocabulary: np.ndarray | None) -> DataFrame:
-    """Counts of words, or with a vocabulary of bigrams, in the target and in all documents."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Counts of words (first is null) and bigrams, in the target and in all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
-            parts = []
-            for wanted in (True, False):
-                of = batch.filter(batch.column(0) if wanted else pa.compute.invert(batch.column(0)))
-                texts = [w.values.to_numpy(zero_copy_only=False) for w in of.column(1)]
-                texts = [t for t in texts if len(t)] or [np.zeros(0, np.int64)]
-                known = shared.value
-                codes = np.concatenate(texts) if known is None else pair_codes(texts, known)
-                parts.append(np.unique(codes, return_counts=True))
-            codes = np.concatenate([parts[0][0], parts[1][0]])
-            target = np.concatenate([parts[0][1], np.zeros(len(parts[1][0]), np.int64)])
-            total = np.concatenate([parts[0][1], parts[1][1]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes), pa.array(target), pa.array(total)],
-                names=["code", "target", "background"],
-            )
-
-    counted = rows.mapInArrow(run, _COUNTS)
-    return counted.groupBy("code").agg(
+            wanted = batch.column(0).to_numpy(zero_copy_only=False)
+            texts = [w.values.to_numpy(zero_copy_only=False) for w in batch.column(1)]
+            of = np.repeat(wanted, [len(t) for t in texts])
+            full = [t for t in texts if len(t)]
+            if not full:
+                continue
+            known, before, ids = pair_ids(full)
+            codes, at = np.unique(before * len(known) + ids, return_inverse=True)
+            for first, second, number, n in (
+                (pa.array(known[codes // len(known)]), known[codes % len(known)], at, len(codes)),
+                (pa.nulls(len(known), pa.int64()), known, ids, len(known)),
+            ):
+                target, total = np.bincount(number[of], minlength=n), np.bincount(number, minlength=n)
+                yield pa.RecordBatch.from_arrays(
+                    [first, pa.array(second), pa.array(target), pa.array(total)],
+                    names=["first", "second", "target", "background"],
+                ).filter(pa.array(total > 0))
+
+    counted = rows.mapInArrow(run, _PAIRS)
+    return counted.groupBy("first", "second").agg(
         F.sum("target").alias("target"), F.sum("background").alias("background")
     )
 
 
-def _kept(counts: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[int, int]]:
-    """Codes at or above the share with their counts, sorted, and the totals of all codes."""
-    counts = materialise(counts, "counts")
-    row = counts.agg(F.sum("target"), F.sum("background")).first()
-    totals = int(row[0] or 0), int(row[1] or 0)
-    table = counts.filter(F.col("background") >= share * totals[1]).orderBy("code").toArrow()
-    return *(table.column(i).to_numpy() for i in range(3)), totals
-
-
-def _model(words: np.ndarray, total: int, pairs: np.ndarray, counts: np.ndarray) -> Model:
-    size = len(words) + 1
-    unigram = np.concatenate(([total - words.sum()], words)).astype(np.float64)
-    word_loss = -np.log((unigram + 1) / (total + size))
-    first, second = pairs // size, pairs % size
-    # A word opens as many bigrams as it occurs, the unknown word also those at the start of a text;
-    # what the counts of kept bigrams exceed this by is taken as its number of bigrams.
-    opened = np.maximum(unigram, np.bincount(first, counts, size))
-    direct = np.maximum(counts - DISCOUNT, 0) / np.maximum(opened[first], 1)
-    left = np.maximum(1 - np.bincount(first, direct, size), 1e-9)
-    pair = direct + left[first] * np.exp(-word_loss[second])
-    return Model(word_loss, -np.log(left), -np.log(pair))
+def _with_cut(words: DataFrame, pairs: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of mapped words at or above the share, and per raw pair the counts of its mapped pair."""
+    known = words.filter("kept")
+    first = known.select(F.col("word").alias("first"), F.col("word").alias("f"))
+    second = known.select(F.col("word").alias("second"), F.col("word").alias("s"))
+    raw = pairs.join(first, "first", "left").join(second, "second", "left").fillna(START, ["f", "s"])
+    mapped = raw.groupBy("f", "s").agg(
+        F.sum("target").alias("target"), F.sum("background").alias("background")
+    )
+    mapped = materialise(mapped.filter(F.col("background") >= PAIR_SHARE * total), "pairs")
+    return (
+        mapped.withColumnsRenamed({"f": "first", "s": "second"}),
+        raw.select("first", "second", "f", "s").join(mapped, ["f", "s"]).drop("f", "s"),
+    )
 
 
 def train(documents: DataFrame, target_ids: DataFrame) -> Scorer:
@@ -129,52 +144,160 @@ def train(documents: DataFrame, target_ids: DataFrame) -> Scorer:
     rows = marked.select(
         F.coalesce("_wanted", F.lit(False)).alias("wanted"), word_hashes(F.col("text")).alias("words")
     )
-    words, in_target, in_all, totals = _kept(_counted(rows, None), WORD_SHARE)
-    pairs, pair_target, pair_all, _ = _kept(_counted(rows, words), PAIR_SHARE)
-    return Scorer(
-        words, pairs,
-        _model(in_target, totals[0], pairs, pair_target),
-        _model(in_all, totals[1], pairs, pair_all),
+    counts = materialise(_counted(rows), "counts")
+    words = counts.filter(F.col("first").isNull()).select(F.col("second").alias("word"), "target", "background")
+    row = words.agg(F.sum("target"), F.sum("background")).first()
+    totals = int(row[0] or 0), int(row[1] or 0)
+    words = words.withColumn("kept", F.col("background") >= WORD_SHARE * totals[1])
+    row = words.filter("kept").agg(F.sum("target"), F.sum("background"), F.count(F.lit(1))).first()
+    unknown = totals[0] - int(row[0] or 0), totals[1] - int(row[1] or 0)
+    pairs = counts.filter(F.col("first").isNotNull())
+    own = pairs
+    if WORD_SHARE or PAIR_SHARE:
+        own, pairs = _with_cut(words, pairs, totals[1])
+
+    def direct(count: str) -> Column:
+        return F.sum(F.greatest(F.col(count) - DISCOUNT, F.lit(0.0)))
+
+    opened = own.groupBy("first").agg(
+        F.sum("target").alias("opened_t"), F.sum("background").alias("opened_b"),
+        direct("target").alias("direct_t"), direct("background").alias("direct_b"),
     )
-
-
-def losses(texts: list[np.ndarray], scorer: Scorer) -> list[tuple[float, float]]:
-    """Mean loss per word of each non-empty text under both models."""
-    codes = pair_codes(texts, scorer.vocabulary)
-    size = len(scorer.vocabulary) + 1
-    first, second = codes // size, codes % size
-    at = np.minimum(np.searchsorted(scorer.pairs, codes), max(0, len(scorer.pairs) - 1))
-    known = scorer.pairs[at] == codes if len(scorer.pairs) else np.zeros(len(codes), bool)
+    spark = documents.sparkSession
+    start = spark.createDataFrame([(START, *unknown, False)], "word long, target long, background long, kept boolean")
+    # A word below the share is the unknown one.
+    stands = F.when(F.col("kept"), F.col("word")).otherwise(F.lit(START))
+    every = words.unionByName(start).withColumn("first", stands)
+    every = every.withColumns({
+        "target": F.when(F.col("kept"), F.col("target")).otherwise(unknown[0]),
+        "background": F.when(F.col("kept"), F.col("background")).otherwise(unknown[1]),
+    })
+    table = every.join(opened, "first", "left").fillna(0, ["opened_t", "opened_b", "direct_t", "direct_b"])
+    table = materialise(table.select("word", "kept", *_VALUES), "words")
+    return Scorer(table, pairs, Totals(totals, unknown, int(row[2]) + 1))
+
+
+def mean_losses(
+    texts: list[np.ndarray], words: np.ndarray, values: np.ndarray,
+    first: np.ndarray, second: np.ndarray, counts: np.ndarray, totals: Totals,
+) -> list[tuple[float, float]]:
+    """Mean loss per word of each non-empty text under both models, from rows of the two tables.
+
+    The rows may hold more than the words and bigrams of the texts, and the same row again.
+    """
+    known, before, ids = pair_ids(texts)
+    size = len(known)
+
+    def found(codes: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(among, codes), len(among) - 1)
+        return at, among[at] == codes
+
+    at, here = found(words, known)
+    own = np.zeros((size, 6))
+    own[:, :2] = totals.unknown
+    own[at[here]] = values[here]
+    (a, in_a), (b, in_b) = found(first, known), found(second, known)
+    here = in_a & in_b
+    codes, row = np.unique(before * size + ids, return_inverse=True)
+    at, hit = found(a[here] * size + b[here], codes)
+    count = np.zeros((len(codes), 2))
+    count[at[hit]] = counts[here][hit]
     starts = np.cumsum([0, *(len(t) for t in texts)])[:-1]
+    v, w = codes // size, codes % size
     means = []
-    for model in (scorer.target, scorer.background):
-        loss = model.left[first] + model.word_loss[second]
-        loss[known] = model.pair_loss[at[known]]
-        means.append(np.add.reduceat(loss, starts) / [len(t) for t in texts])
+    for i in range(2):
+        share = (own[:, i] + 1) / (totals.words[i] + totals.size)
+        opened = np.maximum(np.maximum(own[:, i], own[:, 2 + i]), 1)
+        left = np.maximum(1 - own[:, 4 + i] / opened, 1e-9)
+        chance = np.maximum(count[:, i] - DISCOUNT, 0) / opened[v] + left[v] * share[w]
+        means.append(np.add.reduceat(-np.log(chance)[row], starts) / [len(t) for t in texts])
     return list(zip(*means))
 
 
+def losses(texts: list[np.ndarray], scorer: Scorer) -> list[tuple[float, float]]:
+    """Mean loss per word of each non-empty text under both models, on the driver: for small models."""
+    return mean_losses(texts, *scorer.tables, scorer.totals)
+
+
+def _blocks(documents: DataFrame) -> DataFrame:
+    """block, doc_id and words, in blocks of BLOCK_WORDS words or one longer document."""
+    kind = documents.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, filled = TaskContext.get().partitionId() << 32, 0
+        for batch in slices(batches, 1024):
+            numbers = []
+            for n in pa.compute.list_value_length(batch.column(1)).to_pylist():
+                if filled and filled + n > BLOCK_WORDS:
+                    block, filled = block + 1, 0
+                filled += n + 1
+                numbers.append(block)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers, pa.int64()), *batch.columns], names=["block", "doc_id", "words"]
+            )
+
+    rows = documents.select("doc_id", word_hashes(F.col("text")).alias("words"))
+    return rows.mapInArrow(run, f"block long, doc_id {kind}, words array<long>")
+
+
+def _asked(blocks: DataFrame) -> DataFrame:
+    """The different words (first is null) and bigrams of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in runs(batches, 1):
+            texts = [w.values.to_numpy(zero_copy_only=False) for w in group.column(1)]
+            known, before, ids = pair_ids([t for t in texts if len(t)])
+            codes = np.unique(before * len(known) + ids)
+            for first, second in (
+                (pa.nulls(len(known), pa.int64()), known),
+                (pa.array(known[codes // len(known)]), known[codes % len(known)]),
+            ):
+                block = np.full(len(second), group.column(0)[0].as_py())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block), first, pa.array(second)], names=["block", "first", "second"]
+                )
+
+    return blocks.select("block", "words").mapInArrow(run, "block long, first long, second long")
+
+
 def score(documents: DataFrame, scorer: Scorer) -> DataFrame:
     """doc_id, n_tokens, loss_target, loss_background and ce_diff of every whole document."""
-    shared = documents.sparkSession.sparkContext.broadcast(scorer)
-    kind = "struct<n_tokens:bigint,loss_target:double,loss_background:double>"
-
-    @F.arrow_udf(kind)
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for docs in batches:
-            size, target, background = [], [], []
-            for low in range(0, len(docs), 256):
-                texts = [w.values.to_numpy(zero_copy_only=False) for w in docs.slice(low, 256)]
-                full = [t for t in texts if len(t)]
-                found = iter(losses(full, shared.value) if full else [])
-                for text in texts:
-                    a, b = next(found) if len(text) else (None, None)
-                    size.append(len(text)), target.append(a), background.append(b)
-            yield pa.StructArray.from_arrays(
-                [pa.array(size, pa.int64()), pa.array(target, pa.float64()), pa.array(background, pa.float64())],
-                names=["n_tokens", "loss_target", "loss_background"],
+    totals = scorer.totals
+    blocks = materialise(_blocks(documents), "blocks")
+    asked = _asked(blocks)
+    none = {name: F.lit(None).cast("double") for name in _VALUES[2:]}
+    words = asked.filter(F.col("first").isNull()).select("block", F.col("second").alias("word"))
+    words = words.join(scorer.words, "word").select(
+        "block", F.lit(None).cast("long").alias("first"), F.col("word").alias("second"),
+        *[F.col(name).cast("double") for name in _VALUES],
+    )
+    pairs = asked.filter(F.col("first").isNotNull()).join(scorer.pairs, ["first", "second"])
+    pairs = pairs.withColumns(none | {name: F.col(name).cast("double") for name in _VALUES[:2]})
+    answers = words.unionByName(pairs.select("block", "first", "second", *_VALUES))
+
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        texts = [w.values.to_numpy(zero_copy_only=False) for w in docs.column("words").combine_chunks()]
+        full = [t for t in texts if len(t)]
+        found = iter(())
+        if full:
+            is_word = pa.compute.is_null(known.column("first"))
+            of_words, of_pairs = known.filter(is_word), known.filter(pa.compute.invert(is_word))
+            values, counts = (
+                np.stack([part.column(c).to_numpy() for c in names], axis=1)
+                for part, names in ((of_words, _VALUES), (of_pairs, _VALUES[:2]))
             )
-
-    found = documents.select("doc_id", run(word_hashes(F.col("text"))).alias("found"))
-    out = found.select("doc_id", "found.*")
+            first, second = (of_pairs.column(c).to_numpy() for c in ("first", "second"))
+            found = iter(
+                mean_losses(full, of_words.column("second").to_numpy(), values, first, second, counts, totals)
+            )
+        target, background = zip(*(next(found) if len(t) else (None, None) for t in texts))
+        columns = [
+            docs.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()),
+            pa.array(target, pa.float64()), pa.array(background, pa.float64()),
+        ]
+        return pa.Table.from_arrays(columns, names=["doc_id", "n_tokens", "loss_target", "loss_background"])
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_tokens long, loss_target double, loss_background double"
+    out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
     return out.withColumn("ce_diff", F.col("loss_target") - F.col("loss_background"))

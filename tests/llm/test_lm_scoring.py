@@ -99,3 +99,18 @@ def test_nulls_repeats_long_texts_empty_tables_and_extra_columns(spark, make_doc
     assert lm_scoring.score(empty, lm_scoring.train(empty, nobody)).count() == 0
     repeated = docs.select("doc_id").union(docs.select("doc_id"))
     assert lm_scoring.score(docs, lm_scoring.train(docs, repeated)).count() == 6
+
+
+def test_rare_words_and_bigrams_take_part_at_every_size(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", 3_000)
+    common = [(i, "a b c d " * 500, None) for i in range(100, 160)]
+    docs = [(1, "rare topic here", None), (2, "other topic there", None), *common]
+    frame = make_docs(docs)
+    found = lm_scoring.score(frame, lm_scoring.train(frame, frame.filter("doc_id = 1").select("doc_id"))).collect()
+    wanted = brute([d[:2] for d in docs], [1])
+    assert lm_scoring.WORD_SHARE == lm_scoring.PAIR_SHARE == 0 and len(found) == len(docs)
+    for row in found:
+        assert (row.loss_target, row.loss_background) == pytest.approx(wanted[row.doc_id], abs=1e-9)
+    losses = {r.doc_id: r.loss_background for r in found}
+    assert len({round(losses[i], 9) for i in (1, 2)}) == 1 and losses[1] < 12
+    assert {r.doc_id for r in found if r.ce_diff == min(x.ce_diff for x in found)} == {1}
