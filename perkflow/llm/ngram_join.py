@@ -270,10 +270,10 @@ def verified_links(documents: DataFrame, reps: DataFrame, groups: DataFrame) ->
     """rep, links (rows with another text at the threshold) and near (smallest linked text in a task)."""
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
     members = in_blocks(groups.join(sizes, "group"), ["group"], F.col("n"), "rep")
-    members = members.join(reps.select("rep", "copies", "sig", "text_key"), "rep")
-    texts = documents.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    rows = members.join(texts, "rep").select(
-        "group", "low", "high", "rep", "block", "copies", "sig", "text"
+    members = members.join(reps.select("rep", "first_id", "copies", "sig", "text_key"), "rep")
+    texts = documents.select(F.col("doc_id").cast("long").alias("first_id"), "text")
+    rows = members.join(texts, "first_id").select(
+        "group", "low", "high", "rep", "block", "copies", "sig", "text", "text_key"
     )
     keys = ["group", "low", "high"]
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "rep")
@@ -281,6 +281,12 @@ def verified_links(documents: DataFrame, reps: DataFrame, groups: DataFrame) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, 3):
+            # Rows that repeat an id may hold other texts.
+            own = [
+                hashlib.md5(w.values.to_numpy(zero_copy_only=False).tobytes()).digest() == key.as_py()
+                for w, key in zip(group.column(7), group.column(8))
+            ]
+            group = group.filter(pa.array(own, pa.bool_()))
             ids, first = np.unique(_numbers(group.column(3)), return_index=True)
             group = group.take(pa.array(first))
             if len(ids) < 2:
@@ -306,21 +312,27 @@ def similarity_join(documents: DataFrame) -> DataFrame:
     rows = materialise(signatures(documents), "signatures")
     worded = rows.filter(F.col("text_key").isNotNull())
     keyed = worded.groupBy("text_key").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")
+        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
     )
-    own = worded.select("text_key", F.col("doc_id").alias("rep"), "sig", "bands")
-    reps = keyed.join(own, ["text_key", "rep"]).dropDuplicates(["rep"])
-    reps = materialise(reps, "texts")
+    own = worded.select("text_key", F.col("doc_id").alias("first_id"), "sig", "bands")
+    # Texts go by a number of their own; ids only name the classes.
+    reps = keyed.join(own, ["text_key", "first_id"]).dropDuplicates(["text_key"])
+    reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "texts")
     links = materialise(verified_links(documents, reps, candidate_groups(reps)), "links")
     total = links.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = components(links.filter("near <> rep").select(F.col("rep").alias("a"), F.col("near").alias("b")))
+    classes = classes.withColumnRenamed("id", "rep")
+    names = classes.join(reps.select("rep", "first_id"), "rep").groupBy("component_id").agg(
+        F.min("first_id").alias("name")
+    )
     known = (
-        reps.select("text_key", "rep", "copies")
+        reps.select("text_key", "rep", "first_id", "copies")
         .join(total, "rep", "left")
-        .join(classes.withColumnRenamed("id", "rep"), "rep", "left")
+        .join(classes, "rep", "left")
+        .join(names, "component_id", "left")
         .select(
             "text_key",
-            F.coalesce("component_id", "rep").alias("class_id"),
+            F.coalesce("name", "first_id").alias("class_id"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )

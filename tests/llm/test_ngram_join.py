@@ -89,3 +89,10 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 30)] + [(50, i) for i in range(51, 90)] + [(7, 3), (7, 7)]
     found = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.id: r.component_id for r in found} == {i: 1 for i in range(1, 31)} | {i: 50 for i in range(50, 90)}
+
+
+def test_rows_that_repeat_an_id_with_other_texts_all_link(make_docs, rng):
+    one, two = sentence(rng, 100), sentence(rng, 100)
+    rows = [(1, one), (1, two), (2, one), (3, two), (4, edited(rng, one, 2)), (5, edited(rng, two, 2))]
+    found = ngram_join.similarity_join(make_docs([(i, t, None) for i, t in rows])).collect()
+    assert sorted(map(tuple, found)) == brute(rows) and {r.n_links for r in found} == {2}
