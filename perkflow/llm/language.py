@@ -5,6 +5,9 @@ Blended-spectrum presence kernel: two texts are as alike as the number of charac
 landmarks turn it into a short vector, one-versus-rest kernel ridge regression reads that vector, and
 batches of texts are scored by two matrix products.
 
+Grams are made of the real letters of any script, all other characters being one blank, and are hashed
+into `_SPACE` features; grams that fall together count as one.
+
 Defined results: a text that is null or has no letter is `und` with score 0, and so is every text
 when there is no labelled row to learn from.
 """
@@ -24,52 +27,45 @@ from pyspark.sql.window import Window
 from perkflow.llm.common import bucket_of
 
 UNKNOWN = "und"
-LETTERS = 62  # ids 1..62; 0 is any other character, 63 any other letter
-_SIZES = (64, 64**2, 64**3)
-_SPACE = sum(_SIZES)
+_BITS = 20
+_SPACE = 1 << _BITS
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
-    letter_ids: np.ndarray  # code point -> letter id
-    features: np.ndarray  # n-gram codes that occur in a landmark
+    letter_ids: np.ndarray  # code point -> itself for letters, else 0
+    features: np.ndarray  # hashed n-grams that occur in a landmark
     landmarks: np.ndarray  # landmark x feature, presence over the root of the landmark's n-grams
     weights: np.ndarray  # landmark x language
 
 
-def letter_table(texts: list[str]) -> np.ndarray:
-    """Ids of the commonest letters of the sample; other letters share one id."""
-    table = np.zeros(0x110000, np.uint8)
-    table[[i for i in range(0x110000) if chr(i).isalpha()]] = 63
-    counts: Counter[str] = Counter()
-    for text in texts:
-        counts.update(text.lower())
-    common = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if c.isalpha()]
-    for i, letter in enumerate(common[:LETTERS], 1):
-        table[ord(letter)] = i
-    return table
+def letter_table() -> np.ndarray:
+    """Code points of letters, 0 for all other characters."""
+    return np.array([i if chr(i).isalpha() else 0 for i in range(0x110000)], np.int32)
 
 
 def presence(text: str, table: np.ndarray) -> np.ndarray:
-    """One flag per possible 1-, 2- and 3-gram of letter ids."""
+    """One flag per feature that a 1-, 2- or 3-gram of letters falls on."""
     flags = np.zeros(_SPACE, np.uint8)
     points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    ids = table[points].astype(np.int32)
-    if len(ids):
-        flags[ids] = 1
-        two = ids[:-1] * 64 + ids[1:]
-        flags[_SIZES[0] + two] = 1
-        flags[_SIZES[0] + _SIZES[1] + two[:-1] * 64 + ids[2:]] = 1
-    # Grams of blanks only say nothing about a language.
-    flags[[0, _SIZES[0], _SIZES[0] + _SIZES[1]]] = 0
+    ids = table[points].astype(np.uint64)
+    codes = ids
+    for n in range(1, 4):
+        # Grams of blanks only say nothing about a language.
+        kept = codes[codes > 0] + np.uint64(n << 62 & (1 << 64) - 1)
+        kept = (kept ^ (kept >> np.uint64(31))) * _MIX
+        flags[((kept ^ (kept >> np.uint64(29))) * _MIX) >> np.uint64(64 - _BITS)] = 1
+        if n < 3:
+            codes = (codes[:-1] << np.uint64(21)) + ids[n:]
     return flags
 
 
 def fit(texts: list[str], langs: list[str], landmarks: int = 48, ridge: float = 1e-3) -> Model:
     """`landmarks` texts per language; the texts come in an order that does not depend on language."""
     names = sorted(set(langs))
-    table = letter_table(texts)
+    table = letter_table()
     # The grams of a text take little room as numbers; flags for all texts at once would not.
     grams = [np.flatnonzero(presence(text, table)).astype(np.int32) for text in texts]
     usable = [i for i, found in enumerate(grams) if len(found)]

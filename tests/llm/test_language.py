@@ -56,3 +56,18 @@ def test_labels_of_the_held_out_fold_teach_nothing(make_docs):
     held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2]
     docs = make_docs([(i, "abc def", "xx") for i in held] + [(i, "ghi jkl", "yy") for i in range(400) if i not in held])
     assert language.train(docs).languages == ["yy"]
+
+
+def test_languages_with_many_letters_are_told_apart():
+    # Two languages with the same number of letters, none of which is among the commonest of the sample.
+    scripts = {"p": range(0x4E00, 0x4E00 + 400), "q": range(0x5E00, 0x5E00 + 400)}
+    fixed = "".join(chr(0x0430 + i) * 40 for i in range(31)) + "".join(chr(0x0561 + i) * 40 for i in range(31))
+
+    def text(lang, seed):
+        letters = scripts[lang]
+        return fixed + " " + "".join(chr(letters[(seed * 7 + i * 11) % 400]) for i in range(120))
+
+    texts = [(text(lang, seed), lang) for seed in range(20) for lang in "pq"]
+    model = language.fit([t for t, _ in texts], [lang for _, lang in texts], landmarks=5)
+    held = [(text(lang, seed), lang) for seed in range(100, 120) for lang in "pq"]
+    assert language.predict(model, [t for t, _ in held])[0] == [lang for _, lang in held]
