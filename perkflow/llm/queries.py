@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from perkflow.llm import (
     bpe,
+    centroid_clusters,
     decontamination,
     embedding_dedup,
     html_text,
@@ -17,10 +18,13 @@ from perkflow.llm import (
     license_scan,
     lm_scoring,
     ngram_join,
+    prefix_trie,
     toxicity,
+    vector_topk,
     warc,
 )
 from perkflow.llm.common import bucket_of, read_table
+from perkflow.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
@@ -79,6 +83,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = prefix_trie.rebuilt_turns(read_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(rebuilt).select(prefix_trie.COLUMNS)
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centroids = centroid_clusters.cluster(read_table(spark, sf_dir, "embeddings"))
+    return centroid_clusters.with_totals(spark, found, centroids)
+
+
+def op13_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_topk.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_ngram_join": op2_ngram_join,
@@ -90,6 +108,9 @@ QUERIES: dict[str, Query] = {
     "op8_bpe": op8_bpe,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_vector_topk": op13_vector_topk,
 }
-#: None of these can be stated in SQL; tests compare them with brute force or held-out labels.
-SQL: dict[str, str] = {}
+
+__all__ = ["QUERIES", "RANKS", "SQL"]

@@ -87,7 +87,7 @@ def test_empty_tables(spark, make_docs, tmp_path):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "language", "near_duplicates", "decontamination", "bpe"]
 
 
