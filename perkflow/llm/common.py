@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import pickle
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from perkflow.sources.scratch import materialise
 
@@ -71,6 +74,36 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
+def bounded_texts(
+    rows: DataFrame, chosen: DataFrame, keys: list[str], most_rows: int, most_bytes: int
+) -> DataFrame:
+    """`chosen` (few rows: keys and marks) with the `text` of the rows of the same keys, doc_id among them.
+
+    A key may be repeated and a text long, so rows are bounded as well: each text of a key counts once,
+    and texts are taken by the hash of their id until there are `most_rows` of them or the next one would
+    exceed `most_bytes`. Which they are is decided on digests and lengths; only the texts taken move.
+    """
+    texts = rows.select(*keys, "text").filter(F.col("text").isNotNull())
+    digest = texts.select(*keys, F.md5("text").alias("_md5"), F.octet_length("text").alias("_bytes"))
+    rank = [F.xxhash64(F.col("doc_id").cast("string")), *chosen.columns, "_md5"]
+    few = digest.join(F.broadcast(chosen), keys).distinct().orderBy(*rank).limit(most_rows)
+    so_far = F.sum("_bytes").over(Window.orderBy(*rank).rowsBetween(Window.unboundedPreceding, 0))
+    few = few.withColumn("_so_far", so_far).filter(F.col("_so_far") <= most_bytes).drop("_bytes", "_so_far")
+    found = texts.join(F.broadcast(few), keys).filter(F.md5("text") == F.col("_md5"))
+    return found.drop("_md5").distinct()
+
+
+def learned(sample: DataFrame, fit: Callable[[list[dict]], Any]) -> Any:
+    """What `fit` makes of the rows of a bounded sample. One task does it; the driver gets the result only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in batch.to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["model"])
+
+    made = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0].model) if made else fit([])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component_id): the smallest id reachable, for every id on an edge of `edges` (a, b).
 
@@ -81,12 +114,9 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = materialise(both, "edges")
     first = both.groupBy("a").agg(F.min("b").alias("label"))
-    labels = materialise(
-        first.select(F.col("a").alias("id"), F.least("a", "label").alias("label")), "labels"
-    )
+    labels, total = _summed(first.select(F.col("a").alias("id"), F.least("a", "label").alias("label")))
     before = None
     while True:
-        total = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
         if total is None or total == before:
             return labels.withColumnRenamed("label", "component_id")
         before = total
@@ -98,4 +128,11 @@ def components(edges: DataFrame) -> DataFrame:
         stepped = materialise(stepped, "labels")
         roots = stepped.select(F.col("id").alias("label"), F.col("label").alias("root"))
         jumped = stepped.join(roots, "label", "left")
-        labels = materialise(jumped.select("id", F.least("label", "root").alias("label")), "labels")
+        labels, total = _summed(jumped.select("id", F.least("label", "root").alias("label")))
+
+
+def _summed(labels: DataFrame) -> tuple[DataFrame, Any]:
+    """The stored labels and their sum, which the writing job observes."""
+    seen = Observation()
+    total = F.sum(F.col("label").cast("decimal(38,0)")).alias("total")
+    return materialise(labels.observe(seen, total), "labels"), seen.get["total"]

@@ -18,8 +18,8 @@ Equal vectors are one vector: they are linked with each other and share their li
 vector costs one row.
 
 Defined results: vectors that are null, empty or zero or hold null or non-finite components link with
-nothing; vectors of different lengths do not link. Rows that repeat an id count as rows. Null ids name
-no component. Only vec_id and embedding are read.
+nothing; vectors of different lengths do not link. Rows that repeat an id count as rows, and so do rows
+without id; those name no component and are not kept. Only vec_id and embedding are read.
 """
 
 from __future__ import annotations
@@ -265,15 +265,19 @@ def exact_links(reps: DataFrame, groups: DataFrame) -> DataFrame:
 def near_duplicates(vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row."""
     rows = materialise(usable(vectors), "vectors")
-    good = rows.filter(F.col("vec_key").isNotNull() & F.col("vec_id").isNotNull())
+    good = rows.filter(F.col("vec_key").isNotNull())
     # Vectors go by a number of their own, because rows that repeat an id may hold different vectors.
     keyed = good.groupBy("vec_key").agg(
         F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec")
     )
     reps = materialise(keyed.withColumn("rep", F.monotonically_increasing_id()), "distinct_vectors")
     found = materialise(components(connecting_pairs(reps)).withColumnRenamed("id", "rep"), "groups")
-    names = found.join(reps.select("rep", "first_id"), "rep").groupBy("component_id").agg(
-        F.min("first_id").alias("name")
+    # The names are stored, so that a component with very many vectors meets a side of known size.
+    names = materialise(
+        found.join(reps.select("rep", "first_id"), "rep").groupBy("component_id").agg(
+            F.min("first_id").alias("name")
+        ),
+        "names",
     )
     known = (
         reps.select("vec_key", "rep", "first_id", "copies")

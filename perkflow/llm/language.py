@@ -14,6 +14,7 @@ when there is no labelled row to learn from.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -24,12 +25,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from perkflow.llm.common import bucket_of
+from perkflow.llm.common import bounded_texts, bucket_of, learned
 
 UNKNOWN = "und"
 _BITS = 20
 _SPACE = 1 << _BITS
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_PIECE = 1 << 20  # characters
 
 
 @dataclass(frozen=True)
@@ -47,18 +49,21 @@ def letter_table() -> np.ndarray:
 
 
 def presence(text: str, table: np.ndarray) -> np.ndarray:
-    """One flag per feature that a 1-, 2- or 3-gram of letters falls on."""
+    """One flag per feature that a 1-, 2- or 3-gram of letters falls on. Long texts go piece by piece."""
     flags = np.zeros(_SPACE, np.uint8)
-    points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    ids = table[points].astype(np.uint64)
-    codes = ids
-    for n in range(1, 4):
-        # Grams of blanks only say nothing about a language.
-        kept = codes[codes > 0] + np.uint64(n << 62 & (1 << 64) - 1)
-        kept = (kept ^ (kept >> np.uint64(31))) * _MIX
-        flags[((kept ^ (kept >> np.uint64(29))) * _MIX) >> np.uint64(64 - _BITS)] = 1
-        if n < 3:
-            codes = (codes[:-1] << np.uint64(21)) + ids[n:]
+    text = text.lower()
+    for at in range(0, len(text), _PIECE):
+        # Two characters of the piece before complete the grams across the cut; they may set flags again.
+        points = np.frombuffer(text[max(0, at - 2) : at + _PIECE].encode("utf-32-le", "replace"), np.uint32)
+        ids = table[points].astype(np.uint64)
+        codes = ids
+        for n in range(1, 4):
+            # Grams of blanks only say nothing about a language.
+            kept = codes[codes > 0] + np.uint64(n << 62 & (1 << 64) - 1)
+            kept = (kept ^ (kept >> np.uint64(31))) * _MIX
+            flags[((kept ^ (kept >> np.uint64(29))) * _MIX) >> np.uint64(64 - _BITS)] = 1
+            if n < 3:
+                codes = (codes[:-1] << np.uint64(21)) + ids[n:]
     return flags
 
 
@@ -121,25 +126,33 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[floa
     return langs, [float(t) if k else 0.0 for t, k in zip(top, known)]
 
 
-def train(documents: DataFrame, per_language: int = 300) -> Model:
-    """Fit on rows outside the held-out fold that name a language.
+def training_rows(documents: DataFrame, per_language: int = 300, most_bytes: int = 64 << 20) -> DataFrame:
+    """doc_id, lang and text of the rows that teach, outside the held-out fold.
 
-    The sample is bounded: per language the `per_language` rows with the smallest hash of their id.
-    Ids are chosen first, so only the chosen texts move.
+    The sample is bounded: per language the `per_language` rows with the smallest hash of their id, and
+    `most_bytes` of text in all. Ids are chosen first, so only the chosen texts move.
     """
     rows = documents.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.filter(F.col("doc_id").isNotNull() & (bucket_of(F.col("doc_id"), 4) != 2))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = rows.select("doc_id", "lang").withColumn("_n", F.row_number().over(order))
-    ids = ids.filter(F.col("_n") <= per_language).select("doc_id").distinct()
-    sample = rows.select("doc_id", "text", "lang").join(F.broadcast(ids), "doc_id").collect()
-    sample.sort(key=lambda r: (hash_order(r.doc_id), r.lang, r.text))
-    return fit([r.text for r in sample], [r.lang for r in sample])
+    ids = ids.filter(F.col("_n") <= per_language).select("doc_id", "lang").distinct()
+    return bounded_texts(rows, ids, ["doc_id", "lang"], 100 * per_language, most_bytes)
+
+
+def _fit_rows(rows: list[dict]) -> Model:
+    rows.sort(key=lambda r: (hash_order(r["doc_id"]), r["lang"], r["text"]))
+    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
+
+
+def train(documents: DataFrame, per_language: int = 300) -> Model:
+    """Fit on the bounded sample of rows that name a language, in one task."""
+    return learned(training_rows(documents, per_language), _fit_rows)
 
 
-def hash_order(doc_id: int) -> int:
-    """An order of ids that tells nothing about the row."""
-    return doc_id * 0x9E3779B97F4A7C15 % (1 << 64)
+def hash_order(doc_id: object) -> int:
+    """An order of ids, numbers or text, that tells nothing about the row."""
+    return zlib.crc32(str(doc_id).encode()) * 0x9E3779B97F4A7C15 % (1 << 64)
 
 
 def identify_column(spark: SparkSession, model: Model) -> Callable[[Column], Column]:

@@ -15,8 +15,8 @@ blocks is a task of its own, so a group may be of any size and no link is lost.
 
 Defined results: texts with fewer than five words have one shingle, all their words; texts without
 words (null, empty, punctuation) have no shingle, link with nothing and are their own class. Rows that
-repeat an id count as rows. Null ids never name a class; a text that only rows without an id have links
-with nothing. Only doc_id and text are read.
+repeat an id count as rows, and so do rows without id, but a null id never names a class. Only doc_id and
+text are read.
 """
 
 from __future__ import annotations
@@ -194,7 +194,7 @@ def _numbers(column: pa.Array) -> np.ndarray:
 
 
 def signatures(documents: DataFrame) -> DataFrame:
-    """doc_id, text_key (null without words), sig and bands of every row."""
+    """doc_id, row_key, text_key (null without words), sig and bands of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
@@ -211,15 +211,24 @@ def signatures(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
+                    batch.column(2),
                     pa.array(keys, pa.binary()),
                     pa.array(sigs, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_key", "sig", "bands"],
+                names=["doc_id", "row_key", "text_key", "sig", "bands"],
             )
 
-    rows = documents.select(F.col("doc_id").cast("long"), word_hashes(F.col("text")).alias("words"))
-    return rows.mapInArrow(run, "doc_id long, text_key binary, sig binary, bands array<long>")
+    rows = documents.select(
+        F.col("doc_id").cast("long"), word_hashes(F.col("text")).alias("words"), row_key().alias("row_key")
+    )
+    schema = "doc_id long, row_key string, text_key binary, sig binary, bands array<long>"
+    return rows.mapInArrow(run, schema)
+
+
+def row_key() -> Column:
+    """Digest of id and text: rows that agree in both are copies of one row."""
+    return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.md5("text"), F.lit("-")))
 
 
 def in_blocks(
@@ -270,23 +279,16 @@ def verified_links(documents: DataFrame, reps: DataFrame, groups: DataFrame) ->
     """rep, links (rows with another text at the threshold) and near (smallest linked text in a task)."""
     sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
     members = in_blocks(groups.join(sizes, "group"), ["group"], F.col("n"), "rep")
-    members = members.join(reps.select("rep", "first_id", "copies", "sig", "text_key"), "rep")
-    texts = documents.select(F.col("doc_id").cast("long").alias("first_id"), "text")
-    rows = members.join(texts, "first_id").select(
-        "group", "low", "high", "rep", "block", "copies", "sig", "text", "text_key"
-    )
+    members = members.join(reps.select("rep", "row_key", "copies", "sig"), "rep")
+    texts = documents.select(row_key().alias("row_key"), "text")
+    rows = members.join(texts, "row_key").select("group", "low", "high", "rep", "block", "copies", "sig", "text")
     keys = ["group", "low", "high"]
     rows = rows.repartition(*keys).sortWithinPartitions(*keys, "rep")
     rows = rows.withColumn("text", word_hashes(F.col("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, 3):
-            # Rows that repeat an id may hold other texts.
-            own = [
-                hashlib.md5(w.values.to_numpy(zero_copy_only=False).tobytes()).digest() == key.as_py()
-                for w, key in zip(group.column(7), group.column(8))
-            ]
-            group = group.filter(pa.array(own, pa.bool_()))
+            # A row may be there several times.
             ids, first = np.unique(_numbers(group.column(3)), return_index=True)
             group = group.take(pa.array(first))
             if len(ids) < 2:
@@ -307,23 +309,30 @@ def verified_links(documents: DataFrame, reps: DataFrame, groups: DataFrame) ->
     return rows.mapInArrow(run, "rep long, links long, near long")
 
 
-def similarity_join(documents: DataFrame) -> DataFrame:
-    """doc_id, class_id (smallest id connected through links) and n_links for every row."""
+def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, row_key, text_key) and, per text_key, its class, the name of the class and n_links.
+
+    A class is a number; its name is the smallest id of its rows, null if none has an id.
+    """
     rows = materialise(signatures(documents), "signatures")
     worded = rows.filter(F.col("text_key").isNotNull())
     keyed = worded.groupBy("text_key").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
+        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.min("row_key").alias("row_key")
     )
-    own = worded.select("text_key", F.col("doc_id").alias("first_id"), "sig", "bands")
-    # Texts go by a number of their own; ids only name the classes.
-    reps = keyed.join(own, ["text_key", "first_id"]).dropDuplicates(["text_key"])
+    own = worded.select("text_key", "row_key", F.col("doc_id").alias("some_id"), "sig", "bands")
+    # Texts go by a number of their own; ids only name the classes. One row stands for its text.
+    reps = keyed.join(own, ["text_key", "row_key"]).dropDuplicates(["text_key"])
     reps = materialise(reps.withColumn("rep", F.monotonically_increasing_id()), "texts")
     links = materialise(verified_links(documents, reps, candidate_groups(reps)), "links")
     total = links.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = components(links.filter("near <> rep").select(F.col("rep").alias("a"), F.col("near").alias("b")))
     classes = classes.withColumnRenamed("id", "rep")
-    names = classes.join(reps.select("rep", "first_id"), "rep").groupBy("component_id").agg(
-        F.min("first_id").alias("name")
+    # The names are stored, so that a class with very many texts meets a side of known size.
+    names = materialise(
+        classes.join(reps.select("rep", "first_id"), "rep").groupBy("component_id").agg(
+            F.min("first_id").alias("name")
+        ),
+        "names",
     )
     known = (
         reps.select("text_key", "rep", "first_id", "copies")
@@ -332,12 +341,38 @@ def similarity_join(documents: DataFrame) -> DataFrame:
         .join(names, "component_id", "left")
         .select(
             "text_key",
+            F.coalesce("component_id", "rep").alias("class"),
             F.coalesce("name", "first_id").alias("class_id"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )
-    return rows.select("doc_id", "text_key").join(known, "text_key", "left").select(
+    return rows.select("doc_id", "row_key", "text_key"), known
+
+
+def similarity_join(documents: DataFrame) -> DataFrame:
+    """doc_id, class_id (smallest id connected through links) and n_links for every row."""
+    rows, known = _classes(documents)
+    return rows.join(known, "text_key", "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def first_of_each_class(documents: DataFrame) -> DataFrame:
+    """One row of each class, with all columns: the one with the smallest id, among equal ids by digest.
+
+    Rows without id stand behind all others of their class. A text without words is its own class; rows
+    that agree in id and text are one row.
+    """
+    rows, known = _classes(documents)
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
+    best = rows.filter(F.col("text_key").isNotNull()).join(known, "text_key").groupBy("class")
+    best = best.agg(F.min(place)["row_key"].alias("_row")).select("_row")
+    alone = rows.filter(F.col("text_key").isNull()).select(F.col("row_key").alias("_row"))
+    keep = best.unionByName(alone)
+    key = "_row"
+    while key in documents.columns:
+        key += "_"
+    once = documents.withColumn(key, row_key()).dropDuplicates([key])
+    return once.join(keep.withColumnRenamed("_row", key), key, "left_semi").select(documents.columns)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkflow.llm.common import bucket_of
+from perkflow.llm.common import bounded_texts, bucket_of, learned
 
 SEGMENT = 16
 SCALE = 32.0  # of the mean, so that one word among SEGMENT can decide
@@ -166,25 +166,34 @@ def probability(model: Model, text: str | None, cache: dict[str, float]) -> floa
     return float(1 / (1 + np.exp(-np.clip(top + model.bias, -50, 50))))
 
 
-def train(documents: DataFrame, labels: DataFrame, per_class: int = 1_000) -> Model:
-    """Fit on labelled rows outside the held-out fold.
+def training_rows(
+    documents: DataFrame, labels: DataFrame, per_class: int = 1_000, most_bytes: int = 64 << 20
+) -> DataFrame:
+    """doc_id, text and _toxic of the rows that teach, outside the held-out fold.
 
-    The sample is bounded: `per_class` toxic documents and three times as many others, those with
-    the smallest hash of their id. Rows without id, text or label do not teach.
+    The sample is bounded: `per_class` toxic documents and three times as many others, those with the
+    smallest hash of their id, and `most_bytes` of text. Rows without id, text or label do not teach.
     """
     marked = labels.select("doc_id", F.col("toxic").cast("int").alias("_toxic"))
     marked = marked.filter(F.col("doc_id").isNotNull() & F.col("_toxic").isin(0, 1))
-    marked = marked.filter(bucket_of(F.col("doc_id"), 5) != 0)
+    marked = marked.filter(bucket_of(F.col("doc_id"), 5) != 0).distinct()
     rank = F.xxhash64("doc_id"), F.col("doc_id")
     chosen = None
     for value, most in ((1, per_class), (0, 3 * per_class)):
         part = marked.filter(F.col("_toxic") == value).orderBy(*rank).limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
     # At most 4 * per_class pairs of numbers: a bounded broadcast.
-    texts = documents.select("doc_id", "text").filter(F.col("text").isNotNull())
-    rows = texts.join(F.broadcast(chosen), "doc_id").collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text))
-    return fit([r.text for r in rows], [r._toxic for r in rows])
+    return bounded_texts(documents, chosen, ["doc_id"], 4 * per_class, most_bytes)
+
+
+def _fit_rows(rows: list[dict]) -> Model:
+    rows.sort(key=lambda r: (r["doc_id"], r["text"], r["_toxic"]))
+    return fit([r["text"] for r in rows], [r["_toxic"] for r in rows])
+
+
+def train(documents: DataFrame, labels: DataFrame, per_class: int = 1_000) -> Model:
+    """Fit on the bounded sample of labelled rows, in one task."""
+    return learned(training_rows(documents, labels, per_class), _fit_rows)
 
 
 def score_column(spark: SparkSession, model: Model) -> Callable[[Column], Column]:

@@ -71,3 +71,17 @@ def test_languages_with_many_letters_are_told_apart():
     model = language.fit([t for t, _ in texts], [lang for _, lang in texts], landmarks=5)
     held = [(text(lang, seed), lang) for seed in range(100, 120) for lang in "pq"]
     assert language.predict(model, [t for t, _ in held])[0] == [lang for _, lang in held]
+
+
+def test_long_texts_go_piece_by_piece(monkeypatch):
+    table = language.letter_table()
+    text = "Der Fluß fließt, und ÉTÉ revient! 漢字かな " * 40
+    whole = language.presence(text, table)
+    monkeypatch.setattr(language, "_PIECE", 7)
+    assert (language.presence(text, table) == whole).all()
+
+
+def test_text_ids(spark):
+    rows = [(f"doc-{i}", "der und die ist" if i % 2 else "the and of that", "de" if i % 2 else "en") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    assert {r.lang_pred for r in language.identify(docs, language.train(docs)).collect()} == {"de", "en"}

@@ -96,3 +96,23 @@ def test_rows_that_repeat_an_id_with_other_texts_all_link(make_docs, rng):
     rows = [(1, one), (1, two), (2, one), (3, two), (4, edited(rng, one, 2)), (5, edited(rng, two, 2))]
     found = ngram_join.similarity_join(make_docs([(i, t, None) for i, t in rows])).collect()
     assert sorted(map(tuple, found)) == brute(rows) and {r.n_links for r in found} == {2}
+
+
+def test_one_row_of_each_class_stays_and_no_text_is_lost(make_docs, rng):
+    """Rows that repeat an id with other texts, and rows without id."""
+    a, b, c = (sentence(rng, 40) for _ in range(3))
+    rows = [(1, a), (2, a), (2, b), (None, a), (None, c), (None, c), (7, None), (8, ""), (8, ""), (None, "..")]
+    docs = make_docs([(i, t, "en") for i, t in rows])
+    kept = ngram_join.first_of_each_class(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert found == sorted([(1, a), (2, b), (None, c), (7, None), (8, ""), (None, "..")], key=repr)
+    assert ngram_join.first_of_each_class(docs.limit(0)).count() == 0
+
+
+def test_rows_without_id_link_and_name_no_class(make_docs, rng):
+    base = sentence(rng, 60)
+    near = edited(rng, base, 1)
+    rows = [(None, base), (5, near), (None, near), (None, "alone here"), (None, "alone here")]
+    found = ngram_join.similarity_join(make_docs([(i, t, "en") for i, t in rows])).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted([(None, 5, 2), (5, 5, 2), (None, 5, 2), (None, None, 1), (None, None, 1)], key=repr)

@@ -4,6 +4,7 @@ import ast
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from perkflow.llm import bpe, decontamination, language, ngram_join, toxicity
@@ -52,6 +53,16 @@ def test_each_stage_takes_what_it_should_and_no_more(spark, tables):
     assert steps["decontamination"] == steps["bpe"] == sorted(last, key=repr)
 
 
+def test_the_language_stage_fills_in_languages_and_can_choose(spark, tables, monkeypatch):
+    folder, rows = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") % 3 > 0, F.col("lang")))
+    found = corpus_pipeline.drop_unknown_language(spark, docs, folder)
+    assert {r.lang for r in found.collect()} == {"en"} and found.columns == docs.columns
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", ["fr"])
+    assert corpus_pipeline.drop_unknown_language(spark, docs, folder).count() == 0
+
+
 def test_run_equals_the_operators_by_hand(spark, sf_dir):
     """The stages over the given tables, from the operators' own results."""
     import public_tokenizers

@@ -68,10 +68,19 @@ def test_query_learns_and_holds_out(spark, sf_dir):
     assert np.mean(marked.predicted == marked.toxic) > 0.9
 
 
-def test_sample_is_bounded_and_skips_the_held_out_fold(spark, monkeypatch):
-    seen = {}
-    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: seen.update(texts=texts, toxic=toxic))
+def test_sample_is_bounded_and_skips_the_held_out_fold(spark):
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
-    toxicity.train(docs, docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic")), per_class=20)
-    assert sum(seen["toxic"]) == 20 and len(seen["toxic"]) == 80
-    assert all(zlib.crc32(t.encode()) % 5 for t in seen["texts"])
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+    rows = toxicity.training_rows(docs, labels, per_class=20).collect()
+    assert sum(r._toxic for r in rows) == 20 and len(rows) == 80
+    assert all(zlib.crc32(r.text.encode()) % 5 for r in rows)
+
+
+def test_repeated_ids_and_long_texts_do_not_enlarge_the_sample(spark):
+    docs = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("bad "), F.col("id").cast("string")).alias("text"))
+    docs = docs.union(docs).union(spark.range(1, 60).select("id", F.repeat(F.lit("x" * 9 + " "), 200)))
+    labels = spark.range(60).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic"))
+    rows = toxicity.training_rows(docs, labels, per_class=10).collect()
+    assert len(rows) <= 40 and len({(r.doc_id, r.text) for r in rows}) == len(rows)
+    rows = toxicity.training_rows(docs, labels, per_class=1000, most_bytes=9_000).collect()
+    assert 0 < sum(len(r.text) for r in rows) <= 9_000
