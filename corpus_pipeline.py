@@ -16,6 +16,9 @@ from perkflow.llm.common import read_table
 from perkflow.llm.queries import RANKS
 from perkflow.sources.scratch import materialise
 
+#: Languages whose documents stay; None for all that the table's labels name.
+LANGUAGES: list[str] | None = None
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that score 0.5 or more; the model learns from the labelled ones."""
@@ -24,31 +27,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents in which no language can be told: no text, or no letters in it.
+    """Without the documents of no language or of one not in LANGUAGES; a missing `lang` is filled in.
 
     A table without any labelled language keeps all its documents.
     """
     model = language.train(docs)
     if not model.languages:
         return docs
-    found = language.identify_column(spark, model)(F.col("text"))
-    return docs.filter(found["lang_pred"] != language.UNKNOWN)
+    key = "found_language"
+    while key in docs.columns:
+        key += "_"
+    told = docs.withColumn(key, language.identify_column(spark, model)(F.col("text"))["lang_pred"])
+    told = told.filter(F.col(key).isin(LANGUAGES or model.languages))
+    return told.withColumn("lang", F.coalesce("lang", key)).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class stays; repeated rows become one.
-
-    Rows without id stay unless a document with an id belongs to their class.
-    """
-    classes = ngram_join.similarity_join(docs)
-    gone = classes.filter("class_id < doc_id").select("doc_id").distinct()
-    named = docs.filter(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti")
-    unnamed = docs.filter(F.col("doc_id").isNull())
-    key = "text_digest"
-    while key in docs.columns:
-        key += "_"
-    first = named.withColumn(key, F.md5("text")).dropDuplicates(["doc_id", key]).drop(key)
-    return first.select(docs.columns).unionByName(unnamed)
+    """One document of each class of near duplicates stays, the one with the smallest id."""
+    return ngram_join.first_of_each_class(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
