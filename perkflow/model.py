@@ -65,7 +65,7 @@ HR_HEADERS = (
 # Fixed values.
 # ---------------------------------------------------------------------------
 # Column of the declared practice.
-DECLARED = "pratique_sport"
+DECLARED = "pratique_declaree"
 
 BONUS_RATE = Decimal("0.05")
 DEFAULT_SALARY = Decimal("30000.00")
@@ -89,8 +89,7 @@ EMPLOYEE_DEFAULTS = {
 HEADER_ALIASES = {
     "id": "id_salarie",
     "salarie": "id_salarie",
-    "pratique_dun_sport": DECLARED,
-    "sport": DECLARED,
+    "pratique": DECLARED,
     "date_de_naissance": "date_naissance",
     "date_dembauche": "date_embauche",
     "salaire": "salaire_brut",
@@ -103,6 +102,9 @@ HEADER_ALIASES = {
     "moyen_transport": "moyen_deplacement",
 }
 
+# Beginnings of header names and the columns they stand for.
+HEADER_BEGINNINGS = {"pratique_d": DECLARED}
+
 # Accented letters that headers lose, and characters they drop.
 ACCENTED = "éèêàâîôûç"
 UNACCENTED = "eeeaaiouc"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perkflow.model import ACCENTED, HEADER_ALIASES, HEADER_DROPPED, UNACCENTED
+from perkflow.model import ACCENTED, HEADER_ALIASES, HEADER_BEGINNINGS, HEADER_DROPPED, UNACCENTED
 
 _HEADER_TABLE = str.maketrans(" -/" + ACCENTED, "___" + UNACCENTED, HEADER_DROPPED)
 
@@ -21,15 +21,19 @@ def clean_header(name: str) -> str:
 def normalise_headers(
     df: DataFrame, aliases: Mapping[str, str] = HEADER_ALIASES
 ) -> DataFrame:
-    """Clean all headers and rename known spellings; unknown names stay."""
+    """Clean all headers and rename known spellings and beginnings; unknown names stay."""
     names = [clean_header(name) for name in df.columns]
-    names = [aliases.get(name, name) for name in names]
+    names = [aliases.get(name) or _by_beginning(name) or name for name in names]
     twice = sorted({name for name in names if names.count(name) > 1})
     if twice:
         raise ValueError(f"several headers stand for the same column: {twice}")
     return df.toDF(*names)
 
 
+def _by_beginning(name: str) -> str | None:
+    return next((column for begin, column in HEADER_BEGINNINGS.items() if name.startswith(begin)), None)
+
+
 def widen_integers(df: DataFrame) -> DataFrame:
     """Give inferred integer columns 64 bits, so that later files with larger values still fit."""
     narrow = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegerType)]

@@ -15,7 +15,7 @@ HR = """ID salarié,Nom,Prénom,Date de naissance,BU,Date d'embauche,Salaire bru
 2,Doublon,Bea,1962-09-10,Support,2021-12-12,1,CDI,29,"2 Rue Basse, 34970 Lattes",Marche/running
 3,Gamma,Guy,1980-01-01,Ventes,2022-03-29,33130,CDD,25,"3 Rue Neuve, 30900 Nîmes",Vélo/Trottinette/Autres
 """
-PRACTICE = "ID salarié,Pratique d'un sport\n1,\n2,Tennis\n3,Yoga\n"
+PRACTICE = "ID salarié,Pratique d'un loisir\n1,\n2,Tennis\n3,Yoga\n"
 
 
 @pytest.fixture
@@ -44,7 +44,7 @@ def test_cleaned_files(spark, place):
     assert hr["1"].moyen_deplacement == "Transports En Commun" and hr["1"].type_contrat == "Cdi"
     assert hr["3"].salaire_brut == 33130.0 and hr["3"].jours_cp == 25.0
     declared = loading.clean_practice_file(spark, str(place / "declared.csv"))
-    assert sorted((r.id_salarie, r.pratique_sport) for r in declared.collect()) == [
+    assert sorted((r.id_salarie, r.pratique_declaree) for r in declared.collect()) == [
         ("1", None), ("2", "Tennis"), ("3", "Yoga")]
 
 

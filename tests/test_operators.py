@@ -23,10 +23,10 @@ def rows(frame, *names):
 
 def test_headers(spark):
     names = [" Date d'embauche", "Adresse du domicile", "Moyen de déplacement", "ID salarié",
-             "Pratique d'un sport", "N°-(x)/y"]
+             "Pratique d'un loisir", "N°-(x)/y"]
     frame = columns.normalise_headers(spark.createDataFrame([("",) * 6], names))
     assert frame.columns == ["date_embauche", "adresse", "moyen_deplacement", "id_salarie",
-                             "pratique_sport", "n_x_y"]
+                             "pratique_declaree", "n_x_y"]
 
 
 def test_headers_that_clash(spark):
@@ -210,7 +210,7 @@ def test_message_is_parsed_once(messages):
 @pytest.fixture
 def declared(spark):
     data = [(1, "Tennis"), (2, ""), (2, None), (4, "  "), (None, "Yoga")]
-    return spark.createDataFrame(data, "id_salarie long, pratique_sport string")
+    return spark.createDataFrame(data, "id_salarie long, pratique_declaree string")
 
 
 @pytest.fixture

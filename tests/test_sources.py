@@ -143,7 +143,7 @@ def test_inferred_types(spark, tmp_path):
 
 def test_line_order(spark, tmp_path):
     file = tmp_path / "x.csv"
-    file.write_text("ID salarié,Pratique d'un sport\n" + "".join(f"{i},s\n" for i in range(5000)))
+    file.write_text("ID salarié,Pratique d'un loisir\n" + "".join(f"{i},s\n" for i in range(5000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
         frame = tabular.read_tabular(spark, str(file), keep_order=True)
