@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 _RANK = "_rank"
 
 
-def _top_row(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+def _top_row(df: DataFrame, key: str | list[str], order: list[Column]) -> DataFrame:
     window = W.partitionBy(key).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
-def latest_per_key(df: DataFrame, key: str, *newest_by: str) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str | list[str], *newest_by: str) -> DataFrame:
     """Newest row of each key by `newest_by`, compared left to right, nulls oldest."""
     return _top_row(df, key, [F.col(name).desc_nulls_last() for name in newest_by])
 

@@ -14,6 +14,8 @@ from perkflow.sources.latest import BUCKET, read_latest
 from perkflow.streaming.alerts import stream_alerts
 from perkflow.streaming.ingest import stream_activities, stream_employees, stream_rejects
 from perkflow.streaming.reports import stream_mode_report
+from perkflow.streaming.views import MODE_FEED, follow_modes
+
 
 def start_live(
     activities: DataFrame,
@@ -24,15 +26,18 @@ def start_live(
 ) -> list[StreamingQuery]:
     """Start the activity, employee, reject, alert and report streams below one folder.
 
-    Tables and their checkpoints lie side by side: they belong together.
+    Tables and their checkpoints lie side by side: they belong together. `mode_report` counts every
+    version of an employee, `latest_mode_report` the latest ones (`views.latest_mode_report` reads it).
     """
     def place(name: str) -> tuple[str, str, str | None]:
         return f"{root}/{name}", f"{root}/checkpoints/{name}", interval
 
+    current = f"{root}/current_employees"
     return [
         stream_activities(activities, *place("activities")),
         stream_employees(
-            employees, *place("employee_prime"), on_metrics, f"{root}/current_employees"
+            employees, *place("employee_prime"), on_metrics, current, MODE_FEED,
+            lambda spark: follow_modes(spark, current, f"{root}/latest_mode_report"),
         ),
         stream_rejects(activities, ACTIVITY_IMAGE, *place("activity_rejects"), "id"),
         stream_rejects(employees, EMPLOYEE_IMAGE, *place("employee_rejects")),

@@ -20,6 +20,33 @@ def delete(spark: SparkSession, name: str) -> None:
     _system(spark, name).delete(_path(spark, name), True)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file or folder a new name, which must be free."""
+    system = _system(spark, target)
+    if system.exists(_path(spark, target)) or not system.rename(_path(spark, source), _path(spark, target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def make_folder(spark: SparkSession, name: str) -> None:
+    _system(spark, name).mkdirs(_path(spark, name))
+
+
+def entries(spark: SparkSession, folder: str) -> dict[str, float]:
+    """Names in a folder with the second they were last changed; nothing if it is missing."""
+    system = _system(spark, folder)
+    if not system.exists(_path(spark, folder)):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in system.listStatus(_path(spark, folder))}
+
+
+def size(spark: SparkSession, name: str) -> int:
+    """Bytes of a file or of all files below a folder; 0 if it is missing."""
+    system = _system(spark, name)
+    if not system.exists(_path(spark, name)):
+        return 0
+    return system.getContentSummary(_path(spark, name)).getLength()
+
+
 def replace(spark: SparkSession, source: str, target: str) -> None:
     """Put a file or folder in the place of another one.
 

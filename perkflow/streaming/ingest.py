@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
@@ -126,10 +126,13 @@ def stream_employees(
     interval: str | None = None,
     on_metrics: Metrics | None = None,
     current: str | None = None,
+    feed: Sequence[str] = (),
+    after: Callable[[SparkSession], object] | None = None,
 ) -> StreamingQuery:
     """Employee messages to the employee table, one partition folder per batch.
 
-    With `current` each stored batch also goes into the table of latest versions there.
+    With `current` each stored batch also goes into the table of latest versions there, which then feeds
+    the columns of `feed`; `after` runs when that is done.
 
     The query id is part of the folder name. It lives in the checkpoint, so a repeated batch
     replaces its own rows, and a new checkpoint cannot replace those of an older one.
@@ -142,7 +145,9 @@ def stream_employees(
         figures = load_employees(batch, path, stream_id, batch_id)
         if current:
             stored = read_load(batch.sparkSession, path, stream_id, batch_id)
-            upsert_latest(stored, current, "id_salarie", VERSION_ORDER)
+            upsert_latest(stored, current, "id_salarie", VERSION_ORDER, feed=feed)
+        if after:
+            after(batch.sparkSession)
         if on_metrics:
             on_metrics(batch_id, figures)
 
