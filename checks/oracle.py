@@ -183,6 +183,11 @@ def postcode_distance(address: str) -> str:
     return f"CAST(CASE {tests} END AS DOUBLE)"
 
 
+def place_words(text: str) -> str:
+    plain = f"translate(lower({text}), 'éèêàâîôûç', 'eeeaaiouc')"
+    return f"regexp_extract_all({plain}, '[\\p{{L}}\\p{{N}}]+')"
+
+
 def verdict(km: str, mode: str) -> str:
     def has(*words: str) -> str:
         return "(" + " OR ".join(f"contains(lower({mode}), {_quote(w)})" for w in words) + ")"
@@ -543,5 +548,72 @@ SELECT CAST(user_id AS VARCHAR) AS id_salarie,
        || CASE WHEN event_type <> 'error' THEN chr(10) || '💬 Commentaire: ' || props ELSE '' END
            AS message
 FROM events""",
+    "csv_multiline": """
+SELECT doc_id, lang, source, n_chars, replace(text, ', ', '";' || chr(13) || chr(10) || '"') AS text
+FROM documents""",
+    "csv_typed": """
+SELECT lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS code, o_orderkey AS numero,
+       CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS prix, o_orderstatus = 'F' AS clos,
+       strftime(o_orderdate, '%Y-%m-%d') AS jour, o_orderdate AS moment,
+       CASE WHEN o_orderkey % 100 = 7 THEN 'n/a' ELSE CAST(o_orderkey AS VARCHAR) END AS mixte,
+       CAST(NULL AS VARCHAR) AS vide
+FROM orders""",
+    "inferred_types": """
+SELECT unnest(['code', 'numero', 'prix', 'clos', 'jour', 'moment', 'mixte', 'vide']) AS colonne,
+       unnest(['string', 'bigint', 'double', 'boolean', 'date', 'timestamp',
+               CASE WHEN max(o_orderkey % 100 = 7) THEN 'string' ELSE 'bigint' END, 'string']) AS type
+FROM orders""",
+    "schema_conflict": """
+SELECT c_custkey,
+       CASE c_nationkey % 4 WHEN 3 THEN CAST(c_acctbal AS VARCHAR)
+            WHEN 2 THEN CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR)
+            ELSE CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) END AS salaire,
+       CASE WHEN c_nationkey % 2 = 1 THEN c_nationkey END AS c_nationkey
+FROM customer""",
+    "monthly_merged": f"""WITH {ACTIVITIES}
+SELECT CAST(CAST(date_trunc('month', start_date) AS DATE) AS VARCHAR) AS mois, activity_type,
+       {big('count(*)')} AS nb_activites,
+       {dbl('sum(CAST(distance_m AS DECIMAL(18,2)))')} AS distance_totale_m, true AS employes_proches
+FROM activities GROUP BY 1, 2""",
+    "profile_merged": f"""
+WITH rows AS (
+    SELECT l_quantity, l_extendedprice, CASE WHEN l_orderkey % 5 > 0 THEN l_discount END AS l_discount,
+           l_partkey
+    FROM lineitem)
+{' UNION ALL '.join(
+    f"SELECT '{c}' AS colonne, {big('count(*)')} AS nombre, {big(f'count(*) - count({c})')} AS nuls, "
+    f"{dbl(f'min({c})')} AS minimum, {dbl(f'max({c})')} AS maximum, true AS mediane_proche FROM rows"
+    for c in ('l_quantity', 'l_extendedprice', 'l_discount', 'l_partkey'))}""",
+    "distance_gazetteer": f"""
+WITH d AS (
+    SELECT doc_id, {place_words('text')} AS words,
+           {place_words("doc_id % 9 || ' Rue du Port, ' || substr(text, CAST(1 + doc_id % 30 AS BIGINT), 60)")} AS address
+    FROM documents WHERE text IS NOT NULL),
+n AS (
+    SELECT array_to_string(words[1:1 + doc_id % 3], ' ') AS name, min(doc_id) AS position
+    FROM d GROUP BY 1 HAVING name <> ''),
+f AS (
+    SELECT doc_id, min(position) AS position
+    FROM d JOIN n ON contains(' ' || array_to_string(address, ' ') || ' ', ' ' || name || ' ') GROUP BY 1)
+SELECT CAST(d.doc_id AS VARCHAR) AS id_salarie, coalesce({dbl('position % 40 + 5')}, -1) AS distance_km
+FROM d LEFT JOIN f USING (doc_id)""",
+    "required_columns": f"""WITH {INCOMPLETE}
+SELECT 'id_salarie' AS colonne, true AS presente, {big('count(id_salarie)')} AS remplis FROM incomplete
+UNION ALL SELECT 'salaire_brut', true, {big('count(salaire_brut)')} FROM incomplete
+UNION ALL SELECT 'moyen_deplacement', true, {big('count(moyen_deplacement)')} FROM incomplete
+UNION ALL SELECT 'adresse', false, 0""",
+    "stream_latest_report": f"""WITH {VERSIONS},
+current AS (
+    SELECT coalesce(moyen_deplacement, 'Non spécifié') AS moyen_deplacement, prime_annuelle
+    FROM latest JOIN orders ON o_orderkey = version_no WHERE o_orderstatus <> 'P')
+{bonus_stats('current')}""",
+    "stream_once": CDC_ACTIVITIES,
+    "stream_eligibility": f"""
+SELECT CAST(user_id AS VARCHAR) AS id_salarie,
+       CAST(year(ts) + CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS annee,
+       {big('count(*)')} AS nb_activites,
+       CAST(CASE WHEN count(*) >= 15 THEN 5 ELSE 0 END AS INTEGER) AS jours_bien_etre
+FROM events WHERE event_id % 5 <> 0 GROUP BY 1, 2""",
     "stream_mode_report": f"WITH {INCOMPLETE} {bonus_stats('filled_priced')}",
 }
+SQL["bucketed_details"] = SQL["active_details"]

@@ -21,6 +21,10 @@ from perkflow.operators import (
     cleaning,
     columns,
     commute,
+    gazetteer,
+    inference,
+    monthly,
+    profiles,
     quality,
     reports,
     versions,
@@ -29,12 +33,14 @@ from perkflow.plans import loading
 from perkflow.plans.commuting import validated_commutes
 from perkflow.plans.dashboard import activity_export, bonus_rows, export_dashboard, with_decimal_comma
 from perkflow.plans.live import current_employees, start_live
-from perkflow.sources.catalog import register_table, use_database
+from perkflow.sources.catalog import add_load, register_table, save_bucketed, use_database
 from perkflow.sources.latest import read_latest, upsert_latest
+from perkflow.sources.messages import delivered_once
+from perkflow.sources.reconcile import read_reconciled
 from perkflow.sources.scratch import materialise, scratch_path
 from perkflow.sources.tables import append_rows, point_lookup, read_if_filled, read_table, write_load
 from perkflow.sources.tabular import read_csv, write_csv
-from perkflow.streaming import alerts, ingest
+from perkflow.streaming import alerts, ingest, views
 from perkflow.streaming import reports as stream_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +120,61 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, ";", rows.schema, escape_lines=True)
 
 
+@query
+def csv_multiline(spark, sf_dir):
+    """Texts with line breaks, quotes and separators as a foreign file holds them."""
+    path = scratch_path(spark, "csv_multiline")
+    rows = roles.table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", "n_chars", F.replace("text", F.lit(", "), F.lit('";\r\n"')).alias("text")
+    )
+    write_csv(rows, path, ";")
+    return read_csv(spark, path, ";", rows.schema, multi_line=True)
+
+
+def _mixed(spark, sf_dir):
+    """Orders as text columns of every kind."""
+    number = F.col("o_orderkey").cast("string")
+    return roles.table(spark, sf_dir, "orders").select(
+        F.lpad(number, 9, "0").alias("code"),
+        number.alias("numero"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice").cast("string")).alias("prix"),
+        F.when(F.col("o_orderstatus") == "F", "true").otherwise("false").alias("clos"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("jour"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("moment"),
+        F.when(F.col("o_orderkey") % 100 == 7, "n/a").otherwise(number).alias("mixte"),
+        F.lit(None).cast("string").alias("vide"),
+    )
+
+
+@query
+def csv_typed(spark, sf_dir):
+    """A file read back in the types that its values have."""
+    path = scratch_path(spark, "csv_typed")
+    write_csv(_mixed(spark, sf_dir), path, ";")
+    return read_csv(spark, path, ";", multi_line=True)
+
+
+@query
+def inferred_types(spark, sf_dir):
+    """Types from the added-up profiles of three parts."""
+    rows = _mixed(spark, sf_dir)
+    parts = [inference.type_profile(rows.filter(F.col("numero") % 3 == n)) for n in range(3)]
+    return inference.column_types(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query
+def schema_conflict(spark, sf_dir):
+    """Loads that hold the salary as int, long, decimal and text."""
+    path = scratch_path(spark, "schema_conflict")
+    rows = roles.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    for n, kind in enumerate(("int", "bigint", "decimal(12,2)", "string")):
+        part = rows.filter(F.col("c_nationkey") % 4 == n)
+        salary = F.floor("c_acctbal") if n < 2 else F.col("c_acctbal")
+        part = part.select("c_custkey", salary.cast(kind).alias("salaire"), "c_nationkey")
+        (part if n % 2 else part.drop("c_nationkey")).write.parquet(f"{path}/load={n}")
+    return read_reconciled(spark, path)
+
+
 @query
 def schema_evolution(spark, sf_dir):
     """Customers without a bonus, then suppliers with one, in the same table."""
@@ -151,14 +212,17 @@ def export_activities(spark, sf_dir):
 
 @query
 def external_table(spark, sf_dir):
-    """Orders by status from a table in a database, registered again after a second load."""
+    """Orders by status from a table in a database, to which a second load is added."""
     path = scratch_path(spark, "external_table")
     use_database(spark, "perkflow_checks")
     name = f"perkflow_checks.orders_{path.rsplit('-', 1)[1]}"
     use_database(spark, "default")
     for batch_id in (0, 1):
         write_load(roles.table(spark, sf_dir, "orders"), path, "orders", batch_id)
-        register_table(spark, name, path)
+        if batch_id == 0:
+            register_table(spark, name, path)
+        else:
+            add_load(spark, name, path, "orders", batch_id)
     return spark.sql(f"SELECT o_orderstatus, count(*) AS nombre FROM {name} GROUP BY o_orderstatus")
 
 
@@ -332,6 +396,20 @@ def active_and_eco(spark, sf_dir):
     return activity.active_and_eco(activity.active_details(totals, people, ordered=False), ids)
 
 
+@query
+def bucketed_details(spark, sf_dir):
+    """Active employees from tables that are stored by employee: neither side moves."""
+    use_database(spark, "perkflow_checks")
+    use_database(spark, "default")
+    names = []
+    for kind, rows in (("totals", _totals(spark, sf_dir)), ("people", roles.employees(spark, sf_dir))):
+        path = scratch_path(spark, kind)
+        names.append(f"perkflow_checks.{kind}_{path.rsplit('-', 1)[1]}")
+        save_bucketed(rows, names[-1], path, "id_salarie", 8)
+    totals, people = (spark.table(name) for name in names)
+    return activity.active_details(totals, people, ordered=False)
+
+
 @query
 def employee_detail(spark, sf_dir):
     counts = materialise(activity.activity_counts(roles.activities(spark, sf_dir)), "counts")
@@ -348,6 +426,43 @@ def activity_trend(spark, sf_dir):
     return activity.activity_trend(roles.activities(spark, sf_dir))
 
 
+@query
+def monthly_merged(spark, sf_dir):
+    """Figures of three loads, each summed up by itself, against the exact numbers of employees."""
+    rows = roles.activities(spark, sf_dir)
+    path = scratch_path(spark, "monthly_parts")
+    for part in range(3):
+        monthly.monthly_parts(rows.filter(F.col("activity_no") % 3 == part)).write.parquet(f"{path}/load={part}")
+    report = monthly.monthly_report(read_table(spark, path))
+    exact = rows.groupBy(F.date_trunc("month", "start_date").cast("date").alias("mois"), "activity_type")
+    exact = exact.agg(F.count_distinct("id_salarie").alias("exact"))
+    near = F.abs(F.col("nb_employes") - F.col("exact")) <= 1 + 4 * monthly.SKETCH_ERROR * F.col("exact")
+    return report.join(exact, ["mois", "activity_type"]).select(
+        "mois", "activity_type", "nb_activites", "distance_totale_m", near.alias("employes_proches")
+    )
+
+
+@query
+def profile_merged(spark, sf_dir):
+    """Profiles of three loads merged; the median's rank is checked against all rows."""
+    rows = roles.table(spark, sf_dir, "lineitem")
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]
+    rows = rows.withColumn("l_discount", F.when(F.col("l_orderkey") % 5 > 0, F.col("l_discount")))
+    path = scratch_path(spark, "profiles")
+    for part in range(3):
+        profiles.profile(rows.filter(F.col("l_orderkey") % 3 == part), names).write.parquet(f"{path}/load={part}")
+    merged = profiles.with_quantiles(profiles.merge_profiles(read_table(spark, path)), mediane=0.5)
+    medians = {r.colonne: r.mediane for r in merged.collect()}  # one row per column
+    checks = []
+    for name in names:
+        below = F.count_if(F.col(name) < medians[name]) / F.count(name)
+        upto = F.count_if(F.col(name) <= medians[name]) / F.count(name)
+        near = (below <= 0.5 + profiles.RANK_ERROR) & (upto >= 0.5 - profiles.RANK_ERROR)
+        checks.append(F.struct(F.lit(name).alias("colonne"), near.alias("mediane_proche")).alias(name))
+    near = rows.agg(*checks).select(F.inline(F.array(*names)))
+    return merged.drop("mediane").join(near, "colonne")
+
+
 # --- versions ----------------------------------------------------------------------------------
 
 
@@ -518,6 +633,32 @@ def _measured(spark, sf_dir):
     )
 
 
+def _gazetteer(spark, sf_dir):
+    """The first words of every document as names of places, and addresses from the same texts."""
+    rows = roles.table(spark, sf_dir, "documents").filter(F.col("text").isNotNull())
+    words = gazetteer.place_words(F.col("text"))
+    names = rows.select(
+        F.array_join(F.slice(words, F.lit(1), (1 + F.col("doc_id") % 3).cast("int")), "-").alias("name"),
+        F.col("doc_id").alias("position"),
+        (F.col("doc_id") % 40).cast("double").alias("low_km"),
+        (F.col("doc_id") % 40 + 10).cast("double").alias("high_km"),
+    )
+    start = (1 + F.col("doc_id") % 30).cast("int")
+    people = rows.select(
+        F.col("doc_id").cast("string").alias("id_salarie"),
+        F.concat(F.col("doc_id") % 9, F.lit(" Rue du Port, "), F.substring("text", start, F.lit(60))).alias("adresse"),
+    )
+    return names, people
+
+
+@query
+def distance_gazetteer(spark, sf_dir):
+    names, people = _gazetteer(spark, sf_dir)
+    places = materialise(gazetteer.located_places(people, names), "located")
+    found = people.withColumn("_place", F.trim("adresse")).join(places, "_place", "left")
+    return found.select("id_salarie", F.coalesce("_located", F.lit(-1.0)).alias("distance_km"))
+
+
 @query
 def distance_fallback(spark, sf_dir):
     people = roles.employees(spark, sf_dir)
@@ -591,6 +732,12 @@ def dq_required(spark, sf_dir):
     return quality.check_required(rows).select("id_salarie", "champs_complets")
 
 
+@query
+def required_columns(spark, sf_dir):
+    rows = roles.incomplete(roles.table(spark, sf_dir, "customer"))
+    return quality.required_profile(rows, ["id_salarie", "salaire_brut", "moyen_deplacement", "adresse"])
+
+
 @query
 def activity_distance_check(spark, sf_dir):
     rows = roles.activities(spark, sf_dir)
@@ -659,6 +806,48 @@ def stream_mode_report(spark, sf_dir):
     return spark.read.parquet(f"{root}/report")
 
 
+def _in_runs(spark, folder, parts, start):
+    """Run a stream to its end after each part of its messages has come."""
+    for n, part in enumerate(parts):
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(part.schema).parquet(folder)
+        start(stream).awaitTermination()
+
+
+@query
+def stream_latest_report(spark, sf_dir):
+    """Versions and deletes in three runs of the stream, the last versions not last."""
+    root = scratch_path(spark, "stream_latest_report")
+    orders = roles.table(spark, sf_dir, "orders")
+    parts = [roles.version_messages(orders.filter(F.col("o_orderkey") % 3 == n)) for n in (2, 0, 1)]
+    _in_runs(spark, f"{root}/in", parts, lambda stream: views.stream_latest_report(
+        stream, f"{root}/employees", f"{root}/report", f"{root}/checkpoint"))
+    return views.latest_mode_report(spark.read.parquet(f"{root}/report"))
+
+
+@query
+def stream_once(spark, sf_dir):
+    """Half of the messages, then all of them twice."""
+    root = scratch_path(spark, "stream_once")
+    events = roles.table(spark, sf_dir, "events")
+    every = roles.activity_messages(events)
+    half = roles.activity_messages(events.filter(F.col("event_id") % 2 == 0))
+    _in_runs(spark, f"{root}/in", [half, every.unionByName(every)], lambda stream: ingest.stream_activities(
+        delivered_once(stream), f"{root}/table", f"{root}/checkpoint"))
+    return _activity_columns(spark.read.parquet(f"{root}/table"))
+
+
+@query
+def stream_eligibility(spark, sf_dir):
+    """Deletes before the activities they delete, then corrections that move a third to another year."""
+    root = scratch_path(spark, "stream_eligibility")
+    events = roles.table(spark, sf_dir, "events")
+    parts = [roles.dated_activity_messages(events, kind) for kind in ("d", "c", "u")]
+    _in_runs(spark, f"{root}/in", parts, lambda stream: views.stream_eligibility(
+        stream, f"{root}/activities", f"{root}/days", f"{root}/checkpoint"))
+    return views.eligibility(spark.read.parquet(f"{root}/days"))
+
+
 @query
 def stream_rejects(spark, sf_dir):
     root = scratch_path(spark, "stream_rejects")

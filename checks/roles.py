@@ -192,6 +192,20 @@ def corrected_activity_messages(events: DataFrame) -> DataFrame:
     return deleted.unionByName(changed).unionByName(new)
 
 
+def dated_activity_messages(events: DataFrame, kind: str) -> DataFrame:
+    """New activities (c), later corrections of a third to the next year (u), or later deletes of a fifth (d)."""
+    number = _text("event_id").alias("id")
+    later = F.when(F.lit(kind) == "u", F.make_interval(F.lit(1))).otherwise(F.make_interval(F.lit(0)))
+    start = F.unix_micros(F.col("ts").cast("timestamp") + later)
+    some = {"c": 1, "u": 3, "d": 5}[kind]
+    rows = events.filter(F.col("event_id") % some == 0)
+    after = F.struct(number, _text("user_id").alias("id_salarie"), start.alias("start_date"))
+    moment = F.unix_millis(F.col("ts").cast("timestamp")) + some
+    if kind == "d":
+        return to_messages(rows, F.col("event_id"), F.lit(None).cast("string"), F.lit("d"), moment, F.struct(number))
+    return to_messages(rows, F.col("event_id"), after, F.lit(kind), moment)
+
+
 def version_messages(orders: DataFrame) -> DataFrame:
     """Every order as a change of its employee; orders in status P delete the employee."""
     rows = orders.withColumn("offset", F.col("o_orderkey"))

@@ -65,7 +65,8 @@ def _analyse(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _commute(spark: SparkSession, args: argparse.Namespace) -> None:
     measured = spark.read.parquet(args.distances) if args.distances else None
-    checked = commuting.validated_commutes(loading.read_people(spark, args.hr), args.company, measured)
+    names = spark.read.parquet(args.places) if args.places else None
+    checked = commuting.validated_commutes(loading.read_people(spark, args.hr), args.company, measured, names)
     commuting.export_commutes(checked, args.out).show(truncate=False)
 
 
@@ -119,7 +120,7 @@ def parser() -> argparse.ArgumentParser:
         "analyse", _analyse, hr=need, declared=need, activities=need, employees=need,
         out=need, all_versions=flag, merge_schema=flag, rows={"type": int, "default": 20},
     )
-    job("commute", _commute, hr=need, company=need, out=need, distances=may)
+    job("commute", _commute, hr=need, company=need, out=need, distances=may, places=may)
     job(
         "export", _export, activities=need, employees=need, out=need,
         interval=may, checkpoint=may, merge_schema=flag,

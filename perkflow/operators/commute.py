@@ -22,13 +22,15 @@ VALIDATION_COLUMNS = model.VALIDATION_COLUMNS
 def with_distance(
     hr: DataFrame,
     measured: DataFrame | None = None,
+    located: DataFrame | None = None,
     cities: Sequence[Band] = model.CITY_BANDS,
     postcodes: Sequence[Band] = model.POSTCODE_BANDS,
 ) -> DataFrame:
-    """Add `distance_km`: the measured distance, else by city, else by postal code, else a default.
+    """Add `distance_km`: measured, else by place name, by city, by postal code, else a default.
 
-    `measured` are the (stored) `measured_places`, one row per place. Bands stand for their midpoint. The band lists are part
-    of the plan, so the lookup is a projection without join or shuffle.
+    `measured` are the (stored) `measured_places`, and `located` the (stored) `gazetteer.located_places`,
+    one row per place. Bands stand for their midpoint. The band lists are part of the plan, so their lookup
+    is a projection without join or shuffle; a list of thousands of names belongs in a gazetteer.
     """
     lower = hr.withColumn("_lower", F.lower("adresse"))
     bands = [
@@ -36,13 +38,13 @@ def with_distance(
         postcode_distance(F.col("adresse"), postcodes),
         default_distance(),
     ]
-    if measured is None:
-        return lower.withColumn("distance_km", F.coalesce(*bands)).drop("_lower")
-    placed = lower.withColumn("_place", F.trim("adresse"))
-    joined = placed.join(measured, "_place", "left")
-    return joined.withColumn("distance_km", F.coalesce("_measured", *bands)).drop(
-        "_lower", "_place", "_measured"
-    )
+    joined = lower.withColumn("_place", F.trim("adresse"))
+    known = []
+    for places, name in ((measured, "_measured"), (located, "_located")):
+        if places is not None:
+            joined = joined.join(places, "_place", "left")
+            known.append(name)
+    return joined.withColumn("distance_km", F.coalesce(*known, *bands)).drop("_lower", "_place", *known)
 
 
 def measured_places(measured: DataFrame) -> DataFrame:

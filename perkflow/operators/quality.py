@@ -64,3 +64,17 @@ def check_activity_distance(
         .withColumns({"distance_km": km, "distance_valide": F.coalesce(km <= limit, F.lit(True))})
         .drop("_kind")
     )
+
+
+def required_profile(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """colonne, presente and remplis (rows with a value) of each required column, in one pass."""
+    parts = [
+        F.struct(
+            F.lit(name).alias("colonne"),
+            F.lit(name in df.columns).alias("presente"),
+            (F.count(F.col(name)) if name in df.columns else F.count(F.lit(None))).alias("remplis"),
+        ).alias(f"c{i}")
+        for i, name in enumerate(required)
+    ]
+    row = df.agg(*parts)
+    return row.select(F.inline(F.array(*[F.col(f"c{i}") for i in range(len(required))])))

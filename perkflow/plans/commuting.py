@@ -12,17 +12,22 @@ from perkflow.operators.commute import (
     validate_commute,
     with_distance,
 )
+from perkflow.operators.gazetteer import located_places
 from perkflow.sources.scratch import materialise
 from perkflow.sources.tabular import write_csv
 
 
 def validated_commutes(
-    hr: DataFrame, company_address: str, measured: DataFrame | None = None
+    hr: DataFrame, company_address: str, measured: DataFrame | None = None, gazetteer: DataFrame | None = None
 ) -> DataFrame:
-    """One verdict per employee row. `measured` holds (adresse, distance_m)."""
+    """One verdict per employee row.
+
+    `measured` holds (adresse, distance_m), `gazetteer` (name, position, low_km, high_km).
+    """
     if measured is not None:
         measured = materialise(measured_places(measured), "places")
-    checked = validate_commute(with_distance(hr, measured), company_address)
+    located = None if gazetteer is None else materialise(located_places(hr, gazetteer), "located")
+    checked = validate_commute(with_distance(hr, measured, located), company_address)
     return checked.select(*VALIDATION_COLUMNS)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from perkflow.sources.tables import read_if_filled
 
@@ -30,3 +30,24 @@ def register_table(spark: SparkSession, name: str, path: str) -> bool:
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
     return True
+
+
+def add_load(spark: SparkSession, name: str, path: str, stream_id: str, batch_id: int) -> None:
+    """Make one new load of a registered table known, without listing the others."""
+    place = f"{path}/stream_id={stream_id}/batch_id={batch_id}".replace("'", "\\'")
+    own = stream_id.replace("'", "\\'")
+    spark.sql(
+        f"ALTER TABLE {quoted(name)} ADD IF NOT EXISTS "
+        f"PARTITION (stream_id='{own}', batch_id={batch_id}) LOCATION '{place}'"
+    )
+    spark.catalog.refreshTable(name)
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
+    """Store rows by a key, so that joins and windows on it over tables of as many buckets move nothing.
+
+    One file per bucket; choose the number so that a bucket fits a task.
+    """
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key)
+    writer = dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    writer.format("parquet").saveAsTable(quoted(name))

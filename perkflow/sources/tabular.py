@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perkflow.operators.columns import normalise_headers, widen_integers
+from perkflow.operators.inference import infer_types
 from perkflow.sources import files
+from perkflow.sources.records import read_quoted_csv
 
 LINE = "_line"
 
@@ -37,10 +39,14 @@ def read_csv(
     ids; files with ids need a schema or `infer` off.
 
     `escape_lines` undoes what `write_csv` did under that name. `multi_line` reads foreign files with
-    line breaks inside quotes; such a file is read by one task.
+    line breaks inside quotes, block by block (see `records`); inference then takes one more pass.
     """
+    if multi_line:
+        rows = read_quoted_csv(spark, path, sep, schema)
+        rows = infer_types(rows) if infer and schema is None else rows
+        return unescaped(rows) if escape_lines else rows
     # A null value that no file holds keeps a quoted empty text apart from a missing one.
-    reader = spark.read.options(**_FORMAT, sep=sep, nullValue="\u0000").option("multiLine", multi_line)
+    reader = spark.read.options(**_FORMAT, sep=sep, nullValue="\u0000")
     if schema is not None:
         rows = reader.option("enforceSchema", "false").schema(schema).csv(path)
     elif not infer:
