@@ -15,6 +15,11 @@ def _system(spark: SparkSession, name: str):
     return _path(spark, name).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, name: str) -> str:
+    """The path with the file system that Spark takes it to be on."""
+    return _system(spark, name).makeQualified(_path(spark, name)).toString()
+
+
 def delete(spark: SparkSession, name: str) -> None:
     """Remove a file or folder if it is there."""
     _system(spark, name).delete(_path(spark, name), True)
