@@ -20,7 +20,7 @@ import base64
 import heapq
 import json
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from uuid import uuid4
 
 import numpy as np
@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from perkflow.llm.common import slices
 from perkflow.sources.scratch import materialise
 
 COMMON = 2e-6
@@ -203,39 +204,44 @@ class _Words(dict[str, bytes]):
             self.update(self.common)
 
 
-def encode_column(
-    documents: DataFrame, ranks: dict[bytes, int], pattern: str
-) -> Callable[[Column], Column]:
-    """Column function: struct of ids and packed (little-endian unsigned 32-bit) of a whole text.
+def encode(
+    documents: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[str] | None = None
+) -> DataFrame:
+    """The documents' columns (or those to `keep`) with `tokens`, of the whole text.
 
-    `documents` are the texts to come; their common words are folded first.
+    `tokens` holds ids, and packed, the same as little-endian unsigned 32-bit numbers. Common words are folded
+    first; texts are then encoded some at a time, so memory does not follow the size of Arrow batches.
     """
     rows = common_words(documents, ranks, pattern).collect()  # at most 1 / COMMON
-    packed = {r.word: np.array(r.ids, "<u4").tobytes() for r in rows}
-    shared = documents.sparkSession.sparkContext.broadcast((ranks, packed))
+    common = {r.word: np.array(r.ids, "<u4").tobytes() for r in rows}
+    shared = documents.sparkSession.sparkContext.broadcast((ranks, common))
     job = uuid4().hex
 
-    @F.arrow_udf("struct<ids:array<int>,packed:binary>")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern).findall
         known = _Words.of(job, *shared.value)
-        for texts in batches:
+        for batch in slices(batches, 256):
             found = []
-            for text in texts:
+            for text in batch.column(batch.num_columns - 1):
                 words = split(text.as_py() or "")
                 found.append(np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4"))
                 known.limit()
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, "<u4"), *found]).astype(np.int32)
-            yield pa.StructArray.from_arrays(
+            tokens = pa.StructArray.from_arrays(
                 [
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                     pa.array([x.tobytes() for x in found], pa.binary()),
                 ],
                 names=["ids", "packed"],
             )
+            names = [*batch.schema.names[:-1], "tokens"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], tokens], names=names)
 
-    return run
+    kept = [name for name in keep or documents.columns if name != "tokens"]
+    tokens = T.StructType().add("ids", T.ArrayType(T.IntegerType())).add("packed", T.BinaryType())
+    schema = T.StructType([*documents.select(*kept).schema.fields, T.StructField("tokens", tokens)])
+    return documents.select(*kept, F.col("text").alias("_text")).mapInArrow(run, schema)
 
 
 def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
@@ -244,12 +250,6 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
     return F.encode(F.array_join(pieces, ""), _LATIN)
 
 
-def encode(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """The documents' rows with `tokens`: the ids of the whole text, as array and packed."""
-    run = encode_column(documents, ranks, pattern)
-    return documents.withColumn("tokens", run(F.col("text")))
-
-
 def digests(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the decoded bytes."""
     return encoded.select(

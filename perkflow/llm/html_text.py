@@ -12,8 +12,13 @@ that only say where or what kind (`site-footer`, not `has-sidebar`). Names are w
 roles: they do not reach into the outermost article or main, and an element with good blocks that
 holds more than half of the page's text is not dropped by its names unless an article or main has text.
 
+What is dropped never decides for others. Inside an article or main, paragraphs, headings and captions that
+are mostly link are ambiguous, not bad. A form is dropped like an element with a cue in its names, so a form
+around the whole page keeps its text.
+
 Defined results: null and empty pages and pages without text give an empty string; unclosed tags,
-comments and scripts end with the page. Only page_id, url and html are read.
+comments and scripts end with the page; a less-than that opens no tag is text. Only page_id, url and html
+are read.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,11 +45,12 @@ BLOCKS = frozenset(
     "menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 DROPPED = frozenset(
-    "aside button canvas datalist dialog fieldset footer form head iframe map menu nav noscript object "
+    "aside button canvas datalist dialog fieldset footer head iframe map menu nav noscript object "
     "option select svg template title audio video".split()
 )
 RAW = frozenset("script style textarea xmp noembed noframes iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote figcaption caption dd summary".split())
 CONTAINERS = frozenset("article main section div body aside td blockquote".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 CUES = frozenset(
@@ -69,13 +76,15 @@ STOP_WORDS = frozenset(
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>",
+    # Attribute values stand in quotes, or without, and then may hold quotes.
+    r"|<(/?)([a-zA-Z][^\s/>]*)"
+    r"((?>[^<>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=\s*[^\s\"'<>][^\s<>]*|=|\"[^\"]*\"|'[^']*')*+)>",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*))")
 _PARTS = re.compile(r"[a-z]+")
 _WORD = re.compile(r"[^\W\d_]+")
-_END = re.compile(r"<[^>]*\Z")
+_END = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 
 
 @dataclass
@@ -86,6 +95,7 @@ class Block:
     named: int  # number of the outermost element that is boilerplate by its names, or 0
     container: int  # number of the innermost container
     article: bool  # inside an article or main element
+    prose: bool  # right inside a paragraph, heading or caption
 
 
 HARD, NAMED = 2, 1
@@ -102,10 +112,12 @@ def boilerplate(tag: str, attributes: str, in_article: bool) -> int:
     """HARD by an element's name, role or visibility, NAMED by its class or id, else 0."""
     if tag in DROPPED or (tag == "header" and not in_article):
         return HARD
+    if tag == "form":
+        return NAMED
     if not attributes or tag in ("html", "body", "article", "main"):
         return 0
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-    if found.get("role", "").lower() in ROLES or found.get("aria-hidden", "").lower() == "true":
+    if found.get("role", "").lower() in ROLES:
         return HARD
     if "display:none" in found.get("style", "").replace(" ", "").lower():
         return HARD
@@ -119,15 +131,16 @@ def blocks(page: str) -> list[Block]:
     # Open elements that matter: name, whether boilerplate, number of the one that is so by its names,
     # container number, inside an article.
     stack: list[tuple[str, bool, int, int, bool]] = []
+    opened: Counter[str] = Counter()  # names on the stack
     pieces: list[str] = []
-    linked, link, containers, marked, at = 0, False, 0, 0, 0
+    linked, link, containers, marked, at, inner = 0, False, 0, 0, 0, ""
 
     def close() -> None:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         if text:
             _, dropped, named, container, article = stack[-1] if stack else ("", False, 0, 0, False)
-            out.append(Block(text, linked, dropped, named, container, article))
+            out.append(Block(text, linked, dropped, named, container, article, inner in PROSE))
         pieces.clear()
         linked = 0
 
@@ -157,11 +170,15 @@ def blocks(page: str) -> list[Block]:
                 link = False
             if tag in BLOCKS:
                 close()
-            names = [entry[0] for entry in stack]
-            if tag in names:
+                inner = ""
+            if opened[tag]:
                 if tag not in BLOCKS:
                     close()
-                del stack[len(names) - 1 - names[::-1].index(tag) :]
+                while True:
+                    name = stack.pop()[0]
+                    opened[name] -= 1
+                    if name == tag:
+                        break
             elif tag == "br":
                 pieces.append(" ")
             continue
@@ -178,7 +195,7 @@ def blocks(page: str) -> list[Block]:
             link = True
         if tag in BLOCKS:
             close()
-            link = False
+            link, inner = False, tag
         _, dropped, named, container, article = stack[-1] if stack else ("", False, 0, 0, False)
         bad = boilerplate(tag, match[3], article)
         if bad or tag in CONTAINERS or tag == "header":
@@ -193,6 +210,7 @@ def blocks(page: str) -> list[Block]:
                 marked += 1
                 named = marked
             stack.append((tag, dropped or bad == HARD, named, container, article))
+            opened[tag] += 1
     close()
     return out
 
@@ -203,7 +221,7 @@ def label(block: Block) -> bool | None:
         return False
     length = len(block.text)
     if block.links > LINK_DENSITY * length:
-        return False
+        return None if block.article and block.prose else False
     words = _WORD.findall(block.text.lower())
     stops = sum(word in STOP_WORDS for word in words)
     if length >= LEAST_LENGTH and stops >= STOP_DENSITY * max(1, len(words)):
@@ -245,11 +263,10 @@ def main_text(page: str | None) -> str:
     if any(block.named for block in found):
         spare_main_part(found)
     labels = [label(block) for block in found]
-    everywhere = [i for i, own in enumerate(labels) if own is not None]
+    everywhere = [i for i, own in enumerate(labels) if own is not None and not found[i].dropped]
     own_container: dict[int, list[int]] = {}
     for i in everywhere:
-        if not found[i].dropped:
-            own_container.setdefault(found[i].container, []).append(i)
+        own_container.setdefault(found[i].container, []).append(i)
     kept = []
     for i, block in enumerate(found):
         good = labels[i]

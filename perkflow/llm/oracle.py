@@ -97,7 +97,97 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 WHERE rank <= 5
 """
 
+#: Words as runs of letters and digits in lower case.
+_WORDS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
+
+_LM = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, {_WORDS} AS words FROM documents),
+w AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+t AS MATERIALIZED (
+    SELECT rid, w.doc_id IS NOT NULL AS wanted, unnest(words) AS word, unnest(range(len(words))) AS pos,
+           unnest(list_prepend('', words)[1:len(words)]) AS prev
+    FROM d LEFT JOIN w USING (doc_id)),
+p AS MATERIALIZED (
+    SELECT prev, word, count(*) AS b, count(*) FILTER (wanted) AS t FROM t GROUP BY ALL),
+o AS (
+    SELECT prev AS word, sum(b) AS open_b, sum(t) AS open_t, count(*) AS kinds_b, count(*) FILTER (t > 0) AS kinds_t
+    FROM p GROUP BY 1),
+c AS (SELECT word, sum(b) AS b, sum(t) AS t FROM p GROUP BY 1),
+n AS (SELECT sum(b) AS b, sum(t) AS t, count(*) + 1 AS size FROM c),
+v AS MATERIALIZED (
+    SELECT coalesce(c.word, o.word) AS word, coalesce(c.b, 0) AS b, coalesce(c.t, 0) AS t,
+           greatest(coalesce(c.b, 0), coalesce(open_b, 0), 1) AS under_b, greatest(coalesce(c.t, 0), coalesce(open_t, 0), 1) AS under_t,
+           coalesce(open_b - 0.5 * kinds_b, 0) AS direct_b, coalesce(open_t - 0.5 * kinds_t, 0) AS direct_t
+    FROM c FULL JOIN o ON c.word = o.word),
+l AS MATERIALIZED (
+    SELECT p.prev, p.word,
+           -ln(greatest(p.b - 0.5, 0)::DOUBLE / f.under_b
+               + greatest(1 - f.direct_b::DOUBLE / f.under_b, 1e-9) * ((s.b + 1)::DOUBLE / (n.b + n.size))) AS lb,
+           -ln(greatest(p.t - 0.5, 0)::DOUBLE / f.under_t
+               + greatest(1 - f.direct_t::DOUBLE / f.under_t, 1e-9) * ((s.t + 1)::DOUBLE / (n.t + n.size))) AS lt
+    FROM p JOIN v f ON f.word = p.prev JOIN v s ON s.word = p.word, n),
+x AS (SELECT rid, avg(lb) AS lb, avg(lt) AS lt FROM t JOIN l ON l.prev = t.prev AND l.word = t.word GROUP BY rid)
+SELECT doc_id, len(words)::BIGINT AS n_tokens, round(lt, 6) AS loss_target, round(lb, 6) AS loss_background,
+       round(lt - lb, 6) AS ce_diff
+FROM d LEFT JOIN x USING (rid)
+"""
+
+#: Smallest name among the rows that links connect, for rows r (rid, name) and pairs e (a, b) of both directions.
+_REACH = """
+reach(rid, other) AS (
+    SELECT rid, rid FROM r
+    UNION
+    SELECT reach.rid, e.b FROM reach JOIN e ON e.a = reach.other),
+named AS (SELECT reach.rid, min(r.name) AS name FROM reach JOIN r ON r.rid = reach.other GROUP BY 1)"""
+
+_JOIN = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id AS name, row_number() OVER () AS rid, {_WORDS} AS words FROM documents),
+r AS MATERIALIZED (SELECT rid, name FROM d),
+s AS MATERIALIZED (
+    SELECT DISTINCT rid, unnest(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
+           lambda i: array_to_string(words[i:i + 4], ' '))) AS shingle
+    FROM d WHERE len(words) > 0),
+k AS (SELECT rid, count(*) AS n FROM s GROUP BY 1),
+i AS (SELECT a.rid AS a, b.rid AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.rid <> b.rid GROUP BY ALL),
+e AS MATERIALIZED (
+    SELECT a, b FROM i JOIN k x ON x.rid = a JOIN k y ON y.rid = b WHERE common * 10 >= 8 * (x.n + y.n - common)),
+{_REACH}
+SELECT r.name AS doc_id, named.name AS class_id, (SELECT count(*) FROM e WHERE e.a = r.rid)::BIGINT AS n_links
+FROM r JOIN named USING (rid)
+"""
+
+_VECTORS = f"""
+WITH RECURSIVE r AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, vec_id AS name, embedding::DOUBLE[] AS v,
+           coalesce(embedding IS NOT NULL AND len(embedding) > 0
+                    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                    AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS good
+    FROM embeddings),
+e AS MATERIALIZED (
+    SELECT x.rid AS a, y.rid AS b FROM r x JOIN r y ON x.rid <> y.rid AND x.good AND y.good AND len(x.v) = len(y.v)
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.95),
+{_REACH}
+SELECT r.name AS vec_id, (SELECT count(*) FROM e WHERE e.a = r.rid)::BIGINT AS n_links, named.name AS component_id,
+       coalesce(r.name = named.name, false) AS kept
+FROM r JOIN named USING (rid)
+"""
+
+_ARCHIVE = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS bytes, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+       CASE WHEN bytes >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN bytes >= 100 AND first < page_id THEN first END AS refers_to
+FROM f
+"""
+
 SQL: dict[str, str] = {
+    "op1_lm_scoring": _LM,
+    "op2_ngram_join": _JOIN,
+    "op6_embedding_dedup": _VECTORS,
+    "op9_warc": _ARCHIVE,
     "op11_prefix_trie": _TRIE,
     "op12_centroid_clusters": _CLUSTERS,
     "op13_vector_topk": _TOPK,

@@ -31,10 +31,11 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target: the documents labelled of good quality."""
+    """Target: the documents labelled of good quality. Losses are rounded, so that engines agree on them."""
     documents = read_table(spark, sf_dir, "documents")
     target = read_table(spark, sf_dir, "labels").filter("quality = 1")
-    return lm_scoring.score(documents, lm_scoring.train(documents, target))
+    scored = lm_scoring.score(documents, lm_scoring.train(documents, target))
+    return scored.withColumns({name: F.round(name, 6) for name in ("loss_target", "loss_background", "ce_diff")})
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +69,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path(RANKS))
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.encode(documents, ranks, public_tokenizers.PATTERN), ranks)
+    return bpe.digests(bpe.encode(documents, ranks, public_tokenizers.PATTERN, ["doc_id"]), ranks)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perkflow.llm.common import slices
+from perkflow.llm.common import learned, slices
+from perkflow.sources import files
 from perkflow.sources.scratch import materialise, scratch_path
 
 LEAST_REVISIT = 100
@@ -197,26 +198,33 @@ def frames(stream: BinaryIO) -> Iterator[tuple[int, bytes]]:
 
 
 def _store(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a folder that every executor reaches."""
-    if "://" in uri:
-        return fs.FileSystem.from_uri(uri)
-    return fs.LocalFileSystem(), uri.removeprefix("file:")
+    """File system and path of a folder (with its scheme) that every executor reaches."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(uri)
 
 
-def train_dictionary(pages: DataFrame) -> bytes:
-    """From a bounded sample: SAMPLE_PAGES pages of at most SAMPLE_BYTES, by the hash of their id.
-
-    Empty if the sample is too small to train on.
-    """
-    html = pages.filter(F.octet_length("html").between(1, SAMPLE_BYTES)).select("page_id", "html")
-    rows = html.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(SAMPLE_PAGES).collect()
-    samples = [r.html.encode() for r in rows]
+def _trained(rows: list[dict[str, Any]]) -> bytes:
+    """Dictionary from samples, empty if they are too few to train on."""
+    samples = [row["html"].encode() for row in sorted(rows, key=lambda row: row["html"])]
     try:
         return zstd.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstd.ZstdError, ValueError):
         return b""
 
 
+def train_dictionary(pages: DataFrame) -> bytes:
+    """From a bounded sample: SAMPLE_PAGES different pages of at most SAMPLE_BYTES, by digest.
+
+    The digests are chosen first, then their pages are read, and one task trains on them; the driver gets
+    the dictionary only, however many tasks there are. Empty if the sample is too small to train on.
+    """
+    rows = pages.filter(F.octet_length("html").between(1, SAMPLE_BYTES)).select("html", F.md5("html").alias("_md5"))
+    chosen = rows.select("_md5").distinct().orderBy("_md5").limit(SAMPLE_PAGES)
+    few = F.broadcast(materialise(chosen, "sample_digests"))  # at most SAMPLE_PAGES
+    return learned(rows.join(few, "_md5").select("html").distinct(), _trained)
+
+
 def with_types(pages: DataFrame) -> DataFrame:
     """page_id, url, html, digest, refers_to and is_revisit.
 
@@ -242,7 +250,7 @@ def with_types(pages: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write every page as a record; the manifest (path, records, bytes) of the files that count."""
-    dictionary = train_dictionary(pages)
+    dictionary, folder = train_dictionary(pages), files.qualified(pages.sparkSession, folder)
     typed = with_types(pages).select("page_id", "url", "html", "digest", "refers_to", "is_revisit")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,6 +306,7 @@ def read_archives(manifest: DataFrame, folder: str, payloads: bool = True) -> Da
 
     `payloads=False` checks the payloads but does not return them.
     """
+    folder = files.qualified(manifest.sparkSession, folder)
     names = [field.split()[0] for field in RECORD.split(", ")]
     kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string()]
     shape = pa.schema(list(zip(names, [*kinds, pa.int64(), pa.binary(), pa.string()])))

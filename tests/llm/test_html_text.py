@@ -83,3 +83,32 @@ def test_a_wrapper_with_a_cue_in_its_names_keeps_the_text(name, tag):
 def test_whole_names_of_boilerplate_are_dropped(name):
     page = f"<div class='x {name}'><p>{GOOD}</p><p>{GOOD}</p></div><article><p>{GOOD} x</p></article>"
     assert html_text.main_text(page) == f"{GOOD} x"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body><form action=x><nav>{GOOD}</nav><div><p>{GOOD}</p><p>Short.</p></div><input name=q></form></body>", f"{GOOD}\nShort."),
+        ("<nav><a href=x>Home</a> <a href=y>News</a></nav><p>A short article.</p>", "A short article."),
+        ("<header>Site name here</header><div class=post>Only a few words.</div><footer>(c)</footer>", "Only a few words."),
+        ("<p>x < y and the rest of the text", "x < y and the rest of the text"),
+        (f"<p>{GOOD} a < b, c > d</p><p>1 <2", f"{GOOD} a < b, c > d\n1 <2"),
+        (f"<p>See <a href=/it's-here>this page</a> now.</p><p>{GOOD}</p>", f"See this page now.\n{GOOD}"),
+        (f"<p>{GOOD}</p><p title=it's>Tail.</p><p data-x='a\"b>c'>End.</p>", f"{GOOD}\nTail.\nEnd."),
+        (f"<article><p>{GOOD}</p><figure><figcaption><a href=x>A linked caption</a></figcaption></figure><p><a href=y>All of this is link.</a></p><p>{GOOD}</p></article>",
+         f"{GOOD}\nA linked caption\nAll of this is link.\n{GOOD}"),
+        (f"<article><p>{GOOD}</p><p aria-hidden=true>Shown all the same.</p></article>", f"{GOOD}\nShown all the same."),
+        (f"<article><p>{GOOD}</p><ul><li><a href=x>Other page one</a></li></ul></article>", GOOD),
+    ],
+)
+def test_pages_that_lost_text(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_many_open_tags_take_linear_time():
+    import time
+
+    page = "<div>" * 30_000 + f"<p>{GOOD}</p>" + "<section></section>" * 30_000 + "</b>" * 30_000 + "<p a=" * 20_000
+    start = time.perf_counter()
+    assert html_text.main_text(page) == GOOD
+    assert time.perf_counter() - start < 2

@@ -54,11 +54,16 @@ def test_query_equals_brute_force(spark, sf_dir, monkeypatch, block, part):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1").collect()
     wanted = brute(docs, [r.doc_id for r in labels])
-    rows = QUERIES["op1_lm_scoring"](spark, sf_dir).collect()
+    frame = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    target = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1")
+    rows = lm_scoring.score(frame, lm_scoring.train(frame, target)).collect()
     assert len(rows) == len(docs)
     for row in rows:
         assert (row.loss_target, row.loss_background) == pytest.approx(wanted[row.doc_id], abs=1e-9)
         assert row.ce_diff == pytest.approx(row.loss_target - row.loss_background)
+    if block == 200:
+        query = {r.doc_id: r.ce_diff for r in QUERIES["op1_lm_scoring"](spark, sf_dir).collect()}
+        assert query == {r.doc_id: None if r.ce_diff is None else pytest.approx(r.ce_diff, abs=1e-6) for r in rows}
 
 
 def test_documents_outside_the_corpus_are_scored_and_not_counted(spark, make_docs, rng, monkeypatch):

@@ -117,3 +117,24 @@ def test_errors_become_rows(spark, tmp_path):
     rows = warc.read_archives(names, str(tmp_path)).collect()
     found = {(Path(r.path).name[0], r.position, r.error is None) for r in rows}
     assert found == {("a", 0, True), ("a", 1, False), ("a", 2, True), ("b", 0, True), ("b", 1, False), ("d", 0, False)}
+
+
+def test_the_dictionary_sample_does_not_follow_the_tasks(spark, monkeypatch):
+    """The driver gets the dictionary; pages are gathered in one task, as many with 64 tasks as with 8."""
+    from perkflow.llm import warc
+
+    rows = [(i, f"u{i}", f"<p>page {i % 700} " + "words of a page " * 40) for i in range(1400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    gathered = []
+    real = warc.learned
+    monkeypatch.setattr(warc, "learned", lambda sample, fit: gathered.append(sample.count()) or real(sample, fit))
+    found = {warc.train_dictionary(pages.repartition(n)) for n in (8, 64)}
+    assert len(found) == 1 and gathered == [warc.SAMPLE_PAGES] * 2
+
+
+def test_paths_without_a_scheme_are_those_of_spark(spark, tmp_path):
+    from perkflow.llm import warc
+    from perkflow.sources import files
+
+    assert files.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert warc._store(f"file:{tmp_path}")[1] == warc._store(f"file://{tmp_path}")[1] == str(tmp_path)
