@@ -55,7 +55,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the ids of the whole text, their number and the digests of ids and decoded bytes."""
     ranks = bpe.load_ranks(public_tokenizers.path(RANKS))
-    coded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    coded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, ["doc_id"])
     return coded.select(
         "doc_id",
         F.col("tokens.ids").alias("ids"),
