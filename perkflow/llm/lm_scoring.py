@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perkflow.llm.common import runs, slices, word_hashes
-from perkflow.sources.scratch import materialise
+from perkflow.sources.scratch import materialise, stored
 
 DISCOUNT = 0.5
 BLOCK_WORDS = 1 << 21
@@ -363,14 +363,14 @@ def score(documents: DataFrame, scorer: Scorer) -> DataFrame:
     if not same:
         other = documents.select("doc_id", "text", F.lit(False).alias("wanted"))
         blocks = blocks.unionByName(_blocks(other, False, True))
-    blocks = materialise(blocks, "blocks")
-    sums = blocks.agg(
-        F.sum("n_words"), F.sum(F.when(F.col("counted"), F.col("n_words"))), F.sum("n_target")
-    ).first()
-    asked, background, target = (int(n or 0) for n in sums)
-    parts = max(1, asked // PART_WORDS)
-    known = answers(_asked_pairs(blocks, parts), 1).filter(F.col("block").isNotNull())
-    blocks = materialise(_with_pairs(blocks, known, parts), "counted_blocks")
+    with stored(blocks, "blocks") as plain:  # not needed once the blocks hold their totals
+        sums = plain.agg(
+            F.sum("n_words"), F.sum(F.when(F.col("counted"), F.col("n_words"))), F.sum("n_target")
+        ).first()
+        asked, background, target = (int(n or 0) for n in sums)
+        parts = max(1, asked // PART_WORDS)
+        known = answers(_asked_pairs(plain, parts), 1).filter(F.col("block").isNotNull())
+        blocks = materialise(_with_pairs(plain, known, parts), "counted_blocks")
     few = max(1, parts // 4)
     known = materialise(answers(_asked_words(blocks, few), 1), "answered_words")
     size = int(known.agg(F.sum("n_known")).first()[0] or 0) + 1
