@@ -26,7 +26,7 @@ from uuid import uuid4
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,7 @@ from perkflow.sources.scratch import materialise
 
 COMMON = 2e-6
 LONGEST = 64  # bytes of a word that Spark folds; longer ones merge with a heap
+PLAN_TEXT = 1 << 16
 _MAPS = 1 << 14
 _CACHE = 500_000
 _LATIN = "ISO-8859-1"
@@ -109,9 +110,19 @@ def fold_merges(word: Column, table: Column) -> Column:
     return F.transform(last, lambda piece: rank_of(table, piece))
 
 
+def short_plans(spark: SparkSession) -> None:
+    """Cut plan descriptions, which would spell out the literals, at PLAN_TEXT characters.
+
+    The driver makes several of each plan and keeps them for its status store. A session with a lower bound
+    of its own keeps that.
+    """
+    if int(spark.conf.get("spark.sql.maxPlanStringLength")) > PLAN_TEXT:
+        spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
+
+
 def common_words(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """word and ids of the common words that are no token, each folded once."""
-    table = rank_literal(ranks)
+    """word and ids of the common words, each folded once; ids are null for words that are tokens."""
+    short_plans(documents.sparkSession)
     found = F.regexp_extract_all(
         F.coalesce(F.col("text"), F.lit("")), F.lit(java_pattern(pattern)), F.lit(0)
     )
@@ -120,9 +131,13 @@ def common_words(documents: DataFrame, ranks: dict[bytes, int], pattern: str) ->
     total = counts.agg(F.sum("count")).first()[0] or 0
     frequent = counts.filter(F.col("count") >= COMMON * total)
     plain = F.decode(F.encode("word", "UTF-8"), _LATIN)
-    small = frequent.filter(F.octet_length("word") <= LONGEST).select("word")
-    rest = small.filter(rank_of(table, plain).isNull()).repartition("word")
-    return rest.select("word", fold_merges(F.col("word"), table).alias("ids"))
+    small = frequent.filter(F.octet_length("word") <= LONGEST).select("word").repartition("word")
+    # An array of one element binds the literal, which the plan would otherwise hold for each use.
+    ids = F.transform(
+        F.array(rank_literal(ranks)),
+        lambda table: F.when(rank_of(table, plain).isNull(), fold_merges(F.col("word"), table)),
+    )
+    return small.select("word", F.get(ids, F.lit(0)).alias("ids"))
 
 
 def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -213,7 +228,7 @@ def encode(
     first; texts are then encoded some at a time, so memory does not follow the size of Arrow batches.
     """
     rows = common_words(documents, ranks, pattern).collect()  # at most 1 / COMMON
-    common = {r.word: np.array(r.ids, "<u4").tobytes() for r in rows}
+    common = {r.word: np.array(r.ids, "<u4").tobytes() for r in rows if r.ids is not None}
     shared = documents.sparkSession.sparkContext.broadcast((ranks, common))
     job = uuid4().hex
 

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perkflow.llm.common import components, runs, slices
 from perkflow.llm.ngram_join import grouped, in_blocks, lowest_labels
@@ -47,8 +48,14 @@ _STEP = 256
 _EDGES = "a long, b long, seam long, place int, bits binary"
 
 
+def stored_kind(vectors: DataFrame) -> str:
+    """Vectors are kept and moved in the precision they come in; all arithmetic is in double."""
+    return "<f4" if isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType) else "<f8"
+
+
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, vec_key (null if unusable) and vec (the components as doubles)."""
+    """vec_id, vec_key (null if unusable) and vec (the components, see `stored_kind`)."""
+    kind = stored_kind(vectors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
@@ -58,8 +65,9 @@ def usable(vectors: DataFrame) -> DataFrame:
                 if row.is_valid and len(row.values) and not row.values.null_count:
                     vector = row.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
                 good = len(vector) and np.isfinite(vector).all() and 0 < _length(vector) < np.inf
-                values.append(vector.tobytes() if good else None)
-                keys.append(hashlib.md5(vector.tobytes()).digest() if good else None)
+                packed = vector.astype(kind).tobytes() if good else None
+                values.append(packed)
+                keys.append(hashlib.md5(packed).digest() if good else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(keys, pa.binary()), pa.array(values, pa.binary())],
                 names=["vec_id", "vec_key", "vec"],
@@ -86,19 +94,20 @@ def projections(dim: int, number: int) -> np.ndarray:
     return np.random.default_rng((dim, number)).standard_normal((dim, BITS))
 
 
-def projected(reps: DataFrame, number_of_passes: int) -> DataFrame:
+def projected(reps: DataFrame, number_of_passes: int, kind: str) -> DataFrame:
     """One row per vector and pass: dim, pass, order (the sign bits), rep and the vector."""
+    size = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], np.ndarray] = {}
         powers = np.int64(1) << np.arange(BITS - 1, -1, -1)
         for batch in slices(batches, 1024):
             ids = batch.column(0).to_numpy()
-            sizes = np.array([len(v.as_buffer()) // 8 for v in batch.column(1)])
+            sizes = np.array([len(v.as_buffer()) // size for v in batch.column(1)])
             for dim in np.unique(sizes):
                 at = np.flatnonzero(sizes == dim)
                 vecs = batch.column(1).take(pa.array(at))
-                matrix = np.frombuffer(b"".join(vecs.to_pylist())).reshape(len(at), dim)
+                matrix = np.frombuffer(b"".join(vecs.to_pylist()), kind).reshape(len(at), dim).astype(np.float64)
                 matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)
                 for number in range(number_of_passes):
                     if (dim, number) not in planes:
@@ -142,8 +151,8 @@ def chains(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, n
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def _unit(vectors: list[bytes], dim: int) -> np.ndarray:
-    matrix = np.frombuffer(b"".join(vectors)).reshape(len(vectors), dim)
+def _unit(vectors: list[bytes], dim: int, kind: str) -> np.ndarray:
+    matrix = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), dim).astype(np.float64)
     matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)
     return matrix / np.sqrt((matrix**2).sum(axis=1, keepdims=True))
 
@@ -169,7 +178,7 @@ def _ends(ids: np.ndarray, vectors: list[bytes], seam: int, places: np.ndarray)
     )
 
 
-def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sweep(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     """Pairs of one sorted partition, and the rows at both of its ends."""
     here = TaskContext.get().partitionId()
     number = None
@@ -187,21 +196,21 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen += take
             kept = len(ids)
             ids, vectors = np.concatenate([ids, new_ids]), vectors + new
-            yield _edges(*chains(ids, *close_pairs(_unit(vectors, dim), kept)))
+            yield _edges(*chains(ids, *close_pairs(_unit(vectors, dim, kind), kept)))
             ids, vectors = ids[-WINDOW:], vectors[-WINDOW:]
     if len(ids):
         yield _ends(ids, vectors, here + 1, np.arange(-len(ids), 0))
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _across(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
     """Pairs of the last rows before and the first rows after a seam."""
     for group in runs(batches, 1):
         ids, place = group.column(1).to_numpy(), group.column(2).to_numpy()
         vectors = group.column(3).to_pylist()
-        sizes = np.array([len(v) // 8 for v in vectors])
+        sizes = np.array([len(v) // np.dtype(kind).itemsize for v in vectors])
         for dim in np.unique(sizes):
             at = np.flatnonzero(sizes == dim)
-            unit = _unit([vectors[i] for i in at], dim)
+            unit = _unit([vectors[i] for i in at], dim, kind)
             cosine = unit @ unit.T
             x, y = np.nonzero(cosine >= THRESHOLD)
             x, y = at[x], at[y]
@@ -210,21 +219,21 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def connecting_pairs(reps: DataFrame) -> DataFrame:
+def connecting_pairs(reps: DataFrame, kind: str) -> DataFrame:
     """(a, b) of different linked vectors, a < b, that connect all vectors whose link a pass found."""
     spark = reps.sparkSession
     number = reps.count()
     number_of_passes = passes(number)
-    rows = projected(reps, number_of_passes)
+    rows = projected(reps, number_of_passes, kind)
     # Partitions well above the window, so that a window crosses one seam at most.
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(1, min(most, number * number_of_passes // (8 * WINDOW)))
     order = ["dim", "pass", "order", "rep"]
     swept = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    swept = materialise(swept.mapInArrow(_sweep, _EDGES), "sweeps")
+    swept = materialise(swept.mapInArrow(lambda batches: _sweep(batches, kind), _EDGES), "sweeps")
     ends = swept.filter(F.col("seam").isNotNull()).select("seam", F.col("a").alias("id"), "place", "bits")
     ends = ends.repartition("seam").sortWithinPartitions("seam")
-    across = ends.mapInArrow(_across, "a long, b long")
+    across = ends.mapInArrow(lambda batches: _across(batches, kind), "a long, b long")
     inside = swept.filter(F.col("seam").isNull()).select("a", "b")
     return inside.union(across).distinct()
 
@@ -243,7 +252,7 @@ def link_counts(ids: np.ndarray, unit: np.ndarray, copies: np.ndarray, block: np
     return links
 
 
-def exact_links(reps: DataFrame, groups: DataFrame) -> DataFrame:
+def exact_links(reps: DataFrame, groups: DataFrame, kind: str) -> DataFrame:
     """(rep, links) from all pairs of each group (rep, component_id), in bounded blocks."""
     sizes = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n"))
     members = groups.join(sizes, "component_id")
@@ -255,7 +264,8 @@ def exact_links(reps: DataFrame, groups: DataFrame) -> DataFrame:
         for group in runs(batches, 3):
             ids, block, copies = (group.column(i).to_numpy() for i in (3, 4, 5))
             vectors = group.column(6).to_pylist()
-            links = link_counts(ids, _unit(vectors, len(vectors[0]) // 8), copies, block)
+            unit = _unit(vectors, len(vectors[0]) // np.dtype(kind).itemsize, kind)
+            links = link_counts(ids, unit, copies, block)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links)], names=["rep", "links"])
 
     dealt = grouped(members, ["component_id"], run, "rep long, links long")
@@ -271,7 +281,8 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("vec").alias("vec")
     )
     reps = materialise(keyed.withColumn("rep", F.monotonically_increasing_id()), "distinct_vectors")
-    found = materialise(components(connecting_pairs(reps)).withColumnRenamed("id", "rep"), "groups")
+    kind = stored_kind(vectors)
+    found = materialise(components(connecting_pairs(reps, kind)).withColumnRenamed("id", "rep"), "groups")
     # The names are stored, so that a component with very many vectors meets a side of known size.
     names = materialise(
         found.join(reps.select("rep", "first_id"), "rep").groupBy("component_id").agg(
@@ -281,7 +292,7 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     )
     known = (
         reps.select("vec_key", "rep", "first_id", "copies")
-        .join(exact_links(reps, found), "rep", "left")
+        .join(exact_links(reps, found, kind), "rep", "left")
         .join(found, "rep", "left")
         .join(names, "component_id", "left")
         .select(
