@@ -36,6 +36,7 @@ from perkflow.sources.scratch import materialise
 COMMON = 2e-6
 LONGEST = 64  # bytes of a word that Spark folds; longer ones merge with a heap
 PLAN_TEXT = 1 << 16
+_NO_BOUND = "2147483632"  # the default
 _MAPS = 1 << 14
 _CACHE = 500_000
 _LATIN = "ISO-8859-1"
@@ -113,10 +114,10 @@ def fold_merges(word: Column, table: Column) -> Column:
 def short_plans(spark: SparkSession) -> None:
     """Cut plan descriptions, which would spell out the literals, at PLAN_TEXT characters.
 
-    The driver makes several of each plan and keeps them for its status store. A session with a lower bound
-    of its own keeps that.
+    The driver makes several of each plan and keeps them for its status store. A session with a bound of its
+    own keeps that.
     """
-    if int(spark.conf.get("spark.sql.maxPlanStringLength")) > PLAN_TEXT:
+    if spark.conf.get("spark.sql.maxPlanStringLength").startswith(_NO_BOUND):
         spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_TEXT))
 
 
