@@ -13,7 +13,8 @@ Every word and every bigram of the corpus is counted and takes part, whatever it
    bigrams that several blocks hold. For all other bigrams, most of them, the block's counts are the totals.
 3. In the same way each block asks for its different words: their counts, and what the bigrams that they
    open come to. A bigram in several blocks is counted by one of them, its owner.
-4. Blocks, now with all totals, score their own documents.
+4. Blocks, now with all totals, score their own documents. Plain blocks are stored in buckets, so only
+   answers move to them.
 
 So a bigram moves once per block that holds it, packed, 8 bytes and its counts. A frequent bigram or word
 is one row per block, never one per occurrence. A task holds one block or one part; no model is on the
@@ -32,6 +33,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,10 +43,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perkflow.llm.common import runs, slices, word_hashes
-from perkflow.sources.scratch import materialise, stored
+from perkflow.sources import files
+from perkflow.sources.scratch import materialise, scratch_path
 
 DISCOUNT = 0.5
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 20
 PART_WORDS = 1 << 20  # words of the corpus per part
 MOST_IDS = 2_000_000
 START = 0  # stands before the first word of a text
@@ -87,9 +90,16 @@ def unpacked(body: bytes) -> list[np.ndarray]:
 
 
 def pair_ids(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted different words and START, and for each word of the texts its number."""
-    known, ids = np.unique(np.concatenate([np.array([START], np.int64), *texts]), return_inverse=True)
-    return known, ids[1:].astype(np.int32)
+    """Different words and START, frequent ones first, and for each word of the texts its number.
+
+    Small numbers for frequent words compress better.
+    """
+    every = np.concatenate([np.array([START], np.int64), *texts])
+    known, ids, n = np.unique(every, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    number = np.empty(len(known), np.int32)
+    number[order] = np.arange(len(known), dtype=np.int32)
+    return known[order], number[ids[1:]]
 
 
 class Block:
@@ -98,7 +108,7 @@ class Block:
     def __init__(self, known: np.ndarray, ids: np.ndarray, lengths: np.ndarray, wanted: np.ndarray, counted: bool):
         self.known, self.ids, self.lengths = known, ids, lengths
         size = len(known)
-        start = int(np.searchsorted(known, START))
+        start = int(np.flatnonzero(known == START)[0])
         before = np.concatenate((ids[:1], ids[:-1])).astype(np.int64)
         at = np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(lengths) else np.zeros(0, np.int64)
         before[at[lengths > 0]] = start
@@ -356,6 +366,24 @@ def _scored(blocks: DataFrame, known: DataFrame, parts: int, totals: tuple[int,
     return blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
 
 
+@contextmanager
+def _by_block(blocks: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The stored blocks as a table in buckets of their number, so that answers come to them.
+
+    A block is one row of several megabytes, and its answers are small: blocks stay where they are.
+    """
+    spark = blocks.sparkSession
+    path = scratch_path(spark, name)
+    table = f"{name}_{path.rsplit('-', 1)[1]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        blocks.write.format("parquet").option("path", path).bucketBy(buckets, "block").saveAsTable(table)
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        files.delete(spark, path)
+
+
 def score(documents: DataFrame, scorer: Scorer) -> DataFrame:
     """doc_id, n_tokens, loss_target, loss_background and ce_diff of every whole document."""
     same = documents is scorer.corpus
@@ -363,7 +391,7 @@ def score(documents: DataFrame, scorer: Scorer) -> DataFrame:
     if not same:
         other = documents.select("doc_id", "text", F.lit(False).alias("wanted"))
         blocks = blocks.unionByName(_blocks(other, False, True))
-    with stored(blocks, "blocks") as plain:  # not needed once the blocks hold their totals
+    with _by_block(blocks, "blocks") as plain:  # not needed once the blocks hold their totals
         sums = plain.agg(
             F.sum("n_words"), F.sum(F.when(F.col("counted"), F.col("n_words"))), F.sum("n_target")
         ).first()

@@ -147,3 +147,13 @@ def test_rare_words_and_bigrams_take_part_at_every_size(spark, make_docs, monkey
     losses = {r.doc_id: r.loss_background for r in found}
     assert len({round(losses[i], 9) for i in (1, 2)}) == 1 and losses[1] < 12
     assert {r.doc_id for r in found if r.ce_diff == min(x.ce_diff for x in found)} == {1}
+
+
+def test_blocks_stay_and_answers_move(spark, make_docs, rng):
+    docs = make_docs([(i, sentence(rng, 30), None) for i in range(40)])
+    scorer = lm_scoring.train(docs, docs.limit(3))
+    with lm_scoring._by_block(lm_scoring._blocks(lm_scoring._marked(scorer), True, True), "blocks") as blocks:
+        known = lm_scoring.answers(lm_scoring._asked_pairs(blocks, 2), 1).filter("block is not null")
+        joined = lm_scoring._with_pairs(blocks, known, 2)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(block") == 1 and joined.count() == blocks.count()
