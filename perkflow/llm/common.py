@@ -18,7 +18,15 @@ from perkflow.sources.scratch import materialise
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
+#: Rows of an Arrow batch. Rows are whole documents, and a batch is in memory on both sides of a task.
+BATCH_ROWS = 1000
+_BATCHES, _USUAL = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Sets Arrow batches to BATCH_ROWS rows where the session leaves them as they are."""
+    if spark.conf.get(_BATCHES) == _USUAL:
+        spark.conf.set(_BATCHES, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
