@@ -21,7 +21,6 @@ import heapq
 import json
 import zlib
 from collections.abc import Iterator
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -193,21 +192,14 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 class _Words(dict[str, bytes]):
     """Packed ids of words: the common ones, and others as they come, up to a bound.
 
-    A Python worker keeps them for its next task of the same job.
+    It is broadcast, so a Python worker keeps what it learned for its next task that encodes the same
+    documents, and lets go of it with the broadcast at its first task of another kind.
     """
 
-    _last: tuple[str, "_Words"] | None = None
-
     def __init__(self, ranks: dict[bytes, int], common: dict[str, bytes]) -> None:
         super().__init__(common)
         self.ranks, self.common = ranks, common
 
-    @classmethod
-    def of(cls, job: str, ranks: dict[bytes, int], common: dict[str, bytes]) -> "_Words":
-        if cls._last is None or cls._last[0] != job:
-            cls._last = job, cls(ranks, common)
-        return cls._last[1]
-
     def __missing__(self, word: str) -> bytes:
         packed = np.array(merge(word.encode(), self.ranks), "<u4").tobytes()
         if len(word) <= LONGEST:
@@ -230,12 +222,11 @@ def encode(
     """
     rows = common_words(documents, ranks, pattern).collect()  # at most 1 / COMMON
     common = {r.word: np.array(r.ids, "<u4").tobytes() for r in rows if r.ids is not None}
-    shared = documents.sparkSession.sparkContext.broadcast((ranks, common))
-    job = uuid4().hex
+    shared = documents.sparkSession.sparkContext.broadcast(_Words(ranks, common))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern).findall
-        known = _Words.of(job, *shared.value)
+        known = shared.value
         for batch in slices(batches, 256):
             found = []
             for text in batch.column(batch.num_columns - 1):
